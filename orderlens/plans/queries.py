@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.money import money_out
 from ..operators import calendar as cal_ops
-from ..operators import clv, marts
+from ..operators import clv, marts, profile, quality, views
 from ..session import prepare
 from ..sources import fixtures
 from . import jobs
@@ -191,6 +191,282 @@ def q_addon_revenue(spark, sf_dir):
     return marts.build_addon_revenue(silver(spark, sf_dir)["s_order_lines"])
 
 
+# ------------------------------------------------------------------ views
+def gold(spark: SparkSession, sf_dir: str) -> tuple[dict, dict]:
+    s = silver(spark, sf_dir)
+    return s, jobs.build_marts(s)
+
+
+# Fixed parameters the view oracles are written for.
+VIEW_CATEGORIES = ["MEDIUM", "PROMO"]
+VIEW_LOCATIONS = ["R0", "R5", "R13"]
+VIEW_AT_RISK_SHARE_THRESHOLD = 60
+
+_CAT_SQL = ", ".join(f"'{c}'" for c in VIEW_CATEGORIES)
+_LOC_SQL = ", ".join(f"'{c}'" for c in VIEW_LOCATIONS)
+_LATEST = "clv_latest AS (SELECT * FROM clv WHERE snapshot_date = (SELECT max(snapshot_date) FROM clv))"
+
+
+@register("clv_overview_kpis", O.with_(O.CLV_DAILY, O.SALES, _LATEST, select=f"""
+SELECT max(snapshot_date) AS snapshot_date, count(DISTINCT user_id) AS identified_customers,
+       CAST(CAST(sum(CAST(cum_net_revenue AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS total_clv,
+       (SELECT CAST(CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) FROM sales)
+         AS total_net_revenue_all,
+       {O.ratio(O.cents('CAST(sum(CAST(cum_net_revenue AS DECIMAL(18,2))) AS DECIMAL(18,2))'), 'count(cum_net_revenue)', 2, 2)} AS avg_clv,
+       {O.ratio('sum(cum_orders)', 'count(cum_orders)', 2)} AS avg_orders
+FROM clv_latest"""))
+def q_clv_overview_kpis(spark, sf_dir):
+    s, g = gold(spark, sf_dir)
+    return views.clv_overview_kpis(clv.clv_daily(s["s_orders"]), g["g_fact_sales_trends"])
+
+
+_TIERS_SQL = " UNION ALL ".join(f"SELECT '{t}' AS clv_tier, {i + 1} AS tier_order"
+                                for i, t in enumerate(views.TIER_ORDER))
+
+
+@register("clv_tier_split", O.with_(O.CLV_DAILY, _LATEST, select=f"""
+SELECT t.clv_tier, t.tier_order, coalesce(c.n, 0) AS customers,
+       coalesce(c.n, 0) / sum(coalesce(c.n, 0)) OVER () AS share
+FROM ({_TIERS_SQL}) t
+LEFT JOIN (SELECT clv_tier, count(*) AS n FROM clv_latest GROUP BY clv_tier) c ON t.clv_tier = c.clv_tier"""))
+def q_clv_tier_split(spark, sf_dir):
+    return views.clv_tier_split(clv.clv_daily(silver(spark, sf_dir)["s_orders"]))
+
+
+@register("top_customers", O.with_(O.CLV_DAILY, _LATEST, select=f"""
+SELECT user_id, cum_net_revenue, cum_orders, avg_order_value, recency_days, clv_tier
+FROM clv_latest ORDER BY cum_net_revenue DESC, user_id LIMIT {views.TOP_CUSTOMERS}"""))
+def q_top_customers(spark, sf_dir):
+    return views.top_customers(clv.clv_daily(silver(spark, sf_dir)["s_orders"]))
+
+
+@register("rfm_segments", O.with_(O.RFM, select="""
+SELECT rfm_segment, count(user_id) AS customers FROM rfm GROUP BY rfm_segment"""))
+def q_rfm_segments(spark, sf_dir):
+    return views.rfm_segments(marts.build_rfm(silver(spark, sf_dir)["s_orders"]))
+
+
+@register("rfm_score_mix", O.with_(O.RFM, select="""
+SELECT value,
+       count(*) FILTER (WHERE score = 'r_score') AS r_score,
+       count(*) FILTER (WHERE score = 'f_score') AS f_score,
+       count(*) FILTER (WHERE score = 'm_score') AS m_score
+FROM (SELECT 'r_score' AS score, r_score AS value FROM rfm
+      UNION ALL SELECT 'f_score', f_score FROM rfm
+      UNION ALL SELECT 'm_score', m_score FROM rfm)
+GROUP BY value"""))
+def q_rfm_score_mix(spark, sf_dir):
+    return views.rfm_score_mix(marts.build_rfm(silver(spark, sf_dir)["s_orders"]))
+
+
+@register("at_risk_share", O.with_(O.CHURN, select=f"""
+SELECT {VIEW_AT_RISK_SHARE_THRESHOLD} AS threshold, count(*) AS customers,
+       count(*) FILTER (WHERE days_since_last_order > {VIEW_AT_RISK_SHARE_THRESHOLD}) AS at_risk,
+       (count(*) FILTER (WHERE days_since_last_order > {VIEW_AT_RISK_SHARE_THRESHOLD}))
+         / greatest(count(*), 1) AS at_risk_share
+FROM churn"""))
+def q_at_risk_share(spark, sf_dir):
+    return views.at_risk_share(marts.build_churn(silver(spark, sf_dir)["s_orders"]),
+                               VIEW_AT_RISK_SHARE_THRESHOLD)
+
+
+_BINS_SQL = " UNION ALL ".join(f"SELECT '{n}' AS bin, {i + 1} AS bin_order, {lo} AS lo, {hi} AS hi"
+                               for i, (n, lo, hi) in enumerate(views.CHURN_BINS))
+
+
+@register("churn_histogram", O.with_(O.CHURN, select=f"""
+SELECT b.bin, b.bin_order, count(c.user_id) AS customers
+FROM ({_BINS_SQL}) b
+LEFT JOIN churn c ON c.days_since_last_order > b.lo AND c.days_since_last_order <= b.hi
+GROUP BY b.bin, b.bin_order"""))
+def q_churn_histogram(spark, sf_dir):
+    return views.churn_histogram(marts.build_churn(silver(spark, sf_dir)["s_orders"]))
+
+
+@register("at_risk_customers", O.with_(O.CHURN, select=f"""
+SELECT user_id, days_since_last_order, avg_inter_order_gap_days, orders FROM churn
+WHERE days_since_last_order > {views.DEFAULT_AT_RISK_THRESHOLD}
+ORDER BY days_since_last_order DESC, user_id LIMIT {views.AT_RISK_LIST}"""))
+def q_at_risk_customers(spark, sf_dir):
+    return views.at_risk_customers(marts.build_churn(silver(spark, sf_dir)["s_orders"]))
+
+
+def _sales(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return marts.build_sales_trends(s["s_order_lines"], s["s_date_dim"])
+
+
+_FILTERED = f"""sales_f AS (SELECT * FROM sales WHERE item_category IN ({_CAT_SQL})
+                               AND restaurant_id IN ({_LOC_SQL}))"""
+
+
+@register("sales_filtered", O.with_(O.SALES, _FILTERED, select="SELECT * FROM sales_f"))
+def q_sales_filtered(spark, sf_dir):
+    return views.filter_sales(_sales(spark, sf_dir), VIEW_CATEGORIES, VIEW_LOCATIONS)
+
+
+@register("sales_monthly", O.with_(O.SALES, select="""
+SELECT CAST(date_trunc('month', order_date) AS DATE) AS month,
+       CAST(CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS net_revenue,
+       CAST(CAST(sum(CAST(gross_revenue AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS gross_revenue
+FROM sales GROUP BY 1"""))
+def q_sales_monthly(spark, sf_dir):
+    return views.sales_monthly(_sales(spark, sf_dir))
+
+
+@register("sales_monthly_filtered", O.with_(O.SALES, _FILTERED, select="""
+SELECT CAST(date_trunc('month', order_date) AS DATE) AS month,
+       CAST(CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS net_revenue,
+       CAST(CAST(sum(CAST(gross_revenue AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS gross_revenue
+FROM sales_f GROUP BY 1"""))
+def q_sales_monthly_filtered(spark, sf_dir):
+    return views.sales_monthly(views.filter_sales(_sales(spark, sf_dir), VIEW_CATEGORIES, VIEW_LOCATIONS))
+
+
+@register("sales_kpis", O.with_(O.SALES, select="""
+SELECT CAST(CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS net_revenue,
+       CAST(CAST(sum(CAST(gross_revenue AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS gross_revenue,
+       CAST(sum(orders) AS BIGINT) AS category_order_lines
+FROM sales"""))
+def q_sales_kpis(spark, sf_dir):
+    return views.sales_kpis(_sales(spark, sf_dir))
+
+
+@register("top_categories", O.with_(O.SALES, select=f"""
+SELECT item_category, CAST(CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS net_revenue
+FROM sales WHERE item_category IS NOT NULL GROUP BY item_category
+ORDER BY sum(CAST(net_revenue AS DECIMAL(18,2))) DESC, item_category LIMIT {views.TOP_CATEGORIES}"""))
+def q_top_categories(spark, sf_dir):
+    return views.top_categories(_sales(spark, sf_dir))
+
+
+@register("loyalty_cohorts", O.with_(O.LOYALTY, select=f"""
+SELECT CASE WHEN is_loyalty THEN '{views.LOYALTY_LABEL}' WHEN NOT is_loyalty THEN '{views.NON_LOYALTY_LABEL}' END
+         AS cohort, avg_clv, avg_spend, avg_orders_per_customer, repeat_order_rate, customers
+FROM loyalty"""))
+def q_loyalty_cohorts(spark, sf_dir):
+    return views.loyalty_cohorts(marts.build_loyalty_impact(silver(spark, sf_dir)["s_orders"]))
+
+
+@register("location_kpis", O.with_(O.LOCATION, select="""
+SELECT count(DISTINCT restaurant_id) AS locations,
+       CAST(CAST(sum(CAST(total_net_revenue AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS total_net_revenue,
+       max(total_net_revenue) AS top_location_revenue
+FROM location"""))
+def q_location_kpis(spark, sf_dir):
+    return views.location_kpis(marts.build_location_performance(silver(spark, sf_dir)["s_orders"]))
+
+
+@register("addon_kpis", O.with_(O.ADDON, select="""
+SELECT CAST(CAST(sum(CAST(addon_revenue AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS addon_revenue_total,
+       coalesce(sum(orders) FILTER (WHERE has_paid_modifier), 0) / greatest(coalesce(sum(orders), 0), 1)
+         AS attach_rate
+FROM addon"""))
+def q_addon_kpis(spark, sf_dir):
+    return views.addon_kpis(marts.build_addon_revenue(silver(spark, sf_dir)["s_order_lines"]))
+
+
+@register("filter_values", O.with_(O.SALES, select="""
+SELECT DISTINCT 'item_category' AS kind, item_category AS value FROM sales WHERE item_category IS NOT NULL
+UNION ALL
+SELECT DISTINCT 'restaurant_id' AS kind, restaurant_id AS value FROM sales WHERE restaurant_id IS NOT NULL"""))
+def q_filter_values(spark, sf_dir):
+    return views.filter_values(_sales(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ quality
+@register("calendar_coverage", O.with_("x AS (SELECT 1)", select="""
+SELECT DISTINCT o.order_date FROM s_orders o
+WHERE NOT EXISTS (SELECT 1 FROM s_date_dim c WHERE c.date_key = o.order_date)"""))
+def q_calendar_coverage(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return quality.calendar_gaps(s["s_orders"], s["s_date_dim"])
+
+
+@register("qc_report", O.with_(O.CLV_DAILY, O.SALES, _LATEST, select=f"""
+SELECT 'silver_order_items_count' AS gate, count(*) > 0 AS passed, CAST(count(*) AS DOUBLE) AS observed
+FROM s_order_items
+UNION ALL
+SELECT 'calendar_missing_dates', count(*) = 0, CAST(count(*) AS DOUBLE)
+FROM (SELECT DISTINCT o.order_date FROM s_orders o
+      WHERE NOT EXISTS (SELECT 1 FROM s_date_dim c WHERE c.date_key = o.order_date))
+UNION ALL
+SELECT 'clv_high_tier_share', coalesce(x BETWEEN {quality.TIER_SHARE_LO} AND {quality.TIER_SHARE_HI}, false), x
+FROM (SELECT (count(*) FILTER (WHERE clv_tier = '{clv.TIER_HIGH}')) / count(*) AS x FROM clv_latest)
+UNION ALL
+SELECT 'clv_low_tier_share', coalesce(x BETWEEN {quality.TIER_SHARE_LO} AND {quality.TIER_SHARE_HI}, false), x
+FROM (SELECT (count(*) FILTER (WHERE clv_tier = '{clv.TIER_LOW}')) / count(*) AS x FROM clv_latest)
+UNION ALL
+SELECT 'net_minus_gross', coalesce(x >= -{quality.NET_GROSS_SLACK}, false), x
+FROM (SELECT CAST(CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) - sum(CAST(gross_revenue AS DECIMAL(18,2)))
+                       AS DECIMAL(18,2)) AS DOUBLE) AS x FROM sales)"""))
+def q_qc_report(spark, sf_dir):
+    s, g = gold(spark, sf_dir)
+    return quality.qc_report(s["s_order_items"], s["s_orders"], s["s_date_dim"],
+                             clv.clv_daily(s["s_orders"]), g["g_fact_sales_trends"])
+
+
+# ------------------------------------------------------------------ source profile
+@register("source_profile", O.with_("x AS (SELECT 1)", select="""
+SELECT rows, distinct_orders, distinct_users, distinct_locations, distinct_categories, guest_lines,
+       null_categories, price_min, price_median, price_max, qty_min, qty_median, qty_max,
+       zero_price_lines, zero_qty_lines, negative_price_lines, unparsed_price_lines,
+       guest_lines / rows AS guest_share
+FROM (
+  SELECT count(*) AS rows, count(DISTINCT order_id) AS distinct_orders,
+         count(DISTINCT CASE WHEN NOT g THEN user_id END) AS distinct_users,
+         count(DISTINCT restaurant_id) AS distinct_locations,
+         count(DISTINCT item_category) AS distinct_categories,
+         count(*) FILTER (WHERE g) AS guest_lines,
+         count(*) FILTER (WHERE item_category IS NULL) AS null_categories,
+         min(p) AS price_min, quantile_disc(p, 0.5) AS price_median, max(p) AS price_max,
+         min(q) AS qty_min, quantile_disc(q, 0.5) AS qty_median, max(q) AS qty_max,
+         count(*) FILTER (WHERE p = 0) AS zero_price_lines,
+         count(*) FILTER (WHERE q = 0) AS zero_qty_lines,
+         count(*) FILTER (WHERE p < 0) AS negative_price_lines,
+         count(*) FILTER (WHERE p IS NULL) AS unparsed_price_lines
+  FROM (SELECT order_id, user_id, restaurant_id, item_category,
+               user_id IS NULL OR trim(user_id) = '' AS g,
+               CAST(TRY_CAST(item_price AS DECIMAL(18,6)) AS DOUBLE) AS p,
+               CAST(trunc(TRY_CAST(item_quantity AS DOUBLE)) AS INTEGER) AS q
+        FROM src_order_items))"""))
+def q_source_profile(spark, sf_dir):
+    prepare(spark)
+    return profile.source_profile(fixtures.order_items(spark, sf_dir))
+
+
+@register("grain_duplicates", O.with_("x AS (SELECT 1)", select="""
+SELECT order_id, lineitem_id, count(*) AS copies FROM s_order_items
+GROUP BY order_id, lineitem_id HAVING count(*) > 1"""))
+def q_grain_duplicates(spark, sf_dir):
+    return profile.grain_duplicates(silver(spark, sf_dir)["s_order_items"])
+
+
+@register("orders_by_year", O.with_("x AS (SELECT 1)", select="""
+SELECT CAST(year(order_date) AS INTEGER) AS year, count(DISTINCT order_id) AS orders,
+       count(DISTINCT order_id) / (SELECT count(DISTINCT order_id) FROM s_orders) AS share
+FROM s_orders GROUP BY 1"""))
+def q_orders_by_year(spark, sf_dir):
+    return profile.orders_by_year(silver(spark, sf_dir)["s_orders"])
+
+
+@register("option_integrity", O.with_("x AS (SELECT 1)", select="""
+SELECT (SELECT count(*) FROM s_order_item_options) AS options,
+       (SELECT count(*) FROM s_order_item_options o WHERE NOT EXISTS (
+          SELECT 1 FROM s_order_items i WHERE i.order_id = o.order_id AND i.lineitem_id = o.lineitem_id))
+         AS orphan_options,
+       count(*) AS lines,
+       count(*) FILTER (WHERE EXISTS (SELECT 1 FROM s_order_item_options o
+                        WHERE o.order_id = i.order_id AND o.lineitem_id = i.lineitem_id)) AS lines_with_option,
+       (count(*) FILTER (WHERE EXISTS (SELECT 1 FROM s_order_item_options o
+                        WHERE o.order_id = i.order_id AND o.lineitem_id = i.lineitem_id))) / count(*)
+         AS lines_with_option_share
+FROM s_order_items i"""))
+def q_option_integrity(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return profile.option_integrity(s["s_order_items"], s["s_order_item_options"])
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_REGISTRY)
 

@@ -473,3 +473,6 @@ def queries() -> dict[str, QueryFn]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_ORACLE)
+
+
+from . import io_queries  # noqa: E402,F401  (registers the round-trip queries)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..contracts import GOLD_TABLES, SOURCE_COLUMNS
+from ..contracts import GOLD_TABLES, SILVER_TABLES, SOURCE_COLUMNS
 from ..operators import calendar as cal_ops
 from ..operators import cleaning, grain, quality
 from ..session import prepare
@@ -56,29 +56,36 @@ def read_bronze_batch(spark: SparkSession, zones: Zones, table: str, batch_date=
     return b.filter(F.col("batch_date") == bd).select(*SOURCE_COLUMNS[table])
 
 
-def silver(spark: SparkSession, zones: Zones, dev_app_name: str, batch_date=None) -> dict[str, int]:
-    """E2: clean one Bronze batch into Silver. The two cleaned tables are written first
-    and read back, so the calendar, line and order tables start from parquet."""
-    items = cleaning.clean_order_items(read_bronze_batch(spark, zones, "order_items", batch_date),
-                                       dev_app_name)
-    options = cleaning.clean_order_item_options(
-        read_bronze_batch(spark, zones, "order_item_options", batch_date))
-    counts = {"s_order_items": write_table(items, zone_path(zones.silver, "s_order_items")),
-              "s_order_item_options": write_table(options, zone_path(zones.silver, "s_order_item_options"))}
-    items = read_zone(spark, zones.silver, "s_order_items")
-    options = read_zone(spark, zones.silver, "s_order_item_options")
+def write_silver(spark: SparkSession, items_raw: DataFrame, options_raw: DataFrame,
+                 dev_app_name: str, silver_root: str) -> dict[str, int]:
+    """Clean raw sources into the five Silver tables under `silver_root`. The two cleaned
+    tables are written first and read back, so the calendar, line and order tables start
+    from parquet rather than from the raw lineage."""
+    items = cleaning.clean_order_items(items_raw, dev_app_name)
+    options = cleaning.clean_order_item_options(options_raw)
+    counts = {"s_order_items": write_table(items, zone_path(silver_root, "s_order_items")),
+              "s_order_item_options": write_table(options, zone_path(silver_root, "s_order_item_options"))}
+    items = read_zone(spark, silver_root, "s_order_items")
+    options = read_zone(spark, silver_root, "s_order_item_options")
     counts["s_date_dim"] = write_table(cal_ops.generate_calendar(cal_ops.date_bounds(items)),
-                                       zone_path(zones.silver, "s_date_dim"))
+                                       zone_path(silver_root, "s_date_dim"))
     counts["s_order_lines"] = write_table(grain.build_order_lines(items, options),
-                                          zone_path(zones.silver, "s_order_lines"))
-    lines = read_zone(spark, zones.silver, "s_order_lines")
-    counts["s_orders"] = write_table(grain.build_orders(lines), zone_path(zones.silver, "s_orders"))
+                                          zone_path(silver_root, "s_order_lines"))
+    lines = read_zone(spark, silver_root, "s_order_lines")
+    counts["s_orders"] = write_table(grain.build_orders(lines), zone_path(silver_root, "s_orders"))
     return counts
 
 
-def read_silver(spark: SparkSession, zones: Zones) -> dict[str, DataFrame]:
-    return {t: read_zone(spark, zones.silver, t)
-            for t in ["s_order_items", "s_order_item_options", "s_date_dim", "s_order_lines", "s_orders"]}
+def silver(spark: SparkSession, zones: Zones, dev_app_name: str, batch_date=None) -> dict[str, int]:
+    """E2: clean one Bronze batch into Silver."""
+    return write_silver(spark, read_bronze_batch(spark, zones, "order_items", batch_date),
+                        read_bronze_batch(spark, zones, "order_item_options", batch_date),
+                        dev_app_name, zones.silver)
+
+
+def read_silver(spark: SparkSession, zones: Zones | str) -> dict[str, DataFrame]:
+    root = zones.silver if isinstance(zones, Zones) else zones
+    return {t: read_zone(spark, root, t) for t in SILVER_TABLES}
 
 
 def clv(spark: SparkSession, zones: Zones, run_date=None, backfill: bool = False) -> int:

@@ -5,6 +5,7 @@ contracts (`sources/fixtures.py`), runs the engine, and returns the published co
 """
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.money import money_out
 from ..operators import calendar as cal_ops
 from ..operators import clv, marts, profile, quality, views
-from ..session import prepare
+from ..session import prepare, scratch_path
 from ..sources import fixtures
-from . import jobs
+from . import daily, jobs
 from . import oracle as O
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -31,13 +32,40 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+# Silver written once per (application, data folder): every Gold query reads it back,
+# as the daily chain does, instead of re-cleaning the raw tables per query.
+_SILVER_ROOTS: dict[tuple[str, str], str] = {}
+
+
+def silver_lazy(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Silver as one lazy plan from the raw tables (nothing written)."""
     prepare(spark)
     return jobs.build_silver(fixtures.order_items(spark, sf_dir),
                              fixtures.order_item_options(spark, sf_dir),
                              fixtures.DEV_APP_NAME)
 
 
+def build_silver_tables(spark: SparkSession, sf_dir: str) -> str:
+    """Clean the raw tables of `sf_dir` into Silver parquet under the shared checkpoint
+    root (once per application) and return the Silver root."""
+    prepare(spark)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    root = _SILVER_ROOTS.get(key)
+    if root is None:
+        root = scratch_path(spark, "silver")
+        daily.write_silver(spark, fixtures.order_items(spark, sf_dir),
+                           fixtures.order_item_options(spark, sf_dir),
+                           fixtures.DEV_APP_NAME, root)
+        _SILVER_ROOTS[key] = root
+    return root
+
+
+def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    if os.environ.get("ORDERLENS_SILVER", "materialize") == "lazy":
+        return silver_lazy(spark, sf_dir)
+    return daily.read_silver(spark, build_silver_tables(spark, sf_dir))
+
+
 # ------------------------------------------------------------------ Silver
 @register("clean_items", O.with_("x AS (SELECT 1)", select="""
 SELECT app_name, restaurant_id, creation_time_utc, order_id, user_id, printed_card_number,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..contracts import DATE_DIM_COLS
 from ..functions.holidays import holiday_table
+from .sizing import broadcast_if_small
 
 
 def date_bounds(s_items_or_orders: DataFrame, date_col: str = "order_date") -> DataFrame:
@@ -43,8 +44,8 @@ def generate_calendar(bounds: DataFrame, with_holidays: bool = True) -> DataFram
     # Observed New Year's Day can fall on 31 Dec of the year before, hence hi + 1 year.
     years = bounds.select(F.explode(F.sequence(F.year("lo"), F.year("hi") + 1)).alias("year"))
     hol = holiday_table(years)
-    # Both sides are bounded by the day span; the calendar side is the preserved one.
-    cal = cal.join(F.broadcast(hol), cal.date_key == hol.h_date, "left")
+    # Holidays: ~16 rows per year spanned.
+    cal = cal.join(broadcast_if_small(hol), cal.date_key == hol.h_date, "left")
     return cal.select(*DATE_DIM_COLS[:-2], F.col("h_date").isNotNull().alias("is_holiday"),
                       "holiday_name")
 

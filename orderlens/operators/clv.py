@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.money import MONEY, cents, half_up_ratio, money_out, money_sum
 from . import ranking
+from .sizing import broadcast_if_small
 
 # Tier labels by quintile (5 = top 20 %, 1 = bottom 20 %).
 TIER_HIGH, TIER_MEDIUM, TIER_LOW = "High", "Medium", "Low"
@@ -98,8 +99,12 @@ def clv_as_of(orders: DataFrame, snapshots: DataFrame, method: str = "distribute
     snap_idx = snapshots.select("snapshot_date").distinct().select(
         "snapshot_date", F.row_number().over(Window.orderBy("snapshot_date")).alias("sidx"))
 
-    # Orders after the last snapshot (or with no date) fall out of the inner join.
-    ob = o.join(F.broadcast(buckets), o.order_date == buckets.date_key)
+    # Orders after the last snapshot (or with no date) fall out of the inner join. The
+    # map has one row per day spanned; broadcasting it keeps a hot order date from
+    # landing in one shuffle partition.
+    buckets = broadcast_if_small(buckets)
+    snap_idx = broadcast_if_small(snap_idx)
+    ob = o.join(buckets, o.order_date == buckets.date_key)
     per_bucket = (ob.groupBy("user_id", "bidx")
                   .agg(money_sum("order_net").alias("net"),
                        F.min("order_date").alias("first_d"),
@@ -123,5 +128,5 @@ def clv_as_of(orders: DataFrame, snapshots: DataFrame, method: str = "distribute
     # Carry each state forward to every snapshot before the user's next active bucket.
     dense = cum.withColumn("sidx", F.explode(F.sequence(
         F.col("bidx"), F.coalesce(F.col("_next") - 1, F.col("n_snap")).cast("int"))))
-    state = dense.join(F.broadcast(snap_idx), "sidx").drop("sidx", "bidx", "_next", "n_snap")
+    state = dense.join(snap_idx, "sidx").drop("sidx", "bidx", "_next", "n_snap")
     return _finish(state, method)

@@ -1,0 +1,21 @@
+"""Size-checked broadcast.
+
+A dimension derived from the data (the calendar, a date → snapshot map, holidays) is
+small in practice, but its size follows the data's date span. It is broadcast only after
+a bounded count proves it small; beyond the bound the join is left to the planner
+(sort-merge with adaptive skew splitting), so a bad date span degrades speed, not
+correctness or memory.
+"""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# Fixed value: ~1,370 years of days; a few tens of MB for the widest dimension here.
+MAX_BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """`broadcast(df)` when it has at most `max_rows` rows, else `df` unchanged. The
+    check reads at most `max_rows + 1` rows."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

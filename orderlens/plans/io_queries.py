@@ -176,3 +176,26 @@ def q_daily_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily.ingest(sources, zones, "parquet", BATCH_A)
     daily.silver(spark, zones, fixtures.DEV_APP_NAME)
     return _orders_out(read_zone(spark, zones.silver, "s_orders"))
+
+
+@register("landing_stream_ingest", O.with_("x AS (SELECT 1)", select=_ORDERS_SQL))
+def q_landing_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extract files land in a folder; two streaming ingest runs follow (the second finds
+    no new file and lands nothing); Silver orders built from Bronze equal the direct
+    path's."""
+    from ..streaming.landing import ingest_landing
+
+    prepare(spark)
+    root = scratch_path(spark, "landing")
+    zones = daily.Zones.under(root)
+    _to_csv(fixtures.order_items(spark, sf_dir), f"{root}/landing/order_items")
+    _to_csv(fixtures.order_item_options(spark, sf_dir), f"{root}/landing/order_item_options")
+    for _ in range(2):
+        for table, multiline in (("order_items", True), ("order_item_options", False)):
+            ingest_landing(spark, f"{root}/landing/{table}", table,
+                           zone_path(zones.bronze, f"b_{table}"), f"{root}/_stream/{table}",
+                           batch_date=BATCH_A, multiline=multiline)
+    s = jobs.build_silver(daily.read_bronze_batch(spark, zones, "order_items"),
+                          daily.read_bronze_batch(spark, zones, "order_item_options"),
+                          fixtures.DEV_APP_NAME)
+    return _orders_out(s["s_orders"])

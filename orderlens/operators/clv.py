@@ -37,12 +37,18 @@ def identified(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("user_id").isNotNull())
 
 
-def _finish(state: DataFrame, method: str) -> DataFrame:
-    """state(user_id, snapshot_date, cum_net MONEY, cum_orders, first, last) → CLV rows."""
+def _finish(state: DataFrame, method: str, with_tiers: bool = True) -> DataFrame:
+    """state(user_id, snapshot_date, cum_net MONEY, cum_orders, first, last) → CLV rows.
+    `with_tiers=False` skips the ranking for callers that never read `clv_tier`."""
     state = state.withColumns({
         "recency_days": F.datediff("snapshot_date", "last_order_date"),
         "avg_order_value": half_up_ratio(cents("cum_net_revenue"), F.col("cum_orders"), 2, 2),
     })
+    if not with_tiers:
+        return state.select(
+            "user_id", "snapshot_date", money_out("cum_net_revenue").alias("cum_net_revenue"),
+            "cum_orders", "first_order_date", "last_order_date", "recency_days",
+            "avg_order_value", F.lit(None).cast("string").alias("clv_tier"))
     tiered = ranking.ntile(state, TIERS, [F.col("cum_net_revenue").asc(), F.col("user_id").asc()],
                            partition_by=["snapshot_date"], out_col="_tile", method=method)
     tier = (F.when(F.col("_tile") == TIERS, F.lit(TIER_HIGH))
@@ -55,7 +61,7 @@ def _finish(state: DataFrame, method: str) -> DataFrame:
 
 
 def clv_daily(orders: DataFrame, run_date: str | _dt.date | Column | None = None,
-              method: str = "distributed") -> DataFrame:
+              method: str = "distributed", with_tiers: bool = True) -> DataFrame:
     """One snapshot. `run_date` defaults to the last order date (computed in-plan as a
     scalar subquery, not collected)."""
     o = identified(orders)
@@ -72,7 +78,7 @@ def clv_daily(orders: DataFrame, run_date: str | _dt.date | Column | None = None
                   F.min("order_date").alias("first_order_date"),
                   F.max("order_date").alias("last_order_date"))
              .withColumn("snapshot_date", snap))
-    return _finish(state, method)
+    return _finish(state, method, with_tiers)
 
 
 def snapshot_buckets(snapshots: DataFrame, lo: Column) -> DataFrame:
@@ -91,7 +97,8 @@ def snapshot_buckets(snapshots: DataFrame, lo: Column) -> DataFrame:
                     "bidx", "n_snap"))
 
 
-def clv_as_of(orders: DataFrame, snapshots: DataFrame, method: str = "distributed") -> DataFrame:
+def clv_as_of(orders: DataFrame, snapshots: DataFrame, method: str = "distributed",
+              with_tiers: bool = True) -> DataFrame:
     """CLV at every date in `snapshots(snapshot_date)`."""
     o = identified(orders)
     lo = orders.select(F.min("order_date")).scalar()
@@ -129,4 +136,4 @@ def clv_as_of(orders: DataFrame, snapshots: DataFrame, method: str = "distribute
     dense = cum.withColumn("sidx", F.explode(F.sequence(
         F.col("bidx"), F.coalesce(F.col("_next") - 1, F.col("n_snap")).cast("int"))))
     state = dense.join(snap_idx, "sidx").drop("sidx", "bidx", "_next", "n_snap")
-    return _finish(state, method)
+    return _finish(state, method, with_tiers)

@@ -220,11 +220,6 @@ def q_addon_revenue(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ views
-def gold(spark: SparkSession, sf_dir: str) -> tuple[dict, dict]:
-    s = silver(spark, sf_dir)
-    return s, jobs.build_marts(s)
-
-
 # Fixed parameters the view oracles are written for.
 VIEW_CATEGORIES = ["MEDIUM", "PROMO"]
 VIEW_LOCATIONS = ["R0", "R5", "R13"]
@@ -244,8 +239,10 @@ SELECT max(snapshot_date) AS snapshot_date, count(DISTINCT user_id) AS identifie
        {O.ratio('sum(cum_orders)', 'count(cum_orders)', 2)} AS avg_orders
 FROM clv_latest"""))
 def q_clv_overview_kpis(spark, sf_dir):
-    s, g = gold(spark, sf_dir)
-    return views.clv_overview_kpis(clv.clv_daily(s["s_orders"]), g["g_fact_sales_trends"])
+    s = silver(spark, sf_dir)
+    # The overview reads revenue and orders only: the CLV state without tier ranking.
+    return views.clv_overview_kpis(clv.clv_daily(s["s_orders"], with_tiers=False),
+                                   marts.build_sales_trends(s["s_order_lines"], s["s_date_dim"]))
 
 
 _TIERS_SQL = " UNION ALL ".join(f"SELECT '{t}' AS clv_tier, {i + 1} AS tier_order"
@@ -429,9 +426,10 @@ SELECT 'net_minus_gross', coalesce(x >= -{quality.NET_GROSS_SLACK}, false), x
 FROM (SELECT CAST(CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) - sum(CAST(gross_revenue AS DECIMAL(18,2)))
                        AS DECIMAL(18,2)) AS DOUBLE) AS x FROM sales)"""))
 def q_qc_report(spark, sf_dir):
-    s, g = gold(spark, sf_dir)
+    s = silver(spark, sf_dir)
     return quality.qc_report(s["s_order_items"], s["s_orders"], s["s_date_dim"],
-                             clv.clv_daily(s["s_orders"]), g["g_fact_sales_trends"])
+                             clv.clv_daily(s["s_orders"]),
+                             marts.build_sales_trends(s["s_order_lines"], s["s_date_dim"]))
 
 
 # ------------------------------------------------------------------ source profile

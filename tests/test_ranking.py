@@ -57,3 +57,15 @@ def test_distributed_plan_has_no_single_partition_exchange(spark):
     # (ranges × groups rows); the data itself is never gathered into one task.
     for i in singles:
         assert "keys=[_rk_part" in lines[i + 1], lines[i + 1]
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(-2, 2)), min_size=1, max_size=60),
+       st.integers(1, 7), st.integers(1, 6))
+def test_ntile_property(spark, rows, tiles, ranges):
+    data = [(g, k, f"u{i:03d}") for i, (g, k) in enumerate(rows)]
+    got, want = compare(spark, data, groups=("g",), tiles=tiles, num_ranges=ranges)
+    assert got == want

@@ -61,7 +61,7 @@ def _finish(state: DataFrame, method: str, with_tiers: bool = True) -> DataFrame
 
 
 def clv_daily(orders: DataFrame, run_date: str | _dt.date | Column | None = None,
-              method: str = "distributed", with_tiers: bool = True) -> DataFrame:
+              method: str = "auto", with_tiers: bool = True) -> DataFrame:
     """One snapshot. `run_date` defaults to the last order date (computed in-plan as a
     scalar subquery, not collected)."""
     o = identified(orders)
@@ -97,7 +97,7 @@ def snapshot_buckets(snapshots: DataFrame, lo: Column) -> DataFrame:
                     "bidx", "n_snap"))
 
 
-def clv_as_of(orders: DataFrame, snapshots: DataFrame, method: str = "distributed",
+def clv_as_of(orders: DataFrame, snapshots: DataFrame, method: str = "auto",
               with_tiers: bool = True) -> DataFrame:
     """CLV at every date in `snapshots(snapshot_date)`."""
     o = identified(orders)

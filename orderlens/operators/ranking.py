@@ -18,6 +18,10 @@ single task — for a customer table ranked by spend that is every customer in o
 
 NTILE(n) then follows from (position, group size) in closed form. The result equals
 `ntile(n) OVER (PARTITION BY group ORDER BY keys)` exactly whenever the order is total.
+
+method="auto" (the default) first counts at most SMALL_INPUT_ROWS + 1 rows: an input no
+larger than that is ranked with Spark's window function (a single-task sort of a bounded
+number of rows, same answer), anything larger takes the distributed path.
 """
 from __future__ import annotations
 
@@ -30,6 +34,9 @@ from ..session import checkpoint_root
 
 _TMP = ["_rk_part", "_rk_seq", "_rk_first", "_rk_before", "_rk_cnt"]
 
+# Fixed value: largest input ranked in a single task (window function) under method="auto".
+SMALL_INPUT_ROWS = 100_000
+
 
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -88,14 +95,25 @@ def ntile_from_position(pos: Column, n: Column, tiles: int) -> Column:
     return F.when(pos <= big, first_part).otherwise(second_part).cast("int")
 
 
+def _resolve(df: DataFrame, method: str, small_rows: int) -> tuple[DataFrame, str]:
+    """method="auto": keep the input (it is read again either way) and look at no more
+    than `small_rows + 1` of its rows to pick the window or the distributed path."""
+    if method != "auto":
+        return df, method
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    small = src.limit(small_rows + 1).count() <= small_rows
+    return src, ("window" if small else "distributed")
+
+
 def ntile(df: DataFrame, tiles: int, order_by: Sequence, partition_by: Sequence[str] = (),
-          out_col: str = "ntile", method: str = "distributed",
-          num_ranges: int | None = None) -> DataFrame:
+          out_col: str = "ntile", method: str = "auto",
+          num_ranges: int | None = None, small_rows: int = SMALL_INPUT_ROWS) -> DataFrame:
     """`df` with `out_col` = NTILE(tiles) over (partition_by, order_by).
 
-    method="distributed" (default) never puts a whole group in one task;
-    method="window" is Spark's window function, kept for comparison and tiny inputs.
+    method="distributed" never puts a whole group in one task; method="window" is
+    Spark's window function; method="auto" picks by a bounded row count.
     """
+    df, method = _resolve(df, method, small_rows)
     if method == "window":
         w = Window.partitionBy(*partition_by).orderBy(*[_as_col(c) for c in order_by])
         return df.withColumn(out_col, F.ntile(tiles).over(w))
@@ -106,12 +124,13 @@ def ntile(df: DataFrame, tiles: int, order_by: Sequence, partition_by: Sequence[
 
 
 def row_number(df: DataFrame, order_by: Sequence, partition_by: Sequence[str] = (),
-               out_col: str = "row_number", method: str = "distributed",
-               num_ranges: int | None = None) -> DataFrame:
+               out_col: str = "row_number", method: str = "auto",
+               num_ranges: int | None = None, small_rows: int = SMALL_INPUT_ROWS) -> DataFrame:
     """`df` with `out_col` = ROW_NUMBER() over (partition_by, order_by)."""
+    df, method = _resolve(df, method, small_rows)
     if method == "window":
         w = Window.partitionBy(*partition_by).orderBy(*[_as_col(c) for c in order_by])
-        return df.withColumn(out_col, F.row_number().over(w))
+        return df.withColumn(out_col, F.row_number().over(w).cast("int"))
     pos = ordered_positions(df, order_by, partition_by, num_ranges=num_ranges,
                             pos_col=out_col, size_col="_rn_n")
     return pos.withColumn(out_col, F.col(out_col).cast("int")).drop("_rn_n")

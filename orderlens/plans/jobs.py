@@ -23,7 +23,7 @@ def build_silver(order_items_raw: DataFrame, options_raw: DataFrame,
 
 
 def build_clv(spark: SparkSession, silver: dict[str, DataFrame], run_date=None,
-              backfill: bool = False, method: str = "distributed") -> DataFrame:
+              backfill: bool = False, method: str = "auto") -> DataFrame:
     """Daily run: one snapshot at `run_date` (default: last order date). Backfill:
     month-end snapshots over the whole calendar."""
     orders = silver["s_orders"]
@@ -34,7 +34,7 @@ def build_clv(spark: SparkSession, silver: dict[str, DataFrame], run_date=None,
 
 
 def build_marts(silver: dict[str, DataFrame], analysis_date=None,
-                method: str = "distributed") -> dict[str, DataFrame]:
+                method: str = "auto") -> dict[str, DataFrame]:
     orders, lines, cal = silver["s_orders"], silver["s_order_lines"], silver["s_date_dim"]
     return {
         "g_dim_customer_rfm": marts.build_rfm(orders, analysis_date, method=method),

@@ -42,7 +42,7 @@ def _lineitem_id(l: DataFrame):
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = _read(spark, sf_dir, "lineitem", "l_orderkey").alias("l")
-    o = _read(spark, sf_dir, "orders", "o_orderkey").alias("o")
+    o = _read(spark, sf_dir, "orders").alias("o")  # broadcast when small, else shuffled by key
     p = _read(spark, sf_dir, "part").alias("p")
     key = F.col("o.o_orderkey")
     malformed = ((F.col("l.l_orderkey") * 7 + F.col("l.l_linenumber")) % MALFORMED_MODULUS) == 0

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from orderlens.operators import clv
@@ -53,23 +55,30 @@ def as_map(out):
                                            r.last_order_date) for r in out.collect()}
 
 
-def test_split_order_counted_once(spark):
+@pytest.mark.parametrize("method", ["auto", "distributed"])
+def test_split_order_counted_once(spark, method):
     # one order_id carrying two order dates (lines disagreeing on an attribute)
     o = orders(spark, [("o1", "u1", "2023-01-05", 10), ("o1", "u1", "2023-02-05", 5),
                        ("o2", "u1", "2023-02-06", 7), ("o3", "u2", "2023-03-01", 1)])
     s = snaps(spark, "2023-01-31", "2023-02-28", "2023-03-31")
-    got = as_map(clv.clv_as_of(o, s))
+    got = as_map(clv.clv_as_of(o, s, method=method))
     assert got == brute_force(o, s)
     assert got[("u1", dt.date(2023, 2, 28))][1] == 2
 
 
-def test_matches_range_join_on_driver_data(spark, sf_small):
+@pytest.mark.parametrize("method", ["auto", "distributed"])
+def test_matches_range_join_on_driver_data(spark, sf_small, method):
     from orderlens.operators import calendar as cal_ops
     from orderlens.plans.queries import silver
 
     s = silver(spark, sf_small)
     snaps_df = cal_ops.month_end_snapshots(s["s_date_dim"])
-    assert as_map(clv.clv_as_of(s["s_orders"], snaps_df)) == brute_force(s["s_orders"], snaps_df)
+    got = clv.clv_as_of(s["s_orders"], snaps_df, method=method)
+    assert as_map(got) == brute_force(s["s_orders"], snaps_df)
+    tiers = {(r.user_id, r.snapshot_date): r.clv_tier for r in got.collect()}
+    ref = {(r.user_id, r.snapshot_date): r.clv_tier
+           for r in clv.clv_as_of(s["s_orders"], snaps_df, method="window").collect()}
+    assert tiers == ref
 
 
 def test_orders_after_last_snapshot_ignored(spark):

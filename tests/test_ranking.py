@@ -10,7 +10,7 @@ def compare(spark, rows, groups=(), tiles=5, num_ranges=3):
     df = spark.createDataFrame(rows, "g int, k int, u string")
     order = [F.col("k").asc(), F.col("u").asc()]
     got = ranking.ntile(df, tiles, order, partition_by=list(groups), out_col="t",
-                        num_ranges=num_ranges)
+                        num_ranges=num_ranges, method="distributed")
     w = Window.partitionBy(*groups).orderBy(*order)
     want = df.withColumn("t", F.ntile(tiles).over(w))
     return ({(r.g, r.u, r.t) for r in got.collect()}, {(r.g, r.u, r.t) for r in want.collect()})
@@ -43,14 +43,14 @@ def test_row_number_matches_window(spark):
     rnd = random.Random(3)
     df = spark.createDataFrame([(rnd.randint(0, 5), f"u{i:04d}") for i in range(500)], "k int, u string")
     order = [F.col("k").desc(), F.col("u").asc()]
-    got = {(r.u, r.rn) for r in ranking.row_number(df, order, out_col="rn", num_ranges=4).collect()}
+    got = {(r.u, r.rn) for r in ranking.row_number(df, order, out_col="rn", num_ranges=4, method="distributed").collect()}
     want = {(r.u, r.rn) for r in df.withColumn("rn", F.row_number().over(Window.orderBy(*order))).collect()}
     assert got == want
 
 
 def test_distributed_plan_has_no_single_partition_exchange(spark):
     df = spark.range(2000).select((F.col("id") % 17).alias("k"), F.col("id").cast("string").alias("u"))
-    out = ranking.ntile(df, 5, [F.col("k"), F.col("u")], out_col="t")
+    out = ranking.ntile(df, 5, [F.col("k"), F.col("u")], out_col="t", method="distributed")
     lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
     singles = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
     # The only single-task step is the running sum over the per-range counts table
@@ -69,3 +69,12 @@ def test_ntile_property(spark, rows, tiles, ranges):
     data = [(g, k, f"u{i:03d}") for i, (g, k) in enumerate(rows)]
     got, want = compare(spark, data, groups=("g",), tiles=tiles, num_ranges=ranges)
     assert got == want
+
+
+def test_auto_picks_window_for_small_and_distributed_for_large(spark):
+    df = spark.range(300).select((F.col("id") % 7).alias("k"), F.col("id").cast("string").alias("u"))
+    small = ranking.ntile(df, 5, [F.col("k"), F.col("u")], out_col="t")
+    large = ranking.ntile(df, 5, [F.col("k"), F.col("u")], out_col="t", small_rows=100)
+    assert "Window" in small._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in large._jdf.queryExecution().executedPlan().toString().split("Scan")[0]
+    assert {(r.u, r.t) for r in small.collect()} == {(r.u, r.t) for r in large.collect()}

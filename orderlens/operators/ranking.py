@@ -19,9 +19,10 @@ single task — for a customer table ranked by spend that is every customer in o
 NTILE(n) then follows from (position, group size) in closed form. The result equals
 `ntile(n) OVER (PARTITION BY group ORDER BY keys)` exactly whenever the order is total.
 
-method="auto" (the default) first counts at most SMALL_INPUT_ROWS + 1 rows: an input no
-larger than that is ranked with Spark's window function (a single-task sort of a bounded
-number of rows, same answer), anything larger takes the distributed path.
+method="auto" (the default) uses Spark's window function when no single task would sort
+more than SMALL_INPUT_ROWS rows — checked on the whole input when unpartitioned, on the
+largest group when partitioned (the window spreads groups over tasks) — and the
+distributed path otherwise. Both give the same answer.
 """
 from __future__ import annotations
 
@@ -95,13 +96,21 @@ def ntile_from_position(pos: Column, n: Column, tiles: int) -> Column:
     return F.when(pos <= big, first_part).otherwise(second_part).cast("int")
 
 
-def _resolve(df: DataFrame, method: str, small_rows: int) -> tuple[DataFrame, str]:
-    """method="auto": keep the input (it is read again either way) and look at no more
-    than `small_rows + 1` of its rows to pick the window or the distributed path."""
+def _resolve(df: DataFrame, method: str, small_rows: int,
+             partition_by: Sequence[str] = ()) -> tuple[DataFrame, str]:
+    """method="auto": keep the input (it is read again either way) and pick the window
+    path when no single task would have to sort more than `small_rows` rows — the whole
+    input when unpartitioned (a bounded count of at most `small_rows + 1` rows), the
+    largest group when partitioned (one aggregate row reaches the driver)."""
     if method != "auto":
         return df, method
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    small = src.limit(small_rows + 1).count() <= small_rows
+    if partition_by:
+        largest = (src.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"))
+                   .agg(F.max("_n").alias("_m")).first()["_m"]) or 0
+        small = largest <= small_rows
+    else:
+        small = src.limit(small_rows + 1).count() <= small_rows
     return src, ("window" if small else "distributed")
 
 
@@ -113,7 +122,7 @@ def ntile(df: DataFrame, tiles: int, order_by: Sequence, partition_by: Sequence[
     method="distributed" never puts a whole group in one task; method="window" is
     Spark's window function; method="auto" picks by a bounded row count.
     """
-    df, method = _resolve(df, method, small_rows)
+    df, method = _resolve(df, method, small_rows, partition_by)
     if method == "window":
         w = Window.partitionBy(*partition_by).orderBy(*[_as_col(c) for c in order_by])
         return df.withColumn(out_col, F.ntile(tiles).over(w))
@@ -127,7 +136,7 @@ def row_number(df: DataFrame, order_by: Sequence, partition_by: Sequence[str] =
                out_col: str = "row_number", method: str = "auto",
                num_ranges: int | None = None, small_rows: int = SMALL_INPUT_ROWS) -> DataFrame:
     """`df` with `out_col` = ROW_NUMBER() over (partition_by, order_by)."""
-    df, method = _resolve(df, method, small_rows)
+    df, method = _resolve(df, method, small_rows, partition_by)
     if method == "window":
         w = Window.partitionBy(*partition_by).orderBy(*[_as_col(c) for c in order_by])
         return df.withColumn(out_col, F.row_number().over(w).cast("int"))

@@ -38,6 +38,8 @@ _TMP = ["_rk_part", "_rk_seq", "_rk_first", "_rk_before", "_rk_cnt"]
 # Fixed value: largest input ranked in a single task (window function) under method="auto".
 SMALL_INPUT_ROWS = 100_000
 
+_HELD: list[DataFrame] = []
+
 
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -111,7 +113,19 @@ def _resolve(df: DataFrame, method: str, small_rows: int,
         small = largest <= small_rows
     else:
         small = src.limit(small_rows + 1).count() <= small_rows
-    return src, ("window" if small else "distributed")
+    if small:
+        # The returned window plan reads the kept input lazily; it stays cached until
+        # `release_held()` (next query / end of a job step). Releasing early is safe:
+        # the plan then recomputes the input from its lineage.
+        _HELD.append(src)
+        return src, "window"
+    return src, "distributed"  # ordered_positions releases it after its checkpoint
+
+
+def release_held() -> None:
+    """Unpersist the inputs kept for window-path ranks built earlier."""
+    while _HELD:
+        _HELD.pop().unpersist()
 
 
 def ntile(df: DataFrame, tiles: int, order_by: Sequence, partition_by: Sequence[str] = (),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..contracts import GOLD_TABLES, SILVER_TABLES, SOURCE_COLUMNS
 from ..operators import calendar as cal_ops
-from ..operators import cleaning, grain, quality
+from ..operators import cleaning, grain, quality, ranking
 from ..session import prepare
 from ..sources.readers import read_zone, zone_path
 from ..sources.sinks import publish_tables, stamp_ingest, upsert_snapshots, write_batch, write_table
@@ -91,13 +91,17 @@ def read_silver(spark: SparkSession, zones: Zones | str) -> dict[str, DataFrame]
 def clv(spark: SparkSession, zones: Zones, run_date=None, backfill: bool = False) -> int:
     """E3: daily snapshot (or month-end backfill) upserted by snapshot_date."""
     df = jobs.build_clv(spark, read_silver(spark, zones), run_date=run_date, backfill=backfill)
-    return upsert_snapshots(df, zone_path(zones.gold, CLV_TABLE))
+    rows = upsert_snapshots(df, zone_path(zones.gold, CLV_TABLE))
+    ranking.release_held()
+    return rows
 
 
 def marts(spark: SparkSession, zones: Zones, analysis_date=None) -> dict[str, int]:
     """E4: the six marts, each replaced whole."""
     built = jobs.build_marts(read_silver(spark, zones), analysis_date)
-    return {name: write_table(df, zone_path(zones.gold, name)) for name, df in built.items()}
+    rows = {name: write_table(df, zone_path(zones.gold, name)) for name, df in built.items()}
+    ranking.release_held()
+    return rows
 
 
 def qc_and_publish(spark: SparkSession, zones: Zones, database: str | None = None,

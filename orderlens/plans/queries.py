@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.money import money_out
 from ..operators import calendar as cal_ops
-from ..operators import clv, marts, profile, quality, views
+from ..operators import clv, marts, profile, quality, ranking, views
 from ..session import prepare, scratch_path
 from ..sources import fixtures
 from . import daily, jobs
@@ -61,6 +61,7 @@ def build_silver_tables(spark: SparkSession, sf_dir: str) -> str:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    ranking.release_held()  # caches kept by the previous query's ranks
     if os.environ.get("ORDERLENS_SILVER", "materialize") == "lazy":
         return silver_lazy(spark, sf_dir)
     return daily.read_silver(spark, build_silver_tables(spark, sf_dir))

@@ -65,3 +65,16 @@ def test_csv_reader_maps_by_name(spark):
 def test_partitioned_jdbc_read_needs_bounds(spark):
     with pytest.raises(ValueError):
         readers.read_jdbc(spark, "jdbc:none", "t", "u", "p", partition_column="id")
+
+
+def test_publish_partitioned_table(spark):
+    root = scratch_path(spark, "t-gold-part")
+    rows = [("u1", dt.date(2023, 1, 31), 1), ("u2", dt.date(2023, 2, 28), 2)]
+    sinks.upsert_snapshots(spark.createDataFrame(rows, "user_id string, snapshot_date date, v int"),
+                           f"{root}/g_fact_customer_clv_daily")
+    sinks.publish_tables(spark, "t_gold_p", root, ["g_fact_customer_clv_daily"],
+                         partitioned={"g_fact_customer_clv_daily": "snapshot_date"})
+    t = spark.table("t_gold_p.g_fact_customer_clv_daily")
+    assert t.count() == 2
+    latest = t.filter(F.col("snapshot_date") == dt.date(2023, 2, 28))
+    assert [r.user_id for r in latest.collect()] == ["u2"]

@@ -109,8 +109,9 @@ def clv_as_of(orders: DataFrame, snapshots: DataFrame, method: str = "auto",
     # Orders after the last snapshot (or with no date) fall out of the inner join. The
     # map has one row per day spanned; broadcasting it keeps a hot order date from
     # landing in one shuffle partition.
-    buckets = broadcast_if_small(buckets)
-    snap_idx = broadcast_if_small(snap_idx)
+    checked = broadcast_if_small(buckets)
+    if checked is not buckets:  # the snapshot index is never larger than the bucket map
+        buckets, snap_idx = checked, F.broadcast(snap_idx)
     ob = o.join(buckets, o.order_date == buckets.date_key)
     per_bucket = (ob.groupBy("user_id", "bidx")
                   .agg(money_sum("order_net").alias("net"),

@@ -23,15 +23,16 @@ MALFORMED_MODULUS = 9973         # (orderkey*7 + linenumber) % 9973 = 0 → malf
 OPTION_DUP_MODULUS = 89          # options of orderkey % 89 = 0 are landed twice
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str, key: str | None = None) -> DataFrame:
+def _read(spark: SparkSession, sf_dir: str, table: str, spread: bool = False) -> DataFrame:
     """Scan one table. A file that is one row group is read by one task, and everything
-    up to the first shuffle would run there; such an under-split scan is spread by its
-    join key. A real table with enough splits is left alone (no extra shuffle)."""
+    up to the first shuffle would run there; such an under-split scan is spread
+    round-robin (even whatever the key distribution). A real table with enough splits is
+    left alone (no extra shuffle)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
-    if key is not None:
+    if spread:
         par = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < par:
-            df = df.repartition(par, key)
+            df = df.repartition(par)
     return df
 
 
@@ -41,7 +42,7 @@ def _lineitem_id(l: DataFrame):
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    l = _read(spark, sf_dir, "lineitem", "l_orderkey").alias("l")
+    l = _read(spark, sf_dir, "lineitem", spread=True).alias("l")
     o = _read(spark, sf_dir, "orders").alias("o")  # broadcast when small, else shuffled by key
     p = _read(spark, sf_dir, "part").alias("p")
     key = F.col("o.o_orderkey")
@@ -79,7 +80,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    l = _read(spark, sf_dir, "lineitem", "l_orderkey")
+    l = _read(spark, sf_dir, "lineitem", spread=True)
     even = l.filter(l.l_linenumber % 2 == 0)
     price = ((F.round(even.l_tax * 100).cast("int") * 25).cast("decimal(18,0)")
              / F.lit(100)).cast("decimal(9,2)").cast("string")

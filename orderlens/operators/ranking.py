@@ -26,6 +26,7 @@ distributed path otherwise. Both give the same answer.
 """
 from __future__ import annotations
 
+import threading
 from typing import Sequence
 
 from pyspark import StorageLevel
@@ -39,6 +40,7 @@ _TMP = ["_rk_part", "_rk_seq", "_rk_first", "_rk_before", "_rk_cnt"]
 SMALL_INPUT_ROWS = 100_000
 
 _HELD: list[DataFrame] = []
+_HELD_LOCK = threading.Lock()
 
 
 def _as_col(c) -> Column:
@@ -117,15 +119,18 @@ def _resolve(df: DataFrame, method: str, small_rows: int,
         # The returned window plan reads the kept input lazily; it stays cached until
         # `release_held()` (next query / end of a job step). Releasing early is safe:
         # the plan then recomputes the input from its lineage.
-        _HELD.append(src)
+        with _HELD_LOCK:
+            _HELD.append(src)
         return src, "window"
     return src, "distributed"  # ordered_positions releases it after its checkpoint
 
 
 def release_held() -> None:
     """Unpersist the inputs kept for window-path ranks built earlier."""
-    while _HELD:
-        _HELD.pop().unpersist()
+    with _HELD_LOCK:
+        held, _HELD[:] = list(_HELD), []
+    for df in held:
+        df.unpersist()
 
 
 def ntile(df: DataFrame, tiles: int, order_by: Sequence, partition_by: Sequence[str] = (),

@@ -8,6 +8,7 @@ CLV replaces only the snapshot dates it computed.
 """
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -125,7 +126,20 @@ def run_daily(spark: SparkSession, sources: dict[str, DataFrame], zones: Zones,
     prepare(spark)
     out = {"bronze": ingest(sources, zones, source_label, batch_date)}
     out["silver"] = silver(spark, zones, dev_app_name, batch_date)
-    out["clv"] = clv(spark, zones)
-    out["marts"] = marts(spark, zones)
+    # CLV and the marts only read Silver: submit both steps' jobs at once, so the
+    # scheduler can interleave their tasks (as the two parallel jobs of the DAG).
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        f_clv = pool.submit(_in_pool, spark, "clv", clv, spark, zones)
+        f_marts = pool.submit(_in_pool, spark, "marts", marts, spark, zones)
+        out["clv"], out["marts"] = f_clv.result(), f_marts.result()
     out["qc"] = qc_and_publish(spark, zones, database, expected_items)
     return out
+
+
+def _in_pool(spark: SparkSession, pool: str, fn, *args):
+    """Run one step's jobs in their own scheduler pool (effective under FAIR mode)."""
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+    try:
+        return fn(*args)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)

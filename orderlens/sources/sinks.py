@@ -24,11 +24,26 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+# Tables this process published, by location: refreshed after a rewrite of the folder.
+_PUBLISHED: dict[str, str] = {}
+
+
+def _written(df: DataFrame, path: str, obs: Observation) -> int:
+    """After a write: drop cached data and file listings of anything reading `path`
+    (cached DataFrames, and a table published over this folder), return rows written."""
+    catalog = df.sparkSession.catalog
+    catalog.refreshByPath(path)
+    table = _PUBLISHED.get(path.rstrip("/"))
+    if table and catalog.tableExists(table):
+        catalog.refreshTable(table)
+    return int(obs.get["rows"])
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     """Replace the whole table (schema included). Returns the rows written."""
     df, obs = _observed(df, "write_table")
     df.write.mode("overwrite").format(fmt).save(path)
-    return int(obs.get["rows"])
+    return _written(df, path, obs)
 
 
 def write_partitions(df: DataFrame, path: str, partition_col: str, fmt: str = "parquet") -> int:
@@ -37,7 +52,7 @@ def write_partitions(df: DataFrame, path: str, partition_col: str, fmt: str = "p
     df, obs = _observed(df, "write_partitions")
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).format(fmt).save(path))
-    return int(obs.get["rows"])
+    return _written(df, path, obs)
 
 
 def write_batch(df: DataFrame, path: str, batch_date=None, fmt: str = "parquet") -> int:
@@ -46,7 +61,7 @@ def write_batch(df: DataFrame, path: str, batch_date=None, fmt: str = "parquet")
     if batch_date is None:
         df, obs = _observed(df, "write_batch")
         df.write.mode("overwrite").partitionBy("batch_date").format(fmt).save(path)
-        return int(obs.get["rows"])
+        return _written(df, path, obs)
     return write_partitions(df, path, "batch_date", fmt)
 
 
@@ -64,9 +79,11 @@ def publish_tables(spark: SparkSession, database: str, root: str, tables: list[s
     names = []
     for t in tables:
         name = f"`{database}`.`{t}`"
+        location = f"{root.rstrip('/')}/{t}"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.createTable(f"{database}.{t}", path=f"{root.rstrip('/')}/{t}", source=fmt)
+        spark.catalog.createTable(f"{database}.{t}", path=location, source=fmt)
         if t in partitioned:
             spark.catalog.recoverPartitions(f"{database}.{t}")
+        _PUBLISHED[location] = f"{database}.{t}"
         names.append(f"{database}.{t}")
     return names

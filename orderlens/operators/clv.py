@@ -92,8 +92,7 @@ def snapshot_buckets(snapshots: DataFrame, lo: Column) -> DataFrame:
                  F.lag("snapshot_date").over(w).alias("_prev"),
                  F.count(F.lit(1)).over(Window.partitionBy()).alias("n_snap"))
     start = F.coalesce(F.date_add("_prev", 1), F.least(lo, F.col("snapshot_date")))
-    return (s.withColumn("_lo", lo)
-            .select(F.explode(F.sequence(start, F.col("snapshot_date"))).alias("date_key"),
+    return (s.select(F.explode(F.sequence(start, F.col("snapshot_date"))).alias("date_key"),
                     "bidx", "n_snap"))
 
 

@@ -11,11 +11,13 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..contracts import GOLD_TABLES, SILVER_TABLES, SOURCE_COLUMNS
 from ..operators import calendar as cal_ops
 from ..operators import cleaning, grain, quality, ranking
+from ..operators import marts as mart_ops
 from ..session import prepare
 from ..sources.readers import read_zone, zone_path
 from ..sources.sinks import publish_tables, stamp_ingest, upsert_snapshots, write_batch, write_table
@@ -98,10 +100,16 @@ def clv(spark: SparkSession, zones: Zones, run_date=None, backfill: bool = False
 
 
 def marts(spark: SparkSession, zones: Zones, analysis_date=None) -> dict[str, int]:
-    """E4: the six marts, each replaced whole."""
-    built = jobs.build_marts(read_silver(spark, zones), analysis_date)
-    rows = {name: write_table(df, zone_path(zones.gold, name)) for name, df in built.items()}
-    ranking.release_held()
+    """E4: the six marts, each replaced whole. RFM and churn share one per-customer
+    aggregate, kept for the duration of the step."""
+    s = read_silver(spark, zones)
+    base = mart_ops.customer_base(s["s_orders"], analysis_date).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        built = jobs.build_marts(s, analysis_date, customer_base=base)
+        rows = {name: write_table(df, zone_path(zones.gold, name)) for name, df in built.items()}
+    finally:
+        base.unpersist()
+        ranking.release_held()
     return rows
 
 

@@ -33,12 +33,14 @@ def build_clv(spark: SparkSession, silver: dict[str, DataFrame], run_date=None,
     return clv.clv_daily(orders, run_date, method=method)
 
 
-def build_marts(silver: dict[str, DataFrame], analysis_date=None,
-                method: str = "auto") -> dict[str, DataFrame]:
+def build_marts(silver: dict[str, DataFrame], analysis_date=None, method: str = "auto",
+                customer_base: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The six marts. Pass `customer_base` (persisted by the caller) to let RFM and
+    churn share one per-customer aggregation."""
     orders, lines, cal = silver["s_orders"], silver["s_order_lines"], silver["s_date_dim"]
     return {
-        "g_dim_customer_rfm": marts.build_rfm(orders, analysis_date, method=method),
-        "g_fact_churn_indicators": marts.build_churn(orders, analysis_date),
+        "g_dim_customer_rfm": marts.build_rfm(orders, analysis_date, method=method, base=customer_base),
+        "g_fact_churn_indicators": marts.build_churn(orders, analysis_date, base=customer_base),
         "g_fact_sales_trends": marts.build_sales_trends(lines, cal),
         "g_fact_loyalty_impact": marts.build_loyalty_impact(orders),
         "g_fact_location_performance": marts.build_location_performance(orders),

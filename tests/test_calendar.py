@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from orderlens.contracts import DATE_DIM_COLS
 from orderlens.operators import calendar as cal_ops
 

@@ -23,26 +23,31 @@ MALFORMED_MODULUS = 9973         # (orderkey*7 + linenumber) % 9973 = 0 → malf
 OPTION_DUP_MODULUS = 89          # options of orderkey % 89 = 0 are landed twice
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str, spread: bool = False) -> DataFrame:
+def _read(spark: SparkSession, sf_dir: str, table: str, spread_by: tuple = ()) -> DataFrame:
     """Scan one table. A file that is one row group is read by one task, and everything
-    up to the first shuffle would run there; such an under-split scan is spread
-    round-robin (even whatever the key distribution). A real table with enough splits is
-    left alone (no extra shuffle)."""
+    up to the first shuffle would run there; such an under-split scan is spread by a hash
+    of `spread_by` — the full line key, so even an order holding a third of all lines is
+    spread over its line numbers, parts and suppliers (and, unlike round-robin, no sort is
+    needed to make the spread repeatable). A real table with enough splits is left alone
+    (no extra shuffle)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
-    if spread:
+    if spread_by:
         par = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < par:
-            df = df.repartition(par)
+            df = df.repartition(par, *spread_by)
     return df
 
 
+LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
 def _lineitem_id(l: DataFrame):
     return F.concat(l.l_linenumber.cast("string"), F.lit("-"), l.l_partkey.cast("string"),
                     F.lit("-"), l.l_suppkey.cast("string"))
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    l = _read(spark, sf_dir, "lineitem", spread=True).alias("l")
+    l = _read(spark, sf_dir, "lineitem", LINE_KEY).alias("l")
     o = _read(spark, sf_dir, "orders").alias("o")  # broadcast when small, else shuffled by key
     p = _read(spark, sf_dir, "part").alias("p")
     key = F.col("o.o_orderkey")
@@ -80,7 +85,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    l = _read(spark, sf_dir, "lineitem", spread=True)
+    l = _read(spark, sf_dir, "lineitem", LINE_KEY)
     even = l.filter(l.l_linenumber % 2 == 0)
     price = ((F.round(even.l_tax * 100).cast("int") * 25).cast("decimal(18,0)")
              / F.lit(100)).cast("decimal(9,2)").cast("string")

@@ -78,3 +78,17 @@ def test_auto_picks_window_for_small_and_distributed_for_large(spark):
     assert "Window" in small._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in large._jdf.queryExecution().executedPlan().toString().split("Scan")[0]
     assert {(r.u, r.t) for r in small.collect()} == {(r.u, r.t) for r in large.collect()}
+
+
+def test_hot_tied_key_stays_balanced_and_exact(spark):
+    # 90 % of the rows share one key value (one customer value holding most rows)
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 97).otherwise(F.lit(5)).alias("k"),
+        F.format_string("u%06d", F.col("id")).alias("u"))
+    keys = [F.col("k").asc(), F.col("u").asc()]
+    sizes = [r["n"] for r in df.repartitionByRange(8, *keys)
+             .groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) <= 2 * (20000 / 8)
+    got = ranking.row_number(df, keys, out_col="rn", num_ranges=8, method="distributed")
+    want = df.withColumn("rn", F.row_number().over(Window.orderBy(*keys)))
+    assert {(r.u, r.rn) for r in got.collect()} == {(r.u, r.rn) for r in want.collect()}

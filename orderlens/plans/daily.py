@@ -63,19 +63,26 @@ def write_silver(spark: SparkSession, items_raw: DataFrame, options_raw: DataFra
                  dev_app_name: str, silver_root: str) -> dict[str, int]:
     """Clean raw sources into the five Silver tables under `silver_root`. The two cleaned
     tables are written first and read back, so the calendar, line and order tables start
-    from parquet rather than from the raw lineage."""
+    from parquet rather than from the raw lineage. Independent writes (items ∥ options,
+    calendar ∥ lines) are submitted together so their stages share the cluster."""
+    def path(t: str) -> str:
+        return zone_path(silver_root, t)
+
     items = cleaning.clean_order_items(items_raw, dev_app_name)
     options = cleaning.clean_order_item_options(options_raw)
-    counts = {"s_order_items": write_table(items, zone_path(silver_root, "s_order_items")),
-              "s_order_item_options": write_table(options, zone_path(silver_root, "s_order_item_options"))}
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        f_items = pool.submit(write_table, items, path("s_order_items"))
+        f_opts = pool.submit(write_table, options, path("s_order_item_options"))
+        counts = {"s_order_items": f_items.result(), "s_order_item_options": f_opts.result()}
     items = read_zone(spark, silver_root, "s_order_items")
     options = read_zone(spark, silver_root, "s_order_item_options")
-    counts["s_date_dim"] = write_table(cal_ops.generate_calendar(cal_ops.date_bounds(items)),
-                                       zone_path(silver_root, "s_date_dim"))
-    counts["s_order_lines"] = write_table(grain.build_order_lines(items, options),
-                                          zone_path(silver_root, "s_order_lines"))
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        f_cal = pool.submit(lambda: write_table(
+            cal_ops.generate_calendar(cal_ops.date_bounds(items)), path("s_date_dim")))
+        f_lines = pool.submit(write_table, grain.build_order_lines(items, options), path("s_order_lines"))
+        counts["s_date_dim"], counts["s_order_lines"] = f_cal.result(), f_lines.result()
     lines = read_zone(spark, silver_root, "s_order_lines")
-    counts["s_orders"] = write_table(grain.build_orders(lines), zone_path(silver_root, "s_orders"))
+    counts["s_orders"] = write_table(grain.build_orders(lines), path("s_orders"))
     return counts
 
 

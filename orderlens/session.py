@@ -2,8 +2,9 @@
 
 The engine needs three things from a session: UTC as the session time zone (order
 timestamps are UTC instants and `to_date` must not shift them), adaptive execution
-(runtime coalescing, skew-join splitting, runtime broadcast of small sides), and a
-reliable checkpoint directory for the few places where lineage is cut on purpose.
+(runtime coalescing — cached inputs included — skew-join splitting, runtime broadcast of
+small sides), and a reliable checkpoint directory for the few places where lineage is
+cut on purpose.
 """
 from __future__ import annotations
 
@@ -20,6 +21,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Let adaptive execution re-plan (coalesce, split) the inputs the ranks persist;
+    # otherwise a cached plan keeps every one of spark.sql.shuffle.partitions tasks.
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
 }
 
 

@@ -112,14 +112,21 @@ def clv_as_of(orders: DataFrame, snapshots: DataFrame, method: str = "auto",
     if checked is not buckets:  # the snapshot index is never larger than the bucket map
         buckets, snap_idx = checked, F.broadcast(snap_idx)
     ob = o.join(buckets, o.order_date == buckets.date_key)
-    per_bucket = (ob.groupBy("user_id", "bidx")
-                  .agg(money_sum("order_net").alias("net"),
-                       F.min("order_date").alias("first_d"),
-                       F.max("order_date").alias("last_d"),
+    # One pre-aggregate per (user, order, bucket) feeds both figures below; it combines
+    # map-side, so even a hot customer's rows are reduced before the shuffle.
+    uob = (ob.groupBy("user_id", "order_id", "bidx")
+           .agg(money_sum("order_net").alias("net"),
+                F.min("order_date").alias("first_d"),
+                F.max("order_date").alias("last_d"),
+                F.max("n_snap").alias("n_snap")))
+    per_bucket = (uob.groupBy("user_id", "bidx")
+                  .agg(money_sum("net").alias("net"),
+                       F.min("first_d").alias("first_d"),
+                       F.max("last_d").alias("last_d"),
                        F.max("n_snap").alias("n_snap")))
     # A distinct order counts from the first bucket it appears in (an order whose rows
     # carry different dates must not be counted twice).
-    first_bucket = (ob.groupBy("user_id", "order_id").agg(F.min("bidx").alias("bidx"))
+    first_bucket = (uob.groupBy("user_id", "order_id").agg(F.min("bidx").alias("bidx"))
                     .groupBy("user_id", "bidx").agg(F.count("order_id").alias("new_orders")))
     b = per_bucket.join(first_bucket, ["user_id", "bidx"], "left")
 

@@ -75,7 +75,9 @@ def publish_tables(spark: SparkSession, database: str, root: str, tables: list[s
     """Register each `<root>/<table>` as an external table `<database>.<table>`,
     replacing an earlier registration so schema changes are picked up."""
     partitioned = partitioned or {}
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    # The database lives with the Gold zone (shared storage), not in the default
+    # warehouse folder, which is machine-local when the cluster does not set one.
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root.rstrip('/')}'")
     names = []
     for t in tables:
         name = f"`{database}`.`{t}`"

@@ -18,7 +18,7 @@ from ..contracts import GOLD_TABLES, SILVER_TABLES, SOURCE_COLUMNS
 from ..operators import calendar as cal_ops
 from ..operators import cleaning, grain, quality, ranking
 from ..operators import marts as mart_ops
-from ..session import prepare
+from ..session import _context, prepare
 from ..sources.readers import read_zone, zone_path
 from ..sources.sinks import publish_tables, stamp_ingest, upsert_snapshots, write_batch, write_table
 from . import jobs
@@ -153,8 +153,11 @@ def run_daily(spark: SparkSession, sources: dict[str, DataFrame], zones: Zones,
 
 def _in_pool(spark: SparkSession, pool: str, fn, *args):
     """Run one step's jobs in their own scheduler pool (effective under FAIR mode)."""
-    spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLocalProperty("spark.scheduler.pool", pool)
     try:
         return fn(*args)
     finally:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+        if sc is not None:
+            sc.setLocalProperty("spark.scheduler.pool", None)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.money import money_out
 from ..operators import calendar as cal_ops
 from ..operators import clv, marts, profile, quality, ranking, views
-from ..session import prepare, scratch_path
+from ..session import application_id, prepare, scratch_path
 from ..sources import fixtures
 from . import daily, jobs
 from . import oracle as O
@@ -49,7 +49,7 @@ def build_silver_tables(spark: SparkSession, sf_dir: str) -> str:
     """Clean the raw tables of `sf_dir` into Silver parquet under the shared checkpoint
     root (once per application) and return the Silver root."""
     prepare(spark)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (application_id(spark), os.path.abspath(sf_dir))
     root = _SILVER_ROOTS.get(key)
     if root is None:
         root = scratch_path(spark, "silver")

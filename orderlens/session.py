@@ -53,11 +53,33 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _context(spark: SparkSession):
+    """The classic SparkContext, or None for a session without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - not available on every session kind
+        return None
+
+
+def application_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "session")
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names (`spark.checkpoint.dir`, or one
     already set on the context). Only when neither exists — local tests — a private
     folder is created."""
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        return spark.conf.get("spark.checkpoint.dir")
     current = sc.getCheckpointDir()
     if current:
         return current

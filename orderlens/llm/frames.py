@@ -1,11 +1,14 @@
 """DataFrame helpers of the training-data operators."""
 from __future__ import annotations
 
+import atexit
+import contextlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import application_id, scratch_path
 from . import kernel as K
 
 
@@ -40,3 +43,30 @@ def sampled(rows: DataFrame, id_col: str, bound: int) -> DataFrame:
         return rows
     grain = 1_000_000
     return rows.filter(F.pmod(F.xxhash64(F.col(id_col)), F.lit(grain)) < int(grain * bound / n))
+
+
+_STORED: dict[str, list[str]] = {}
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` written as a table in the shared folder and read again: cuts the lineage where
+    rows are used more than once, survives lost executors, and tells the planner the true
+    size. The folders go when the application ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    paths = _STORED.setdefault(application_id(spark), [])
+    if not paths:
+        atexit.register(_drop, spark, paths)
+    paths.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _drop(spark: SparkSession, paths: list[str]) -> None:
+    """Best effort at the end of the application: the session may be gone already."""
+    with contextlib.suppress(Exception):
+        jvm = spark.sparkContext._jvm
+        for path in paths:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    paths.clear()

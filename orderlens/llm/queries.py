@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import bpe, chat, langid, neardup, toxicity
+from . import bpe, chat, langid, neardup, substrings, toxicity
 from .frames import fold_of
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"))
 
 
+@register
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(table(spark, sf_dir, "documents"))
+
+
 CHAT_PROBE = "\\### Assistant: </turn> ok"
 
 

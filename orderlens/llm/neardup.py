@@ -13,12 +13,15 @@ when 100 * |A and B| >= 75 * |A or B|.
    in the lists of its K - 28 + 1 rarest values (values in no other sketch count as the
    rarest): two similar documents still meet in one list, and values of a passage that
    half the corpus shares make no list for documents of which it is a smaller part.
-3. Overlaps. A list isn't paired with itself. Round one compares each member with the
+3. Overlaps. A long list isn't paired with itself. Round one compares each member with the
    list's least member and with its neighbour in a random order; the estimate on the
    union sketch filters and the full sets verify; the links give components. Round two
-   compares only members of one list that are in different components by then, so a group
-   of thousands of near copies costs a few comparisons a member, while no link between
-   components is missed.
+   compares only members of one list that are in different components by then: those of
+   short lists (`SHORT` members) pair by pair as in round one; those of long lists in
+   blocks of bounded size, each pair of blocks that share a list once, where one matrix
+   product over the full sets gives all overlaps inside the task and only links come out.
+   Pairs of blocks within one component are left out. So no list emits all its pairs, and
+   no link between components is missed.
 4. Verification builds the full sets of only those documents that a surviving pair names.
 
 Results for edge cases: no words, empty or null text: no shingles and linked with nothing;
@@ -41,6 +44,10 @@ from .graph import components
 WORDS, SKETCH, MIN_SHARED = 5, 64, 28
 SAME, OF = 75, 100  # similarity of at least SAME / OF
 _BLOCK = 512  # members of a list that are put in a random order together
+SHORT = 64  # members of a list that may be paired one by one
+#: Members, and shingles of all members, of a block that is compared within a task.
+BLOCK_ROWS, BLOCK_SHINGLES = 256, 1_000_000
+_SLAB = 4096  # shingles in one matrix product
 
 
 def shingle_sets(texts: K.Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -108,18 +115,22 @@ def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return met.filter(enough).select("a", "b").distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, kind: str) -> DataFrame:
-    """The pairs whose full sets are similar: (a, b)."""
-    wanted = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "near-wanted")
-
+def _full_sets(ids: DataFrame, docs: DataFrame, kind: str) -> DataFrame:
+    """(id, full array<long>) of the documents in `ids`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in K.chunks(batch):
                 values, at = shingle_sets(K.texts_of(part.column(1)))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(at.astype(np.int32), values)], names=["id", "full"])
 
-    # `wanted` is a stored table: the planner knows its size and broadcasts it only if small.
-    full = stored(docs.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(run, f"id {kind}, full array<long>"), "near-sets")
+    # A stored table: the planner knows its size and broadcasts it only if it is small.
+    wanted = stored(ids.distinct(), "near-wanted")
+    return stored(docs.join(wanted, "id", "left_semi").select("id", "text").mapInArrow(run, f"id {kind}, full array<long>"), "near-sets")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, kind: str) -> DataFrame:
+    """The pairs whose full sets are similar: (a, b)."""
+    full = _full_sets(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), docs, kind)
     one = full.select(F.col("id").alias("a"), F.col("full").alias("fa"))
     two = full.select(F.col("id").alias("b"), F.col("full").alias("fb"))
 
@@ -135,6 +146,80 @@ def _verified(pairs: DataFrame, docs: DataFrame, kind: str) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "fa", "fb").mapInArrow(check, f"a {kind}, b {kind}").distinct()
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of one block with all of the other."""
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    x, y = np.concatenate(left), np.concatenate(right)
+    i, j = np.repeat(np.arange(len(left)), [len(s) for s in left]), np.repeat(np.arange(len(right)), [len(s) for s in right])
+    both = np.intersect1d(x, y)
+    if not len(both):
+        return out.astype(np.int64)
+    px, py = np.minimum(np.searchsorted(both, x), len(both) - 1), np.minimum(np.searchsorted(both, y), len(both) - 1)
+    kx, ky = both[px] == x, both[py] == y
+    px, i, py, j = px[kx], i[kx], py[ky], j[ky]
+    ox, oy = np.argsort(px, kind="stable"), np.argsort(py, kind="stable")
+    px, i, py, j = px[ox], i[ox], py[oy], j[oy]
+    for at in range(0, len(both), _SLAB):
+        a, b = np.searchsorted(px, (at, at + _SLAB)), np.searchsorted(py, (at, at + _SLAB))
+        m, n = (np.zeros((r, _SLAB), dtype=np.float32) for r in out.shape)
+        m[i[a[0]:a[1]], px[a[0]:a[1]] - at] = 1
+        n[j[b[0]:b[1]], py[b[0]:b[1]] - at] = 1
+        out += m @ n.T
+    return out.astype(np.int64)
+
+
+def _block_links(group: pa.Table) -> pa.Table:
+    """Links between the two blocks of a group (or inside one block): those that join
+    components not yet joined by an earlier one."""
+    side = group.column("side").to_numpy()
+    rep = group.column("rep").to_pylist()
+    _, comp = np.unique(np.array(group.column("c").to_pylist()), return_inverse=True)
+    sets = [np.asarray(x.values) for x in group.column("full").combine_chunks()]
+    left = np.flatnonzero(side != 1)
+    right = np.flatnonzero(side != 0)
+    found: list[tuple[int, int]] = []
+    if len(left) and len(right):
+        both = overlaps([sets[k] for k in left], [sets[k] for k in right])
+        size = np.array([len(s) for s in sets])
+        near = both * OF >= (size[left][:, None] + size[right][None, :] - both) * SAME
+        near &= (comp[left][:, None] != comp[right][None, :]) & (both > 0)
+        root = list(range(int(comp.max()) + 1))
+
+        def find(k: int) -> int:
+            while root[k] != k:
+                root[k] = k = root[root[k]]
+            return k
+
+        for p, q in zip(*np.nonzero(near)):
+            a, b = left[p], right[q]
+            x, y = find(int(comp[a])), find(int(comp[b]))
+            if x != y:
+                root[x] = y
+                found.append((int(a), int(b)))
+    return pa.table({"a": pa.array([rep[a] for a, _ in found], group.schema.field("rep").type),
+                     "b": pa.array([rep[b] for _, b in found], group.schema.field("rep").type)})
+
+
+def _long_lists(placed: DataFrame, docs: DataFrame, kind: str) -> DataFrame:
+    """(a, b): links between members of one long list that are in different components."""
+    home = placed.groupBy("rep").agg(F.min("v").alias("g"), F.max("n").alias("n"), F.min("c").alias("c"))
+    salts = home.groupBy("g").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum("n") / BLOCK_SHINGLES)).alias("salts"))
+    home = stored(home.join(salts, "g").select("rep", "c", F.xxhash64("g", F.pmod(F.xxhash64("rep"), "salts")).alias("block")), "near-blocks")
+    blocks = home.groupBy("block").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    held = placed.select("v", "rep").join(home, "rep").select("v", "block").distinct().join(blocks, "block")
+    x, y = held.alias("x"), held.alias("y")
+    one = (F.col("x.lo") == F.col("x.hi")) & (F.col("y.lo") == F.col("y.hi")) & (F.col("x.lo") == F.col("y.lo"))
+    pairs = stored(x.join(y, (F.col("x.v") == F.col("y.v")) & (F.col("x.block") <= F.col("y.block")) & ~one)
+                   .select(F.col("x.block").alias("i"), F.col("y.block").alias("j")).distinct(), "near-block-pairs")
+    full = _full_sets(home.select(F.col("rep").alias("id")), docs, kind).withColumnRenamed("id", "rep")
+    member = home.join(full, "rep")
+    inside = F.col("i") == F.col("j")
+    roles = (pairs.select("i", "j", F.when(inside, 2).otherwise(0).alias("side"), F.col("i").alias("block"))
+             .union(pairs.filter(~inside).select("i", "j", F.lit(1), F.col("j"))))
+    return (roles.join(member, "block").select("i", "j", "side", "rep", "c", "full")
+            .groupBy("i", "j").applyInArrow(_block_links, f"a {kind}, b {kind}"))
+
+
 def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -152,15 +237,15 @@ def links(docs: DataFrame, reps: DataFrame, kind: str) -> DataFrame:
     first = stored(_verified(stored(_estimated(tried, reps), "near-pairs"), docs, kind), "near-links")
     # Round two: members of one list in different components.
     component = components(first).withColumnRenamed("node", "rep")
-    placed = lists.select("v", "rep", "n").join(component, "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
+    placed = lists.join(component, "rep", "left").select("v", "rep", "n", "size", F.coalesce("component", "rep").alias("c"))
     mixed = placed.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("v")
     placed = stored(placed.join(mixed, "v"), "near-mixed")
-    x, y = placed.alias("x"), placed.alias("y")
+    x, y = placed.filter(F.col("size") <= SHORT).alias("x"), placed.filter(F.col("size") <= SHORT).alias("y")
     apart = (x.join(y, (F.col("x.v") == F.col("y.v")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.c") != F.col("y.c")) & _similar_size(F.col("x.n"), F.col("y.n")))
              .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
              .join(tried, ["a", "b"], "left_anti"))
     second = _verified(stored(_estimated(apart, reps), "near-pairs"), docs, kind)
-    return first.union(second)
+    return first.union(second).union(_long_lists(placed.filter(F.col("size") > SHORT), docs, kind).select(*_pair("a", "b")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

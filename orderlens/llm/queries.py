@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import bpe, chat, langid, neardup, substrings, toxicity
+from . import bpe, chat, embeddup, langid, neardup, substrings, toxicity
 from .frames import fold_of
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@register
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 TOXIC_AT = 0.7
 
 

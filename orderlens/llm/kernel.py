@@ -31,6 +31,9 @@ _M1, _M2, _M3 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), _U(0x9E3779B97F4
 _S30, _S27, _S31, _S29 = _U(30), _U(27), _U(31), _U(29)
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Separators of terms: all ASCII but letters and digits.
+NO_TERM = np.ones(256, dtype=bool)
+NO_TERM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _TAIL = np.array([0] + [(1 << (8 * n)) - 1 for n in range(1, 8)] + [2**64 - 1], dtype=np.uint64)
@@ -86,16 +89,25 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
         at = to
 
 
+def terms_of(texts: Texts) -> tuple[Words, np.ndarray]:
+    """Terms (runs of letters, digits and non-ASCII characters, A-Z in lower case) and
+    their hashes."""
+    low = lowered(texts)
+    words = words_of(low, NO_TERM)
+    return words, span_hash(low.data, words.start, words.end)
+
+
 def lowered(texts: Texts) -> Texts:
     """A-Z in lower case, all else unchanged."""
     return Texts(_LOWER[texts.data], texts.offsets)
 
 
-def words_of(texts: Texts) -> Words:
+def words_of(texts: Texts, separators: np.ndarray = _IS_SPACE) -> Words:
+    """The words of all texts; `separators` says which bytes are between words."""
     data, offsets = texts
     size = int(offsets[-1])
     inside = np.zeros(size + 1, dtype=bool)
-    inside[:size] = ~_IS_SPACE[data[:size]]
+    inside[:size] = ~separators[data[:size]]
     begins = inside[:size].copy()
     begins[1:] &= ~inside[:size - 1] if size else begins[1:]
     cut = offsets[:-1][np.diff(offsets) > 0]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import bpe, chat, embeddup, langid, neardup, substrings, toxicity
+from . import bpe, chat, decontaminate, embeddup, langid, neardup, substrings, toxicity
 from .frames import fold_of
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,12 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(table(spark, sf_dir, "documents"))
 
 
+@register
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, item_id) of every document that contains a test item, with the evidence."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 CHAT_PROBE = "\\### Assistant: </turn> ok"
 
 

@@ -28,9 +28,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
 from . import kernel as K
+from .frames import keep_texts
 
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, SHINGLE = 0.6, 0.6, 3
@@ -165,17 +167,11 @@ def _statistics(items: DataFrame) -> tuple[int, DataFrame]:
     return items.filter("text != ''").count(), rows
 
 
-def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-            item_text_col: str = "text", threshold: float = THRESHOLD, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(id, item_id, score, question_overlap, answer_overlap, leaked boolean): all retrieved
-    pairs of a document and an item."""
-    items = items.select(items[item_col].alias("item"), F.lower(items[item_text_col].cast("string")).alias("text")).filter("text IS NOT NULL AND text != ''")
-    docs = docs.select(docs[id_col].alias("id"), F.lower(docs[text_col].cast("string")).alias("text"))
-    kind, item_kind = (x.schema[c].dataType for x, c in ((docs, "id"), (items, "item")))
+def _shards(items: DataFrame, shard_bytes: int) -> Iterator[Index]:
+    """The index of `items` (item, text), in parts of about `shard_bytes` of text."""
     total, df = _statistics(items)
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = -(-size // shard_bytes) or 1
-    found = []
     for k in range(shards):
         mine = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == k)
         rows = [(r["item"], r["text"]) for r in mine.orderBy("item", "text").collect()]  # about shard_bytes
@@ -184,14 +180,46 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
         counts = None
         if shards > 1:
             _, h = K.terms_of(K.texts_of(pa.array([t for _, t in rows], pa.string())))
-            wanted = docs.sparkSession.createDataFrame([(int(x),) for x in np.unique(K.signed(h))], "t long")
+            wanted = items.sparkSession.createDataFrame([(int(x),) for x in np.unique(K.signed(h))], "t long")
             counts = {r["t"]: r["n"] for r in df.join(wanted, "t").collect()}
-        found.append(_scan(docs, build(rows, total, counts), kind, item_kind, threshold))
+        yield build(rows, total, counts)
+
+
+def _items(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    return (items.select(items[item_col].alias("item"), F.lower(items[text_col].cast("string")).alias("text"))
+            .filter("text IS NOT NULL AND text != ''"))
+
+
+def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+            item_text_col: str = "text", threshold: float = THRESHOLD, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """(id, item_id, score, question_overlap, answer_overlap, leaked boolean): all retrieved
+    pairs of a document and an item."""
+    items = _items(items, item_col, item_text_col)
+    docs = docs.select(docs[id_col].alias("id"), F.lower(docs[text_col].cast("string")).alias("text"))
+    kind, item_kind = (x.schema[c].dataType for x, c in ((docs, "id"), (items, "item")))
+    found = [_scan(docs, index, kind, item_kind, threshold) for index in _shards(items, shard_bytes)]
     schema = f"id {kind.simpleString()}, item {item_kind.simpleString()}, score double, question_overlap double, answer_overlap double, leaked boolean"
     out = reduce(DataFrame.unionByName, found) if found else docs.sparkSession.createDataFrame([], schema)
     return out.withColumnsRenamed({"id": id_col, "item": "item_id"})
 
 
+def remove_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                 item_text_col: str = "text", threshold: float = THRESHOLD, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """The rows of `docs` (all columns) that contain no item."""
+    def keep(index: Index):
+        def clean(texts: pa.Array) -> np.ndarray:
+            found = search(index, K.texts_of(pa.compute.utf8_lower(texts)), threshold)
+            good = np.ones(len(texts), dtype=bool)
+            good[[d for d, _, _, q, a in found if q >= OVERLAP and a >= OVERLAP]] = False
+            return good
+
+        return clean
+
+    for index in _shards(_items(items, item_col, item_text_col), shard_bytes):
+        docs = keep_texts(docs, text_col, keep(index))
+    return docs
+
+
 def _scan(docs: DataFrame, index: Index, kind, item_kind, threshold: float) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_type
 

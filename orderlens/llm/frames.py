@@ -5,6 +5,7 @@ import atexit
 import contextlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -30,6 +31,18 @@ def map_texts(docs: DataFrame, id_col: str, text_col: str, fields: str,
             .mapInArrow(run, f"id {kind}, {fields}").withColumnRenamed("id", id_col))
 
 
+def keep_texts(docs: DataFrame, text_col: str, keep: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows of `docs`, all columns, whose text `keep` wants: no join, no shuffle."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in K.chunks(batch, text_col):
+                yield part.filter(pa.array(keep(part.column(at)), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fold_of(id_col: str, folds: int) -> Column:
     """crc32 of the id as text, modulo `folds` (null for a null id)."""
     return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(folds))

@@ -268,3 +268,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = sketched.select("id", "n").join(own, "id", "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("c", "id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))).withColumnRenamed("id", id_col)
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` (all columns) that are kept: one document of each component. Rows
+    with a null id stay."""
+    kept = near_duplicates(docs, id_col, text_col).filter(F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_kept")).distinct()
+    return (docs.join(kept, docs[id_col] == kept["_kept"], "left_semi")
+            .unionByName(docs.filter(docs[id_col].isNull())))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import bpe, chat, decontaminate, embeddup, langid, neardup, substrings, toxicity
+from . import bpe, chat, decontaminate, embeddup, langid, licenses, neardup, quality, substrings, toxicity
 from .frames import fold_of
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,37 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"))
 
 
+@register
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a document: its licenses, comma-separated in order (empty: none)."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.size("licenses").cast("long").alias("n_licenses"), F.array_join("licenses.license", ",").alias("licenses"))
+
+
+_ORACLE["op6_license_scan"] = r"""
+WITH t AS (
+  SELECT doc_id, ' ' || trim(regexp_replace(lower(coalesce(text, '')), '[\x01-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')) || ' ' AS s FROM documents),
+l AS (
+  SELECT doc_id, list_filter(
+    [CASE WHEN contains(s, ' licensed under the apache license version 2 0 ') THEN 'Apache-2.0' END,
+     CASE WHEN contains(s, ' licensed under cc by nc 4 0 ') THEN 'CC-BY-NC-4.0' END,
+     CASE WHEN contains(s, ' this work is licensed under the gnu general public license version 3 ') THEN 'GPL-3.0' END,
+     CASE WHEN contains(s, ' released under the mit license ') THEN 'MIT' END], lambda x: x IS NOT NULL) AS found
+  FROM t)
+SELECT doc_id, CAST(len(found) AS BIGINT) AS n_licenses, array_to_string(found, ',') AS licenses FROM l
+"""
+QUALITY_AT = 0.3
+
+
+@register
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(fold_of("doc_id", 5) == 0, F.lit(False))
+    model = quality.fit(docs, table(spark, sf_dir, "labels").filter(~held))
+    return quality.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= QUALITY_AT).cast("int").alias("predicted"))
+
+
 @register
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(table(spark, sf_dir, "documents"))

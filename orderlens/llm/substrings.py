@@ -34,6 +34,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
 from . import kernel as K
@@ -188,26 +189,24 @@ def _kept(texts: K.Texts, words: K.Words, gone: np.ndarray) -> tuple[np.ndarray,
     return flat, at, n_words, n_gone
 
 
-def _joined(docs: DataFrame) -> tuple[DataFrame, str]:
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.join(repeats(docs, kind), "id", "left").select("id", "text", "paths", "edges"), kind
-
-
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, n_words, n_removed) of each row: its kept words joined by one space, or
-    the text as it is if nothing is removed (a null text stays null)."""
+    """`docs`, all columns, with each text replaced by its kept words joined by one space,
+    or as it is if nothing is removed (a null text stays null)."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    row = F.struct(*[docs[c] for c in docs.columns if c != text_col]).alias("row")
+    wide = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"), row)
+
     def rows(part: pa.RecordBatch) -> pa.RecordBatch:
         texts = K.texts_of(part.column(1))
         p = paths_of(texts)
-        flat, at, n, lost = _kept(texts, p.words, _removed(p, part))
+        flat, at, _, lost = _kept(texts, p.words, _removed(p, part))
         old = part.column(1).to_pylist()
         new = [flat[at[i]:max(at[i], at[i + 1] - 1)].tobytes().decode() if lost[i] else old[i] for i in range(len(old))]
-        return pa.RecordBatch.from_arrays([part.column(0), pa.array(new, pa.string()), pa.array(n.astype(np.int64)), pa.array(lost.astype(np.int64))],
-                                          names=["id", "text", "n_words", "n_removed"])
+        return pa.RecordBatch.from_arrays([pa.array(new, pa.string()), part.column(4)], names=["text", "row"])
 
-    joined, kind = _joined(docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")))
-    return (joined.mapInArrow(_each_chunk(rows), f"id {kind}, text string, n_words long, n_removed long")
-            .withColumnsRenamed({"id": id_col, "text": text_col}))
+    joined = wide.join(repeats(wide.select("id", "text"), kind), "id", "left").select("id", "text", "paths", "edges", "row")
+    out = joined.mapInArrow(_each_chunk(rows), joined.select("text", "row").schema)
+    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -222,6 +221,8 @@ def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         return pa.RecordBatch.from_arrays([part.column(0), pa.array(n.astype(np.int64)), pa.array(lost.astype(np.int64)), pa.array(sha, pa.string())],
                                           names=["id", "n_words", "n_removed", "kept_sha256"])
 
-    joined, kind = _joined(docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")))
+    kind = docs.schema[id_col].dataType.simpleString()
+    docs = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
+    joined = docs.join(repeats(docs, kind), "id", "left").select("id", "text", "paths", "edges")
     return (joined.mapInArrow(_each_chunk(rows), f"id {kind}, n_words long, n_removed long, kept_sha256 string")
             .withColumnRenamed("id", id_col))

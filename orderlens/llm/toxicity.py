@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import kernel as K
-from .frames import map_texts, sampled
+from .frames import keep_texts, map_texts, sampled
 
 #: Labelled rows that the lexicon is fitted on, and candidate words at most.
 SAMPLE, CANDIDATES = 20_000, 4_000
@@ -369,21 +369,29 @@ def fit(docs: DataFrame, labels: DataFrame, cost: np.ndarray, id_col: str = "doc
     return Model(cost, h[order], np.array([p for _, p in chosen])[order] if chosen else np.zeros(0), min(base, 0.5))
 
 
+def _scores(model: Model, texts: K.Texts) -> tuple[np.ndarray, np.ndarray]:
+    n = len(texts)
+    clean, marks = np.full(n, np.log1p(-model.base)), np.zeros(n, dtype=np.int64)
+    if len(model.words):
+        h, doc = restored_words(texts, model.cost)
+        at = np.minimum(np.searchsorted(model.words, h), len(model.words) - 1)
+        hit = model.words[at] == h
+        pair = np.unique(doc[hit] * len(model.words) + at[hit])
+        which, word = pair // len(model.words), pair % len(model.words)
+        clean = clean + np.bincount(which, weights=np.log1p(-model.rates)[word], minlength=n)
+        marks = np.bincount(which, minlength=n)
+    return -np.expm1(clean), marks
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score double, n_marks long): the chance that the text is toxic, and how many
     different lexicon words its restored text has."""
     def rows(part: pa.RecordBatch):
-        texts = K.texts_of(part.column(1))
-        n = len(texts)
-        clean, marks = np.full(n, np.log1p(-model.base)), np.zeros(n, dtype=np.int64)
-        if len(model.words):
-            h, doc = restored_words(texts, model.cost)
-            at = np.minimum(np.searchsorted(model.words, h), len(model.words) - 1)
-            hit = model.words[at] == h
-            pair = np.unique(doc[hit] * len(model.words) + at[hit])
-            which, word = pair // len(model.words), pair % len(model.words)
-            clean = clean + np.bincount(which, weights=np.log1p(-model.rates)[word], minlength=n)
-            marks = np.bincount(which, minlength=n)
-        return [part.column(0), pa.array(-np.expm1(clean)), pa.array(marks)]
+        return [part.column(0), *map(pa.array, _scores(model, K.texts_of(part.column(1))))]
 
     return map_texts(docs, id_col, text_col, "score double, n_marks long", rows)
+
+
+def reject(docs: DataFrame, model: Model, at: float, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` (all columns) whose score is below `at`."""
+    return keep_texts(docs, text_col, lambda texts: _scores(model, K.texts_of(texts))[0] < at)

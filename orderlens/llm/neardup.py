@@ -236,7 +236,7 @@ def links(docs: DataFrame, reps: DataFrame, kind: str) -> DataFrame:
                    .filter("rep != other").select(*_pair("rep", "other")).distinct(), "near-tried")
     first = stored(_verified(stored(_estimated(tried, reps), "near-pairs"), docs, kind), "near-links")
     # Round two: members of one list in different components.
-    component = components(first).withColumnRenamed("node", "rep")
+    component = components(first, rounds=2).withColumnRenamed("node", "rep")  # parts are enough here
     placed = lists.join(component, "rep", "left").select("v", "rep", "n", "size", F.coalesce("component", "rep").alias("c"))
     mixed = placed.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("v")
     placed = stored(placed.join(mixed, "v"), "near-mixed")

@@ -1,4 +1,4 @@
-"""Column contracts of the source and published tables."""
+"""Column contracts of the source and published tables: fixed values."""
 from __future__ import annotations
 
 from pyspark.sql.types import StringType, StructField, StructType

@@ -40,14 +40,14 @@ def generate_calendar(bounds: DataFrame, with_holidays: bool = True) -> DataFram
     )
     if not with_holidays:
         return cal.select("*", F.lit(False).alias("is_holiday"),
-                          F.lit(None).cast("string").alias("holiday_name"))
+                          F.lit(None).cast("string").alias("holiday_name")).orderBy("date_key")
     # Observed New Year's Day can fall on 31 Dec of the year before, hence hi + 1 year.
     years = bounds.select(F.explode(F.sequence(F.year("lo"), F.year("hi") + 1)).alias("year"))
     hol = holiday_table(years)
     # Holidays: ~16 rows per year spanned.
     cal = cal.join(broadcast_if_small(hol), cal.date_key == hol.h_date, "left")
     return cal.select(*DATE_DIM_COLS[:-2], F.col("h_date").isNotNull().alias("is_holiday"),
-                      "holiday_name")
+                      "holiday_name").orderBy("date_key")
 
 
 def holidays_in_range(calendar: DataFrame) -> DataFrame:

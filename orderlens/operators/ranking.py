@@ -19,14 +19,12 @@ single task — for a customer table ranked by spend that is every customer in o
 NTILE(n) then follows from (position, group size) in closed form. The result equals
 `ntile(n) OVER (PARTITION BY group ORDER BY keys)` exactly whenever the order is total.
 
-method="auto" (the default) uses Spark's window function when no single task would sort
-more than SMALL_INPUT_ROWS rows — checked on the whole input when unpartitioned, on the
-largest group when partitioned (the window spreads groups over tasks) — and the
-distributed path otherwise. Both give the same answer.
+The number of ranges follows from an aggregate row count, so a small input is one range of
+the same plan; there is no switch of method by size. method="window" (Spark's window
+function, one task a group) is kept for comparison in the bench and the tests.
 """
 from __future__ import annotations
 
-import threading
 from typing import Sequence
 
 from pyspark import StorageLevel
@@ -36,11 +34,8 @@ from ..session import checkpoint_root
 
 _TMP = ["_rk_part", "_rk_seq", "_rk_first", "_rk_before", "_rk_cnt"]
 
-# Fixed value: largest input ranked in a single task (window function) under method="auto".
-SMALL_INPUT_ROWS = 100_000
-
-_HELD: list[DataFrame] = []
-_HELD_LOCK = threading.Lock()
+# Rows that one range sorts.
+ROWS_PER_RANGE = 100_000
 
 
 def _as_col(c) -> Column:
@@ -55,14 +50,14 @@ def ordered_positions(df: DataFrame, order_by: Sequence, partition_by: Sequence[
     (end it with a unique column)."""
     spark = df.sparkSession
     checkpoint_root(spark)
-    if num_ranges is None:
-        num_ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     keys = [F.col(g).asc() for g in partition_by] + [_as_col(c) for c in order_by]
 
     # The input is read twice (key sample for the range bounds, then the routing pass);
     # keep it so the upstream aggregate runs once. Lost blocks are recomputed from
     # lineage, which is deterministic up to this point.
     source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if num_ranges is None:
+        num_ranges = max(-(-source.count() // ROWS_PER_RANGE), 1)
     staged = (source.repartitionByRange(num_ranges, *keys)
               .sortWithinPartitions(*keys)
               .withColumns({"_rk_part": F.spark_partition_id(),
@@ -100,48 +95,14 @@ def ntile_from_position(pos: Column, n: Column, tiles: int) -> Column:
     return F.when(pos <= big, first_part).otherwise(second_part).cast("int")
 
 
-def _resolve(df: DataFrame, method: str, small_rows: int,
-             partition_by: Sequence[str] = ()) -> tuple[DataFrame, str]:
-    """method="auto": keep the input (it is read again either way) and pick the window
-    path when no single task would have to sort more than `small_rows` rows — the whole
-    input when unpartitioned (a bounded count of at most `small_rows + 1` rows), the
-    largest group when partitioned (one aggregate row reaches the driver)."""
-    if method != "auto":
-        return df, method
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if partition_by:
-        largest = (src.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"))
-                   .agg(F.max("_n").alias("_m")).first()["_m"]) or 0
-        small = largest <= small_rows
-    else:
-        small = src.limit(small_rows + 1).count() <= small_rows
-    if small:
-        # The returned window plan reads the kept input lazily; it stays cached until
-        # `release_held()` (next query / end of a job step). Releasing early is safe:
-        # the plan then recomputes the input from its lineage.
-        with _HELD_LOCK:
-            _HELD.append(src)
-        return src, "window"
-    return src, "distributed"  # ordered_positions releases it after its checkpoint
-
-
-def release_held() -> None:
-    """Unpersist the inputs kept for window-path ranks built earlier."""
-    with _HELD_LOCK:
-        held, _HELD[:] = list(_HELD), []
-    for df in held:
-        df.unpersist()
-
-
 def ntile(df: DataFrame, tiles: int, order_by: Sequence, partition_by: Sequence[str] = (),
-          out_col: str = "ntile", method: str = "auto",
-          num_ranges: int | None = None, small_rows: int = SMALL_INPUT_ROWS) -> DataFrame:
+          out_col: str = "ntile", method: str = "distributed",
+          num_ranges: int | None = None) -> DataFrame:
     """`df` with `out_col` = NTILE(tiles) over (partition_by, order_by).
 
     method="distributed" never puts a whole group in one task; method="window" is
-    Spark's window function; method="auto" picks by a bounded row count.
+    Spark's window function.
     """
-    df, method = _resolve(df, method, small_rows, partition_by)
     if method == "window":
         w = Window.partitionBy(*partition_by).orderBy(*[_as_col(c) for c in order_by])
         return df.withColumn(out_col, F.ntile(tiles).over(w))
@@ -152,10 +113,9 @@ def ntile(df: DataFrame, tiles: int, order_by: Sequence, partition_by: Sequence[
 
 
 def row_number(df: DataFrame, order_by: Sequence, partition_by: Sequence[str] = (),
-               out_col: str = "row_number", method: str = "auto",
-               num_ranges: int | None = None, small_rows: int = SMALL_INPUT_ROWS) -> DataFrame:
+               out_col: str = "row_number", method: str = "distributed",
+               num_ranges: int | None = None) -> DataFrame:
     """`df` with `out_col` = ROW_NUMBER() over (partition_by, order_by)."""
-    df, method = _resolve(df, method, small_rows, partition_by)
     if method == "window":
         w = Window.partitionBy(*partition_by).orderBy(*[_as_col(c) for c in order_by])
         return df.withColumn(out_col, F.row_number().over(w).cast("int"))

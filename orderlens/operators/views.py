@@ -78,7 +78,8 @@ def top_customers(clv: DataFrame, k: int = TOP_CUSTOMERS) -> DataFrame:
 
 
 def rfm_segments(rfm: DataFrame) -> DataFrame:
-    return rfm.groupBy("rfm_segment").agg(F.count("user_id").alias("customers"))
+    return (rfm.groupBy("rfm_segment").agg(F.count("user_id").alias("customers"))
+            .orderBy(F.desc("customers"), "rfm_segment"))
 
 
 def rfm_score_mix(rfm: DataFrame) -> DataFrame:
@@ -183,4 +184,4 @@ def filter_values(sales: DataFrame) -> DataFrame:
             .distinct().select(F.lit("item_category").alias("kind"), "value"))
     locs = (sales.select(F.col("restaurant_id").alias("value")).filter(F.col("value").isNotNull())
             .distinct().select(F.lit("restaurant_id").alias("kind"), "value"))
-    return cats.unionByName(locs)
+    return cats.unionByName(locs).orderBy("kind", "value")

@@ -102,7 +102,6 @@ def clv(spark: SparkSession, zones: Zones, run_date=None, backfill: bool = False
     """E3: daily snapshot (or month-end backfill) upserted by snapshot_date."""
     df = jobs.build_clv(spark, read_silver(spark, zones), run_date=run_date, backfill=backfill)
     rows = upsert_snapshots(df, zone_path(zones.gold, CLV_TABLE))
-    ranking.release_held()
     return rows
 
 
@@ -116,7 +115,6 @@ def marts(spark: SparkSession, zones: Zones, analysis_date=None) -> dict[str, in
         rows = {name: write_table(df, zone_path(zones.gold, name)) for name, df in built.items()}
     finally:
         base.unpersist()
-        ranking.release_held()
     return rows
 
 

@@ -23,7 +23,7 @@ def build_silver(order_items_raw: DataFrame, options_raw: DataFrame,
 
 
 def build_clv(spark: SparkSession, silver: dict[str, DataFrame], run_date=None,
-              backfill: bool = False, method: str = "auto") -> DataFrame:
+              backfill: bool = False, method: str = "distributed") -> DataFrame:
     """Daily run: one snapshot at `run_date` (default: last order date). Backfill:
     month-end snapshots over the whole calendar."""
     orders = silver["s_orders"]
@@ -33,7 +33,7 @@ def build_clv(spark: SparkSession, silver: dict[str, DataFrame], run_date=None,
     return clv.clv_daily(orders, run_date, method=method)
 
 
-def build_marts(silver: dict[str, DataFrame], analysis_date=None, method: str = "auto",
+def build_marts(silver: dict[str, DataFrame], analysis_date=None, method: str = "distributed",
                 customer_base: DataFrame | None = None) -> dict[str, DataFrame]:
     """The six marts. Pass `customer_base` (persisted by the caller) to let RFM and
     churn share one per-customer aggregation."""

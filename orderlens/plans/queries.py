@@ -61,7 +61,6 @@ def build_silver_tables(spark: SparkSession, sf_dir: str) -> str:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    ranking.release_held()  # caches kept by the previous query's ranks
     if os.environ.get("ORDERLENS_SILVER", "materialize") == "lazy":
         return silver_lazy(spark, sf_dir)
     return daily.read_silver(spark, build_silver_tables(spark, sf_dir))

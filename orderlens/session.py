@@ -75,8 +75,8 @@ def default_parallelism(spark: SparkSession) -> int:
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names (`spark.checkpoint.dir`, or one
-    already set on the context). Only when neither exists — local tests — a private
-    folder is created."""
+    already set on the context). Only a local session without either gets a private
+    folder; on a cluster that is an error."""
     sc = _context(spark)
     if sc is None:
         return spark.conf.get("spark.checkpoint.dir")
@@ -85,6 +85,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="orderlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

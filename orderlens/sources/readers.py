@@ -76,8 +76,9 @@ def zone_path(root: str, table: str) -> str:
 
 
 def read_zone(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:
-    """A Bronze/Silver/Gold table by zone root and name."""
-    return spark.read.format(fmt).load(zone_path(root, table))
+    """A Bronze/Silver/Gold table by zone root and name. Partitions may have been written
+    with different columns (a column added later): their schemas are merged."""
+    return spark.read.option("mergeSchema", "true").format(fmt).load(zone_path(root, table))
 
 
 def read_gold(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:

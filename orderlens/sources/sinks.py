@@ -26,6 +26,7 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 # Tables this process published, by location: refreshed after a rewrite of the folder.
 _PUBLISHED: dict[str, str] = {}
+_PARTITIONED: set[str] = set()
 
 
 def _written(df: DataFrame, path: str, obs: Observation) -> int:
@@ -36,6 +37,8 @@ def _written(df: DataFrame, path: str, obs: Observation) -> int:
     table = _PUBLISHED.get(path.rstrip("/"))
     if table and catalog.tableExists(table):
         catalog.refreshTable(table)
+        if table in _PARTITIONED:  # a new date must be visible through the table
+            catalog.recoverPartitions(table)
     return int(obs.get["rows"])
 
 
@@ -56,13 +59,19 @@ def write_partitions(df: DataFrame, path: str, partition_col: str, fmt: str = "p
 
 
 def write_batch(df: DataFrame, path: str, batch_date=None, fmt: str = "parquet") -> int:
-    """Bronze landing. With a batch date only that `batch_date` partition is replaced;
-    without one the whole table is replaced."""
+    """Bronze landing. With a batch date only that `batch_date` partition is replaced (an
+    empty extract clears it); without one the whole table is replaced."""
     if batch_date is None:
         df, obs = _observed(df, "write_batch")
         df.write.mode("overwrite").partitionBy("batch_date").format(fmt).save(path)
         return _written(df, path, obs)
-    return write_partitions(df, path, "batch_date", fmt)
+    rows = write_partitions(df, path, "batch_date", fmt)
+    if not rows:  # an empty extract replaces its date too
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/batch_date={batch_date}")
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+        spark.catalog.refreshByPath(path)
+    return rows
 
 
 def upsert_snapshots(clv: DataFrame, path: str, fmt: str = "parquet") -> int:
@@ -86,6 +95,7 @@ def publish_tables(spark: SparkSession, database: str, root: str, tables: list[s
         spark.catalog.createTable(f"{database}.{t}", path=location, source=fmt)
         if t in partitioned:
             spark.catalog.recoverPartitions(f"{database}.{t}")
+            _PARTITIONED.add(f"{database}.{t}")
         _PUBLISHED[location] = f"{database}.{t}"
         names.append(f"{database}.{t}")
     return names

@@ -55,7 +55,7 @@ def as_map(out):
                                            r.last_order_date) for r in out.collect()}
 
 
-@pytest.mark.parametrize("method", ["auto", "distributed"])
+@pytest.mark.parametrize("method", ["window", "distributed"])
 def test_split_order_counted_once(spark, method):
     # one order_id carrying two order dates (lines disagreeing on an attribute)
     o = orders(spark, [("o1", "u1", "2023-01-05", 10), ("o1", "u1", "2023-02-05", 5),
@@ -66,7 +66,7 @@ def test_split_order_counted_once(spark, method):
     assert got[("u1", dt.date(2023, 2, 28))][1] == 2
 
 
-@pytest.mark.parametrize("method", ["auto", "distributed"])
+@pytest.mark.parametrize("method", ["window", "distributed"])
 def test_matches_range_join_on_driver_data(spark, sf_small, method):
     from orderlens.operators import calendar as cal_ops
     from orderlens.plans.queries import silver

@@ -71,13 +71,14 @@ def test_ntile_property(spark, rows, tiles, ranges):
     assert got == want
 
 
-def test_auto_picks_window_for_small_and_distributed_for_large(spark):
+def test_default_is_the_distributed_path_at_every_size(spark):
     df = spark.range(300).select((F.col("id") % 7).alias("k"), F.col("id").cast("string").alias("u"))
-    small = ranking.ntile(df, 5, [F.col("k"), F.col("u")], out_col="t")
-    large = ranking.ntile(df, 5, [F.col("k"), F.col("u")], out_col="t", small_rows=100)
-    assert "Window" in small._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in large._jdf.queryExecution().executedPlan().toString().split("Scan")[0]
-    assert {(r.u, r.t) for r in small.collect()} == {(r.u, r.t) for r in large.collect()}
+    one = ranking.ntile(df, 5, [F.col("k"), F.col("u")], out_col="t")
+    many = ranking.ntile(df, 5, [F.col("k"), F.col("u")], out_col="t", num_ranges=5)
+    window = ranking.ntile(df, 5, [F.col("k"), F.col("u")], out_col="t", method="window")
+    for got in (one, many):
+        assert "GlobalLimit" not in got._jdf.queryExecution().executedPlan().toString()
+        assert {(r.u, r.t) for r in got.collect()} == {(r.u, r.t) for r in window.collect()}
 
 
 def test_hot_tied_key_stays_balanced_and_exact(spark):

@@ -78,3 +78,16 @@ def test_publish_partitioned_table(spark):
     assert t.count() == 2
     latest = t.filter(F.col("snapshot_date") == dt.date(2023, 2, 28))
     assert [r.user_id for r in latest.collect()] == ["u2"]
+
+
+def test_empty_extract_clears_its_date_and_added_columns_show(spark, tmp_path):
+    from orderlens.sources import readers, sinks
+
+    root = str(tmp_path)
+    rows = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "a int, batch_date string")
+    for day in ("2024-01-01", "2024-01-02"):
+        sinks.write_batch(rows.filter(rows.batch_date == day), f"{root}/t", day)
+    assert sinks.write_batch(rows.filter("false"), f"{root}/t", "2024-01-01") == 0
+    assert [r.a for r in readers.read_zone(spark, root, "t").collect()] == [2]
+    sinks.write_batch(spark.createDataFrame([(3, 9, "2024-01-03")], "a int, b int, batch_date string"), f"{root}/t", "2024-01-03")
+    assert {(r.a, r.b) for r in readers.read_zone(spark, root, "t").collect()} == {(2, None), (3, 9)}

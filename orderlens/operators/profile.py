@@ -1,44 +1,66 @@
 """Source profiling: the integrity figures published about the raw extract.
 
-All one-pass aggregates; medians are `percentile_disc(0.5)` (an actual data value, the
-lower middle one for an even count), whose buffer holds one counter per distinct value.
+One aggregate for the counts. Medians are actual data values (the lower middle one for an
+even count), found from running counts of the distinct values in distributed ranges.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.money import parse_price, parse_quantity
+from ..functions.timeparse import parse_iso_ts
 from .cleaning import standardize_casing
+from .ranking import running_counts
 
 
-def _median(col: str) -> F.Column:
-    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {col})")
+def _median(df: DataFrame, col: str) -> Column:
+    """The least value that half of the non-null rows don't exceed, as a scalar."""
+    return running_counts(df, col).filter("2 * upto >= total").agg(F.min(col)).scalar()
 
 
 def source_profile(raw_items: DataFrame) -> DataFrame:
     df = standardize_casing(raw_items)
     blank_user = F.col("user_id").isNull() | (F.trim(F.col("user_id")) == "")
-    df = df.select("order_id", "user_id", "restaurant_id", "item_category",
-                   blank_user.alias("_guest"),
-                   parse_price(F.col("item_price")).cast("double").alias("_price"),
-                   parse_quantity(F.col("item_quantity")).alias("_qty"))
+    loyalty = F.lower(F.trim(F.col("is_loyalty")))
+    price, qty = parse_price(F.col("item_price")), parse_quantity(F.col("item_quantity"))
+    values = df.select(price.cast("double").alias("_price"), qty.alias("_qty"))
+    df = df.select("order_id", "user_id", "restaurant_id", "item_category", "printed_card_number", "currency",
+                   blank_user.alias("_guest"), loyalty.alias("_loyalty"),
+                   price.cast("double").alias("_price"), qty.alias("_qty"), (price * qty).alias("_gross"))
     g = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct("order_id").alias("distinct_orders"),
         F.count_distinct(F.when(~F.col("_guest"), F.col("user_id"))).alias("distinct_users"),
         F.count_distinct("restaurant_id").alias("distinct_locations"),
         F.count_distinct("item_category").alias("distinct_categories"),
+        F.count_distinct("currency").alias("distinct_currencies"),
         F.count_if(F.col("_guest")).alias("guest_lines"),
         F.count_if(F.col("item_category").isNull()).alias("null_categories"),
-        F.min("_price").alias("price_min"), _median("_price").alias("price_median"),
-        F.max("_price").alias("price_max"),
-        F.min("_qty").alias("qty_min"), _median("_qty").cast("int").alias("qty_median"), F.max("_qty").alias("qty_max"),
+        F.count_if(F.col("printed_card_number").isNull()).alias("null_cards"),
+        F.count_if(F.col("_loyalty") == "true").alias("loyalty_true_lines"),
+        F.count_if(F.col("_loyalty") == "false").alias("loyalty_false_lines"),
+        F.min("_price").alias("price_min"), F.max("_price").alias("price_max"),
+        F.min("_qty").alias("qty_min"), F.max("_qty").alias("qty_max"),
         F.count_if(F.col("_price") == 0).alias("zero_price_lines"),
         F.count_if(F.col("_qty") == 0).alias("zero_qty_lines"),
         F.count_if(F.col("_price") < 0).alias("negative_price_lines"),
         F.count_if(F.col("_price").isNull()).alias("unparsed_price_lines"),
+        F.round(F.sum("_gross"), 2).cast("double").alias("gross_revenue"),
     )
-    return g.withColumn("guest_share", F.try_divide(F.col("guest_lines"), F.col("rows")))
+    return g.select("*", _median(values, "_price").alias("price_median"), _median(values, "_qty").alias("qty_median"),
+                    F.try_divide(F.col("guest_lines"), F.col("rows")).alias("guest_share"),
+                    F.try_divide(F.col("null_cards"), F.col("rows")).alias("null_card_share"))
+
+
+def lines_by_year(raw_items: DataFrame) -> DataFrame:
+    """Raw lines of each year (null: no readable date) and the share of all lines that a
+    calendar of that year alone would match."""
+    df = standardize_casing(raw_items)
+    g = (df.groupBy(F.year(parse_iso_ts(F.col("creation_time_utc"))).alias("year"))
+         .agg(F.count(F.lit(1)).alias("lines")))
+    # One row a year: an unpartitioned window here is cheap.
+    total = F.sum("lines").over(Window.partitionBy())
+    return g.select("year", "lines", F.when(F.col("year").isNotNull(), F.try_divide(F.col("lines"), total)).alias("calendar_share"))
 
 
 def grain_duplicates(s_items: DataFrame) -> DataFrame:

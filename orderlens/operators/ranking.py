@@ -122,3 +122,25 @@ def row_number(df: DataFrame, order_by: Sequence, partition_by: Sequence[str] =
     pos = ordered_positions(df, order_by, partition_by, num_ranges=num_ranges,
                             pos_col=out_col, size_col="_rn_n")
     return pos.withColumn(out_col, F.col(out_col).cast("int")).drop("_rn_n")
+
+
+def running_counts(df: DataFrame, value: str, num_ranges: int | None = None) -> DataFrame:
+    """(value, n, upto, total) of each distinct non-null value: its rows, the rows up to and
+    including it in ascending order, and all rows. Values are counted map-side first; the
+    counts are range-partitioned and checkpointed as in `ordered_positions`, so neither one
+    task nor one buffer holds all distinct values."""
+    checkpoint_root(df.sparkSession)
+    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+    source = counts.persist(StorageLevel.MEMORY_AND_DISK)
+    if num_ranges is None:
+        num_ranges = max(-(-source.count() // ROWS_PER_RANGE), 1)
+    staged = source.repartitionByRange(num_ranges, value).withColumn("_rk_part", F.spark_partition_id()).checkpoint(eager=True)
+    source.unpersist()
+    # One row a range: small, so an unpartitioned window here is cheap.
+    ranges = staged.groupBy("_rk_part").agg(F.sum("n").alias("_rk_cnt"))
+    before = Window.orderBy("_rk_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("_rk_part", F.coalesce(F.sum("_rk_cnt").over(before), F.lit(0)).alias("_rk_before"),
+                           F.sum("_rk_cnt").over(Window.partitionBy()).alias("total"))
+    inside = Window.partitionBy("_rk_part").orderBy(value)
+    return staged.join(ranges, "_rk_part").select(
+        value, "n", (F.col("_rk_before") + F.sum("n").over(inside)).alias("upto"), "total")

@@ -437,7 +437,8 @@ def q_qc_report(spark, sf_dir):
 SELECT rows, distinct_orders, distinct_users, distinct_locations, distinct_categories, guest_lines,
        null_categories, price_min, price_median, price_max, qty_min, qty_median, qty_max,
        zero_price_lines, zero_qty_lines, negative_price_lines, unparsed_price_lines,
-       guest_lines / rows AS guest_share
+       distinct_currencies, null_cards, loyalty_true_lines, loyalty_false_lines, gross_revenue,
+       guest_lines / rows AS guest_share, null_cards / rows AS null_card_share
 FROM (
   SELECT count(*) AS rows, count(DISTINCT order_id) AS distinct_orders,
          count(DISTINCT CASE WHEN NOT g THEN user_id END) AS distinct_users,
@@ -450,8 +451,13 @@ FROM (
          count(*) FILTER (WHERE p = 0) AS zero_price_lines,
          count(*) FILTER (WHERE q = 0) AS zero_qty_lines,
          count(*) FILTER (WHERE p < 0) AS negative_price_lines,
-         count(*) FILTER (WHERE p IS NULL) AS unparsed_price_lines
-  FROM (SELECT order_id, user_id, restaurant_id, item_category,
+         count(*) FILTER (WHERE p IS NULL) AS unparsed_price_lines,
+         count(DISTINCT currency) AS distinct_currencies,
+         count(*) FILTER (WHERE printed_card_number IS NULL) AS null_cards,
+         count(*) FILTER (WHERE is_loyalty = 'TRUE') AS loyalty_true_lines,
+         count(*) FILTER (WHERE is_loyalty = 'FALSE') AS loyalty_false_lines,
+         CAST(round(sum(CAST(p AS DECIMAL(18,6)) * q), 2) AS DOUBLE) AS gross_revenue
+  FROM (SELECT order_id, user_id, restaurant_id, item_category, currency, printed_card_number, is_loyalty,
                user_id IS NULL OR trim(user_id) = '' AS g,
                CAST(TRY_CAST(item_price AS DECIMAL(18,6)) AS DOUBLE) AS p,
                CAST(trunc(TRY_CAST(item_quantity AS DOUBLE)) AS INTEGER) AS q
@@ -476,6 +482,15 @@ def q_orders_by_year(spark, sf_dir):
     return profile.orders_by_year(silver(spark, sf_dir)["s_orders"])
 
 
+@register("lines_by_year", O.with_("x AS (SELECT 1)", select="""
+SELECT CAST(substr(creation_time_utc, 1, 4) AS INTEGER) AS year, count(*) AS lines,
+       count(*) / (SELECT count(*) FROM src_order_items) AS calendar_share
+FROM src_order_items GROUP BY 1"""))
+def q_lines_by_year(spark, sf_dir):
+    prepare(spark)
+    return profile.lines_by_year(fixtures.order_items(spark, sf_dir))
+
+
 @register("option_integrity", O.with_("x AS (SELECT 1)", select="""
 SELECT (SELECT count(*) FROM s_order_item_options) AS options,
        (SELECT count(*) FROM s_order_item_options o WHERE NOT EXISTS (

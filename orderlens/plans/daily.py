@@ -3,8 +3,9 @@
 Every step reads what the previous step wrote (parquet), so each one starts from a cut
 lineage: a lost executor costs a re-read of the step's input, not a recomputation of
 the whole chain, and no table is computed twice for two writes. Re-running a date is
-idempotent: Bronze replaces that `batch_date`, Silver and marts are replaced whole, and
-CLV replaces only the snapshot dates it computed.
+idempotent: Bronze replaces that `batch_date`, Silver and marts are replaced whole from
+the latest batch (so reloading an older date doesn't roll them back), and CLV replaces
+only the snapshot dates it computed.
 """
 from __future__ import annotations
 
@@ -21,6 +22,7 @@ from ..operators import marts as mart_ops
 from ..session import _context, prepare
 from ..sources.readers import read_zone, zone_path
 from ..sources.sinks import publish_tables, stamp_ingest, upsert_snapshots, write_batch, write_table
+from ..streaming.landing import STREAM_BATCH_COL
 from . import jobs
 
 CLV_TABLE = "g_fact_customer_clv_daily"
@@ -50,10 +52,15 @@ def ingest(sources: dict[str, DataFrame], zones: Zones, source_label: str,
 
 
 def read_bronze_batch(spark: SparkSession, zones: Zones, table: str, batch_date=None) -> DataFrame:
-    """One Bronze batch (default: the latest). Reading every batch would double each
-    order once two extracts coexist. The batch filter is a partition filter; the
-    default latest date is a scalar subquery the scan prunes with at run time."""
+    """One Bronze batch (default: the latest) of a table of full extracts: reading every
+    batch would double each order once two extracts coexist. The batch filter is a
+    partition filter; the default latest date is a scalar subquery the scan prunes with
+    at run time. Of a table landed in increments: all of them, up to `batch_date` if it
+    is given."""
     b = read_zone(spark, zones.bronze, f"b_{table}")
+    if STREAM_BATCH_COL in b.columns:
+        upto = b if batch_date is None else b.filter(F.col("batch_date") <= F.lit(str(batch_date)).cast("date"))
+        return upto.select(*SOURCE_COLUMNS[table])
     bd = (F.lit(str(batch_date)).cast("date") if batch_date is not None
           else b.select(F.max("batch_date")).scalar())
     return b.filter(F.col("batch_date") == bd).select(*SOURCE_COLUMNS[table])
@@ -134,16 +141,19 @@ def qc_and_publish(spark: SparkSession, zones: Zones, database: str | None = Non
 
 def run_daily(spark: SparkSession, sources: dict[str, DataFrame], zones: Zones, batch_date,
               dev_app_name: str, source_label: str = "parquet", database: str | None = None,
-              expected_items: int | None = None) -> dict:
-    """E6: the whole chain for one batch date; running it twice equals running it once."""
+              expected_items: int | None = None, run_date=None, analysis_date=None,
+              backfill: bool = False) -> dict:
+    """E6: the whole chain for one batch date; running it twice equals running it once.
+    Silver and Gold are built from the latest Bronze batch. `run_date` and `backfill` go to
+    the CLV step, `analysis_date` to the marts."""
     prepare(spark)
     out = {"bronze": ingest(sources, zones, source_label, batch_date)}
-    out["silver"] = silver(spark, zones, dev_app_name, batch_date)
+    out["silver"] = silver(spark, zones, dev_app_name)
     # CLV and the marts only read Silver: submit both steps' jobs at once, so the
     # scheduler can interleave their tasks (as the two parallel jobs of the DAG).
     with ThreadPoolExecutor(max_workers=2) as pool:
-        f_clv = pool.submit(_in_pool, spark, "clv", clv, spark, zones)
-        f_marts = pool.submit(_in_pool, spark, "marts", marts, spark, zones)
+        f_clv = pool.submit(_in_pool, spark, "clv", clv, spark, zones, run_date, backfill)
+        f_marts = pool.submit(_in_pool, spark, "marts", marts, spark, zones, analysis_date)
         out["clv"], out["marts"] = f_clv.result(), f_marts.result()
     out["qc"] = qc_and_publish(spark, zones, database, expected_items)
     return out

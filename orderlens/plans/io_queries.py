@@ -166,35 +166,41 @@ def q_publish_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("daily_reload", O.with_("x AS (SELECT 1)", select=_ORDERS_SQL))
 def q_daily_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole daily chain for one batch date (QC gates included), then ingest and
-    Silver re-run for the same date: Silver orders equal a single run's."""
+    """An older extract lands for date A, the whole daily chain runs for date B (QC gates
+    included), then both dates are landed again, A last, and Silver is rebuilt: its orders
+    equal those of a single run for B."""
     prepare(spark)
     zones = daily.Zones.under(scratch_path(spark, "daily"))
     sources = {"order_items": fixtures.order_items(spark, sf_dir),
                "order_item_options": fixtures.order_item_options(spark, sf_dir)}
-    daily.run_daily(spark, sources, zones, BATCH_A, fixtures.DEV_APP_NAME)
-    daily.ingest(sources, zones, "parquet", BATCH_A)
+    older = sources | {"order_items": sources["order_items"].filter(F.col("creation_time_utc") < "1996")}
+    daily.ingest(older, zones, "parquet", BATCH_A)
+    daily.run_daily(spark, sources, zones, BATCH_B, fixtures.DEV_APP_NAME)
+    daily.ingest(sources, zones, "parquet", BATCH_B)
+    daily.ingest(older, zones, "parquet", BATCH_A)
     daily.silver(spark, zones, fixtures.DEV_APP_NAME)
     return _orders_out(read_zone(spark, zones.silver, "s_orders"))
 
 
 @register("landing_stream_ingest", O.with_("x AS (SELECT 1)", select=_ORDERS_SQL))
 def q_landing_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Extract files land in a folder; two streaming ingest runs follow (the second finds
-    no new file and lands nothing); Silver orders built from Bronze equal the direct
-    path's."""
+    """The extract lands in two increments on two dates, each followed by two streaming
+    ingest runs (the second finds no new file and lands nothing); Silver orders built from
+    Bronze equal the direct path's."""
     from ..streaming.landing import ingest_landing
 
     prepare(spark)
     root = scratch_path(spark, "landing")
     zones = daily.Zones.under(root)
-    _to_csv(fixtures.order_items(spark, sf_dir), f"{root}/landing/order_items")
-    _to_csv(fixtures.order_item_options(spark, sf_dir), f"{root}/landing/order_item_options")
-    for _ in range(2):
-        for table, multiline in (("order_items", True), ("order_item_options", False)):
-            ingest_landing(spark, f"{root}/landing/{table}", table,
-                           zone_path(zones.bronze, f"b_{table}"), f"{root}/_stream/{table}",
-                           batch_date=BATCH_A, multiline=multiline)
+    half = F.crc32("order_id") % 2
+    for part, batch_date in enumerate((BATCH_A, BATCH_B)):
+        for table, source, multiline in (("order_items", fixtures.order_items, True),
+                                         ("order_item_options", fixtures.order_item_options, False)):
+            _to_csv(source(spark, sf_dir).filter(half == part), f"{root}/landing/{table}/part={part}")
+            for _ in range(2):
+                ingest_landing(spark, f"{root}/landing/{table}/*", table,
+                               zone_path(zones.bronze, f"b_{table}"), f"{root}/_stream/{table}",
+                               batch_date=batch_date, multiline=multiline)
     s = jobs.build_silver(daily.read_bronze_batch(spark, zones, "order_items"),
                           daily.read_bronze_batch(spark, zones, "order_item_options"),
                           fixtures.DEV_APP_NAME)

@@ -5,14 +5,17 @@ once: the file source's checkpoint remembers which files were processed (what jo
 bookmarks are meant to do), and `trigger(availableNow=True)` turns each run into a
 bounded batch job — process what has arrived, then stop.
 
-Each micro-batch is stamped like a batch ingest and written with dynamic partition
-overwrite on (batch_date, stream_batch). If a run dies after writing but before its
-checkpoint commit, the retried micro-batch keeps its id and replaces its own partition,
-so nothing is landed twice.
+Each micro-batch is stamped like a batch ingest and replaces the whole folder of its id
+(`stream_batch=<id>/batch_date=<date>`). If a run dies after writing but before its
+checkpoint commit, the retried micro-batch keeps its id and replaces what it wrote, also
+when it is retried on a later date, so nothing is landed twice.
+
+Such a Bronze table holds increments: a reader takes all of its batches, where a table of
+full extracts is read by its latest batch (`plans.daily.read_bronze_batch`).
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..contracts import SOURCE_COLUMNS, string_schema
 from ..sources.sinks import stamp_ingest
@@ -41,9 +44,9 @@ def ingest_landing(spark: SparkSession, landing_dir: str, table: str, bronze_pat
     Bronze table at `bronze_path`, then return."""
 
     def write_micro_batch(df: DataFrame, batch_id: int) -> None:
-        stamped = stamp_ingest(df, source_label, batch_date).withColumn(STREAM_BATCH_COL, F.lit(batch_id))
-        (stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_date", STREAM_BATCH_COL).parquet(bronze_path))
+        (stamp_ingest(df, source_label, batch_date).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").partitionBy("batch_date")
+         .parquet(f"{bronze_path}/{STREAM_BATCH_COL}={batch_id}"))
 
     q = (landing_stream(spark, landing_dir, table, multiline=multiline).writeStream
          .foreachBatch(write_micro_batch)

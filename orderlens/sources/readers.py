@@ -18,8 +18,9 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
              multiline: bool = False) -> DataFrame:
     """Header CSV, all strings. `multiline` accepts RFC-4180 quoted fields that contain
     line breaks (quote and escape are both `"`); such a file cannot be split, so land it
-    once (Bronze parquet) rather than re-reading it."""
-    r = spark.read.option("header", True).option("inferSchema", False)
+    once (Bronze parquet) rather than re-reading it. Every file's header is checked: one
+    that orders or names its columns differently from the others fails the read."""
+    r = spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
     if multiline:
         r = r.option("multiLine", True).option("quote", '"').option("escape", '"')
     df = standardize_casing(r.csv(path))

@@ -12,7 +12,7 @@ only, which is the token itself: they aren't decoded.
 Restored words (without edge punctuation, runs squeezed) are looked up in a lexicon of
 words that mark toxic texts. The lexicon is a greedy list: words that most exceed the base
 rate in the labelled texts not yet explained by an earlier word, copies of one text
-counting once. Score: noisy-or of the lexicon words in the text over the base rate of
+counting once in every count, the choice of candidates included. Score: noisy-or of the lexicon words in the text over the base rate of
 texts without any. Fitted on a bounded sample of labelled rows (`SAMPLE`); everything else
 covers all rows and whole texts.
 
@@ -33,11 +33,14 @@ from pyspark.sql import DataFrame, functions as F
 from . import kernel as K
 from .frames import keep_texts, map_texts, sampled
 
-#: Labelled rows that the lexicon is fitted on, and candidate words at most.
-SAMPLE, CANDIDATES = 20_000, 4_000
+#: Labelled rows that the lexicon is fitted on.
+SAMPLE = 20_000
 #: A word enters the lexicon at this support, precision and excess over the base rate.
-#: MIN_SHARE: of all toxic texts of the sample.
+#: MIN_SHARE: of all toxic texts of the sample; so there are at most 1 / MIN_SHARE times as
+#: many candidates as a toxic text has different words, and 1 / MIN_SHARE lexicon words.
 MIN_TOXIC, MIN_SHARE, MIN_PRECISION, MIN_SIGMAS = 4, 0.01, 0.6, 5.0
+#: Sums of weights like 1/3 that reach a bound but for rounding reach it.
+_ROUNDING = 1e-9
 #: What leaving out a substitute character at a token's edge costs a reading.
 EDGE_COST = 0.5
 # Letters that a substitute character can stand for.
@@ -285,30 +288,29 @@ def restore(docs: DataFrame, cost: np.ndarray, id_col: str = "doc_id", text_col:
     return map_texts(docs, id_col, text_col, "restored string", rows)
 
 
-def _select(marks: dict[int, list[int]], toxic: np.ndarray, weight: np.ndarray) -> list[tuple[int, float]]:
-    """The greedy list: words and the rate of toxic texts among those they explain."""
+def _select(row: np.ndarray, word: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> list[tuple[int, float]]:
+    """The greedy list: words (numbers) and the rate of toxic texts among those they
+    explain. `word[i]` is in the text `row[i]`."""
     left = np.ones(len(toxic), dtype=bool)
-    least_toxic = max(MIN_TOXIC, MIN_SHARE * float(weight[toxic == 1].sum()))
-    members = {w: np.array(rows) for w, rows in marks.items()}
+    least_toxic = max(MIN_TOXIC, MIN_SHARE * float(weight[toxic].sum()))
+    words = int(word.max()) + 1 if len(word) else 0
     chosen: list[tuple[int, float]] = []
     while True:
         n = float(weight[left].sum())
-        t = float(weight[left & (toxic == 1)].sum())
+        t = float(weight[left & toxic].sum())
         base = min(max(t / n, 0.01), 0.5) if n else 0.5
-        best, least = None, MIN_SIGMAS
-        for w in sorted(members):
-            rows = members[w][left[members[w]]]
-            members[w] = rows
-            nw = float(weight[rows].sum())
-            tw = float(weight[rows[toxic[rows] == 1]].sum())
-            if tw >= least_toxic and tw >= MIN_PRECISION * nw:
-                sigmas = (tw - nw * base) / np.sqrt(nw * base * (1 - base))
-                if sigmas > least:
-                    best, least, rate = w, sigmas, (tw + 1) / (nw + 1.5)
-        if best is None:
+        keep = left[row]
+        row, word = row[keep], word[keep]
+        nw = np.bincount(word, weights=weight[row], minlength=words)
+        tw = np.bincount(word, weights=(weight * toxic)[row], minlength=words)
+        able = (tw >= least_toxic - _ROUNDING) & (tw >= MIN_PRECISION * nw - _ROUNDING)
+        # Rounded: equal words stay equal whatever the order of the sums; the first one wins.
+        sigmas = np.where(able, np.round((tw - nw * base) / np.sqrt(np.maximum(nw, _ROUNDING) * base * (1 - base)), 9), 0.0)
+        best = int(sigmas.argmax()) if words else 0
+        if not words or sigmas[best] <= MIN_SIGMAS:
             return chosen
-        chosen.append((best, min(rate, 0.99)))
-        left[members.pop(best)] = False
+        chosen.append((best, min((tw[best] + 1) / (nw[best] + 1.5), 0.99)))
+        left[row[word == best]] = False
 
 
 def fit(docs: DataFrame, labels: DataFrame, cost: np.ndarray, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
@@ -329,9 +331,11 @@ def fit(docs: DataFrame, labels: DataFrame, cost: np.ndarray, id_col: str = "doc
                 new = np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])][:len(h)]
                 h, doc = h[new], doc[new]
                 w = K.words_of(t)
-                # Copies of a text share the least hash of five words.
-                five = K.run_hash(K.span_hash(t.data, w.start, w.end), 5)
-                least = [int(five[a:b - 4].min()) if b - a >= 5 else a for a, b in zip(w.first[:-1], w.first[1:])]
+                # Copies of a text share the least hash of five words (or all, if fewer).
+                each = K.span_hash(t.data, w.start, w.end)
+                five = K.run_hash(each, 5)
+                least = [int(five[a:b - 4].min()) if b - a >= 5 else int(K.run_hash(each[a:b], b - a)[0]) if b > a else 0
+                         for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist())]
                 bounds = np.searchsorted(doc, np.arange(len(t) + 1))
                 words = pa.ListArray.from_arrays(bounds.astype(np.int32), K.signed(h))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.array(least, dtype=np.uint64).view(np.int64)), words], names=["toxic", "copy", "words"])
@@ -341,28 +345,26 @@ def fit(docs: DataFrame, labels: DataFrame, cost: np.ndarray, id_col: str = "doc
         n = sample.count()
         if not n:
             return empty
-        per_word = (sample.select("toxic", F.explode("words").alias("w")).groupBy("w")
-                    .agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
-                    .filter(f"t >= {MIN_TOXIC} AND t >= {MIN_PRECISION} * n")
-                    .orderBy(F.desc("t"), "w").limit(CANDIDATES))
-        words = [r["w"] for r in per_word.collect()]
-        wanted = F.array(*[F.lit(w) for w in words]).cast("array<long>")
-        found = sample.select("row", "toxic", "copy", (F.array_intersect("words", wanted) if words else F.array().cast("array<long>")).alias("words")).collect()
+        copies = sample.groupBy("toxic", "copy").agg(F.count(F.lit(1)).alias("copies"))  # bounded: SAMPLE rows
+        each = sample.join(F.broadcast(copies), ["toxic", "copy"]).withColumn("weight", 1 / F.col("copies"))
+        about = each.select("row", "toxic", "weight").toArrow()
+        row = about["row"].to_numpy()
+        order = np.argsort(row)
+        row, toxic, weight = row[order], about["toxic"].to_numpy()[order] == 1, about["weight"].to_numpy()[order]
+        least_toxic = max(MIN_TOXIC, MIN_SHARE * float(weight[toxic].sum()))
+        in_text = each.select("row", "weight", F.when(F.col("toxic") == 1, F.col("weight")).otherwise(0.0).alias("bad"), F.explode("words").alias("w"))
+        per_word = (in_text.groupBy("w").agg(F.sum("bad").alias("t"), F.sum("weight").alias("n"))
+                    .filter((F.col("t") >= least_toxic - _ROUNDING) & (F.col("t") >= MIN_PRECISION * F.col("n") - _ROUNDING)))
+        pairs = in_text.join(F.broadcast(per_word.select("w")), "w").select("row", "w").toArrow()  # bounded: see MIN_SHARE
     finally:
         sample.unpersist()
-    toxic = np.array([r["toxic"] for r in found])
-    copies: dict[tuple, int] = {}
-    for r in found:
-        copies[r["toxic"], r["copy"]] = copies.get((r["toxic"], r["copy"]), 0) + 1
-    weight = np.array([1 / copies[r["toxic"], r["copy"]] for r in found])
-    marks: dict[int, list[int]] = {}
-    for i, r in enumerate(found):
-        for w in r["words"]:
-            marks.setdefault(w, []).append(i)
-    chosen = sorted(_select(marks, toxic, weight))
+    at = np.searchsorted(row, pairs["row"].to_numpy())
+    words, word = np.unique(pairs["w"].to_numpy(), return_inverse=True)
+    order = np.lexsort((at, word))
+    at, word = at[order], word[order]
+    chosen = [(int(words[k]), rate) for k, rate in _select(at, word, toxic, weight)]
     rest = np.ones(len(toxic), dtype=bool)
-    for w, _ in chosen:
-        rest[marks[w]] = False
+    rest[at[np.isin(words[word], [w for w, _ in chosen])]] = False
     base = float((weight * toxic)[rest].sum() / max(weight[rest].sum(), 1e-9)) if rest.any() else float(toxic.mean())
     h = np.array([w for w, _ in chosen], dtype=np.int64).view(np.uint64)
     order = np.argsort(h)

@@ -199,6 +199,23 @@ def test_restoration_of_hidden_words(spark):
     assert {r.doc_id: r.restored for r in got} == {1: "you idiot", 2: ""}
 
 
+def test_copies_take_no_place_from_lexicon_words(spark):
+    """A much-copied toxic text with many words and a much-copied clean text that holds a
+    marker leave the markers in the lexicon; short copies count once too."""
+    rnd = random.Random(3)
+    filler = lambda k: [f"{rnd.choice('bcdfgklmnprst')}{rnd.choice('aeou')}{rnd.choice('bdgklmnrst')}{rnd.choice('aeou')}x" for _ in range(k)]
+    letters = "bcdfghjklm"
+    long = " ".join("q" + "".join(letters[int(d)] for d in f"{i:04d}").replace("bb", "bab") + "z" for i in range(9000))
+    rows = [(" ".join([*filler(12), "zorp", *filler(12)]), 1) for _ in range(12)] + [(" ".join([*filler(12), "vexil", *filler(12)]), 1) for _ in range(12)]
+    rows += [(" ".join(filler(25)), 0) for _ in range(200)]
+    rows += [(long, 1)] * 30 + [(" ".join([*filler(12), "vexil", *filler(12)]), 0)] * 60 + [("only once", 1)] * 40
+    docs = docs_of(spark, [(i, t) for i, (t, _) in enumerate(rows)])
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, toxicity.character_model(docs))
+    probe = docs_of(spark, [(1, "a zorp"), (2, "a vexil"), (3, "only once"), (4, long)])
+    assert {r.doc_id: r.n_marks for r in toxicity.score(probe, model).collect()} == {1: 1, 2: 1, 3: 0, 4: 0}
+
+
 @pytest.mark.parametrize("name, label, least", [("op1_language_id", None, 0.97), ("op5_toxicity", "toxic", 0.9), ("op7_quality", "quality", 0.95)])
 def test_held_out_accuracy(spark, name, label, least):
     sf = "/root/testdata/sf0.01"

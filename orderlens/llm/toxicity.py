@@ -2,15 +2,19 @@
 
 Writers hide words by leetspeak (`1d10t`), spacing (`i d i o t`, `i.d.i.o.t`) and
 repetition (`idiooot`). Each such token is a lattice: every character may stand for itself
-or, if it is a substitute character, for one of the letters in `SUBSTITUTES`; separators
-inside may be noise; a run of one letter may be one or two. The Viterbi path under a
+or, if it is a substitute character, for one of the letters in `SUBSTITUTES`; a separator
+inside may be noise or the boundary of two words (`idiot/moron`); a run of one letter may
+be one or two. Characters one at a time (`a 1 d 1 0 t`) are one token whose separators are
+the spaces. Separators are ASCII symbols and, outside ASCII, all but letters, marks and
+numbers (Unicode spaces part tokens). The Viterbi path under a
 character trigram model is the restored word. The trigram model counts all words of the
 whole corpus (a table of 28 x 28 x 28, so the model doesn't grow with the corpus, but what
 is counted does). Tokens without a substitute, inner separator or long run have one path
 only, which is the token itself: they aren't decoded.
 
 Restored words (without edge punctuation, runs squeezed) are looked up in a lexicon of
-words that mark toxic texts. The lexicon is a greedy list: words that most exceed the base
+words that mark toxic texts; of a token with symbols inside, also the pieces between its
+separators, those between all its symbols, and the reading without any boundary. The lexicon is a greedy list: words that most exceed the base
 rate in the labelled texts not yet explained by an earlier word, copies of one text
 counting once in every count, the choice of candidates included. Score: noisy-or of the lexicon words in the text over the base rate of
 texts without any. Fitted on a bounded sample of labelled rows (`SAMPLE`); everything else
@@ -19,11 +23,13 @@ covers all rows and whole texts.
 Results for edge cases: a null or empty text (no words) scores the base rate; unlabelled
 rows are not learned from; with no labels the score is 0; repeated rows get their result
 each time; other columns are ignored. Runs of two or more substitute symbols at a token's
-edge (`the$$$`) are decoration, not letters.
+edge (`the$$$`) are decoration, not letters; runs of digits (`57up1d`) may be either.
 """
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -41,12 +47,13 @@ SAMPLE = 20_000
 MIN_TOXIC, MIN_SHARE, MIN_PRECISION, MIN_SIGMAS = 4, 0.01, 0.6, 5.0
 #: Sums of weights like 1/3 that reach a bound but for rounding reach it.
 _ROUNDING = 1e-9
-#: What leaving out a substitute character at a token's edge costs a reading.
+#: What leaving out substitute characters at an edge of a token costs a reading.
 EDGE_COST = 0.5
+#: So many characters one at a time may be a spaced word.
+SPACED = 2
 # Letters that a substitute character can stand for.
 SUBSTITUTES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t",
                "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c"}
-_WAYS = 3  # readings of a character at most
 _SYMBOLS = 28  # boundary, a-z, any other letter
 
 _SYMBOL = np.zeros(256, dtype=np.int64)
@@ -57,6 +64,9 @@ _IS_LETTER[range(97, 123)] = True
 _IS_LETTER[128:] = True
 _IS_SUB = np.zeros(256, dtype=bool)
 _IS_SUB[[ord(c) for c in SUBSTITUTES]] = True
+_IS_DIGIT = np.zeros(256, dtype=bool)
+_IS_DIGIT[range(48, 58)] = True
+_NOT_LAST = "!(|"  # substitutes that are punctuation at the end of a token
 
 
 class Model(NamedTuple):
@@ -68,10 +78,39 @@ class Model(NamedTuple):
     base: float
 
 
+@lru_cache(maxsize=1)
+def _separators() -> np.ndarray:
+    """For each code point outside ASCII: the byte that stands for it, 0 if it is part of words."""
+    table = np.zeros(0x110000, dtype=np.uint8)
+    for code in range(0x80, 0x110000):
+        kind = unicodedata.category(chr(code))
+        if kind[0] not in "LMN":
+            table[code] = ord(" ") if kind[0] == "Z" else ord(".")
+    return table
+
+
+def prepared(texts: K.Texts) -> K.Texts:
+    """A-Z in lower case; separators outside ASCII as spaces or dots of the same length."""
+    low = K.lowered(texts)
+    data = low.data
+    at = np.flatnonzero(data >= 0xC2)
+    if not len(at):
+        return low
+    lead = data[at].astype(np.int64)
+    c1, c2, c3 = ((data[at + k] & 63).astype(np.int64) for k in (1, 2, 3))
+    code = np.where(lead < 0xE0, (lead & 31) << 6 | c1,
+                    np.where(lead < 0xF0, (lead & 15) << 12 | c1 << 6 | c2, (lead & 7) << 18 | c1 << 12 | c2 << 6 | c3))
+    mark = _separators()[code]
+    some = mark > 0
+    width = 2 + (lead[some] >= 0xE0) + (lead[some] >= 0xF0)
+    data[K.gather(np.arange(len(data)), at[some], width)] = np.repeat(mark[some], width)
+    return low
+
+
 def trigram_counts(texts: K.Texts) -> np.ndarray:
     """Counts of symbol trigrams of words; a word begins after two boundaries."""
     size = int(texts.offsets[-1])
-    data = K.lowered(texts).data[:size]
+    data = prepared(texts).data[:size]
     keep = (data & 0xC0) != 0x80  # one symbol a character
     s = _SYMBOL[data]
     text = np.repeat(np.arange(len(texts)), np.diff(texts.offsets))[keep]
@@ -109,37 +148,71 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return -np.log((n + weight * backed[None]) / (n.sum(axis=2, keepdims=True) + weight))
 
 
-def _readings(token: str) -> list[tuple[list[str], float]]:
-    """Lattices of a token: with and without substitutes at its edges, runs as one or two."""
-    letters = [i for i, c in enumerate(token) if c.isalpha()]
+def _in_word(c: str) -> bool:
+    return c.isalpha() or c >= "\x80" and unicodedata.category(c)[0] in "LMN"
+
+
+def _edges(items: list[tuple[str, bool]], at: int, step: int) -> list[int]:
+    """Where a token's word may begin (step -1) or end (1): at its outermost letter `at`,
+    a substitute further, or at the outermost substitute that isn't decoration."""
+    far, n = at, len(items)
+    parted = lambda i, j: not (0 <= i < n and 0 <= j < n) or items[max(i, j)][1]
+    while 0 <= far + step < n:
+        i, out = far + step, far + 2 * step
+        c = items[i][0]
+        if step > 0 and c in _NOT_LAST or not c.isdigit() and not parted(i, out) and items[out][0] == c:
+            break
+        if parted(far, i) and not parted(i, out):  # a group of its own, not one of spaced characters
+            break
+        far = i
+    return list(dict.fromkeys((at, at + step if far != at else at, far)))
+
+
+def _readings(token: str) -> list[tuple[list[tuple[str, bool]], float]]:
+    """Lattices of a token: with and without substitutes at its edges, runs as one or two,
+    separators as noise or also as boundaries. An element: its letters, and whether a
+    boundary may come before."""
+    items: list[tuple[str, bool]] = []  # letters and substitutes; whether a separator is before
+    parted = False
+    for c in token:
+        if c in SUBSTITUTES or _in_word(c):
+            items.append((c, parted and bool(items)))
+            parted = False
+        else:
+            parted = True
+    letters = [i for i, (c, _) in enumerate(items) if c not in SUBSTITUTES]
     if not letters:
         return []
-    first, last = letters[0], letters[-1]
-    spans = [(first, last)]
-    edge = lambda i, j: 0 <= i < len(token) and token[i] in SUBSTITUTES and not (0 <= j < len(token) and token[j] == token[i])
-    if edge(first - 1, first - 2):
-        spans.append((first - 1, last))
-    if edge(last + 1, last + 2) and token[last + 1] not in "!(|":
-        spans += [(a, last + 1) for a, _ in list(spans)]
-    found: list[tuple[list[str], float]] = []
-    widest = max(b - a for a, b in spans)
-    for a, b in spans:
-        ways = [c if c.isalpha() else SUBSTITUTES.get(c, "") for c in token[a:b + 1]]
-        ways = [w for w in ways if w]  # what stands for no letter separates letters
+    begins, ends = _edges(items, letters[0], -1), _edges(items, letters[-1], 1)
+    found: list[tuple[list[tuple[str, bool]], float]] = []
+    for a, b in [(a, b) for b in ends for a in begins]:
+        extra = EDGE_COST * ((a != begins[-1]) + (b != ends[-1]))
+        ways = [(SUBSTITUTES.get(c, c), parted and i > a) for i, (c, parted) in enumerate(items[a:b + 1], a)]
         for most in (1, 2):
-            kept: list[str] = []
+            kept: list[tuple[str, bool]] = []
             run = 0
-            for w in ways:
-                run = run + 1 if kept and w == kept[-1] else 1
+            for w, parted in ways:
+                run = run + 1 if kept and w == kept[-1][0] else 1
                 if run <= most:
-                    kept.append(w)
-            if kept and kept not in [x for x, _ in found]:
-                found.append((kept, EDGE_COST * (widest - b + a)))
+                    kept.append((w, parted))
+            for lattice in ([(w, False) for w, _ in kept], kept):
+                if lattice not in [x for x, _ in found]:
+                    found.append((lattice, extra))
     return found
 
 
+def _pieces(token: str) -> list[str]:
+    """What is between a token's separators, and between all of its symbols."""
+    out = []
+    for parts in (lambda c: c not in SUBSTITUTES and not _in_word(c), lambda c: not c.isdigit() and not _in_word(c)):
+        split = "".join(" " if parts(c) else c for c in token).split()
+        out += split if len(split) > 1 else []
+    return list(dict.fromkeys(out))
+
+
 def decode(tokens: list[str], cost: np.ndarray) -> list[tuple[str, ...]]:
-    """The most likely word of each token's lattices (one word a lattice, best first)."""
+    """The most likely reading of each token's lattices (one a lattice, best first); words
+    of a reading are parted by a space."""
     lattices, extra, owner = [], [], []
     for i, token in enumerate(tokens):
         for ways, edges in _readings(token):
@@ -147,40 +220,50 @@ def decode(tokens: list[str], cost: np.ndarray) -> list[tuple[str, ...]]:
             extra.append(edges)
             owner.append(i)
     out: list[list[tuple[float, str]]] = [[] for _ in tokens]
-    order = sorted(range(len(lattices)), key=lambda k: len(lattices[k]))
+    widths = [max(len(w) * (1 + cut) for w, cut in x) for x in lattices]
+    order = sorted(range(len(lattices)), key=lambda k: (widths[k], len(lattices[k])))
     at = 0
     while at < len(order):
-        to = at + 1  # lattices of nearly one length, bounded in size together
-        while to < len(order) and (to - at + 1) * len(lattices[order[to]]) <= 60_000 and len(lattices[order[to]]) <= len(lattices[order[at]]) + 3:
+        to = at + 1  # lattices of one width and nearly one length, bounded in size together
+        while (to < len(order) and widths[order[to]] == widths[order[at]] and (to - at + 1) * len(lattices[order[to]]) <= 60_000
+               and len(lattices[order[to]]) <= len(lattices[order[at]]) + 3):
             to += 1
         some = [lattices[k] for k in order[at:to]]
-        for k, (c, word) in zip(order[at:to], _viterbi(some, cost)):
+        for k, (c, word) in zip(order[at:to], _viterbi(some, widths[order[at]], cost)):
             out[owner[k]].append((c + extra[k], word))
         at = to
     return [tuple(dict.fromkeys(w for _, w in sorted(x))) for x in out]
 
 
-def _viterbi(lattices: list[list[str]], cost: np.ndarray) -> list[tuple[float, str]]:
-    """Best path of each lattice and its cost a symbol; states are the last two readings."""
+def _viterbi(lattices: list[list[tuple[str, bool]]], width: int, cost: np.ndarray) -> list[tuple[float, str]]:
+    """Best path of each lattice and its cost a letter; states are the last two readings. A
+    reading is a letter, or a boundary and a letter."""
     n, size = len(lattices), max(map(len, lattices))
     length = np.array([len(x) for x in lattices])
-    code = np.zeros((n, size + 1, _WAYS), dtype=np.int64)
-    there = np.zeros((n, size + 1, _WAYS), dtype=bool)
+    code = np.zeros((n, size + 1, width), dtype=np.int64)
+    there = np.zeros((n, size + 1, width), dtype=bool)
+    cut = np.zeros((n, size + 1, width), dtype=bool)
     for i, ways in enumerate(lattices):
-        for j, w in enumerate(ways):
-            for k, c in enumerate(w[:_WAYS]):
+        for j, (w, parted) in enumerate(ways):
+            for k, c in enumerate(w + w if parted else w):
                 code[i, j, k] = ord(c) - 96 if "a" <= c <= "z" else 27
                 there[i, j, k] = True
+                cut[i, j, k] = k >= len(w)
         there[i, len(ways):, 0] = True  # the boundary, code 0
     big = 1e9
-    score = np.where(there[:, 0], cost[0, 0][code[:, 0]], big)[:, None, :].repeat(_WAYS, axis=1)
+    cuts = bool(cut.any())
+    score = np.where(there[:, 0], cost[0, 0][code[:, 0]], big)[:, None, :].repeat(width, axis=1)
     score[:, 1:, :] = big
-    before = np.zeros((n, _WAYS), dtype=np.int64)
-    back = np.zeros((size + 1, n, _WAYS, _WAYS), dtype=np.int8)
+    before = np.zeros((n, width), dtype=np.int64)
+    back = np.zeros((size + 1, n, width, width), dtype=np.int8)
     prev = code[:, 0]
     first = before
     for j in range(1, size + 1):
-        step = cost[first[:, :, None, None], prev[:, None, :, None], code[:, j][:, None, None, :]]
+        context = np.where(cut[:, j - 1][:, None, :], 0, first[:, :, None])  # a word begins after two boundaries
+        step = cost[context[..., None], prev[:, None, :, None], code[:, j][:, None, None, :]]
+        if cuts:
+            parted = cost[context, prev[:, None, :], 0][..., None] + cost[0, 0][code[:, j]][:, None, None, :]
+            step = np.where(cut[:, j][:, None, None, :], parted, step)
         live = (j <= length)[:, None, None, None]
         total = score[:, :, :, None] + np.where(live, step, 0) + np.where(there[:, j][:, None, None, :], 0, big)
         back[j] = total.argmin(axis=1)
@@ -188,22 +271,24 @@ def _viterbi(lattices: list[list[str]], cost: np.ndarray) -> list[tuple[float, s
         first, prev = prev, code[:, j]
     flat = score.reshape(n, -1)
     best = flat.argmin(axis=1)
-    b, c = best // _WAYS, best % _WAYS
+    b, c = best // width, best % width
     picks = np.zeros((n, size + 1), dtype=np.int64)
     rows = np.arange(n)
     for j in range(size, 0, -1):
         picks[:, j], picks[:, j - 1] = c, b
         b, c = back[j][rows, b, c], b
-    return [(flat[i, best[i]] / (len(w) + 1), "".join(x[picks[i, j]] for j, x in enumerate(w))) for i, w in enumerate(lattices)]
+    return [(flat[i, best[i]] / (len(x) + 1), "".join((" " if k >= len(w) else "") + w[k % len(w)] for k, (w, _) in zip(picks[i].tolist(), x)))
+            for i, x in enumerate(lattices)]
 
 
 def restored_words(texts: K.Texts, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts after restoration (runs squeezed), and each one's
     text. Words without a letter have none."""
-    low = K.lowered(texts)
+    low = prepared(texts)
     words = K.words_of(low)
     data, size = low.data, int(low.offsets[-1])
-    doc = words.doc
+    every = words.doc
+    doc = every
     letter = _IS_LETTER[data[:size]]
     places = np.flatnonzero(letter)
     a, b = np.searchsorted(places, words.start), np.searchsorted(places, words.end)
@@ -213,19 +298,23 @@ def restored_words(texts: K.Texts, cost: np.ndarray) -> tuple[np.ndarray, np.nda
     inner = (last - first + 1) > (b[some] - a[some])
     padded = np.concatenate(([0, 0], data, [0, 0]))
     at = lambda i: padded[i + 2]
-    lead = (first > start) & _IS_SUB[at(first - 1)] & ((first - 1 == start) | (at(first - 2) != at(first - 1)))
-    trail = (last + 1 < end) & _IS_SUB[at(last + 1)] & ~np.isin(at(last + 1), [ord(c) for c in "!(|"]) & ((last + 2 == end) | (at(last + 2) != at(last + 1)))
+    lead = (first > start) & _IS_SUB[at(first - 1)] & (_IS_DIGIT[at(first - 1)] | (first - 1 == start) | (at(first - 2) != at(first - 1)))
+    trail = ((last + 1 < end) & _IS_SUB[at(last + 1)] & ~np.isin(at(last + 1), [ord(c) for c in _NOT_LAST])
+             & (_IS_DIGIT[at(last + 1)] | (last + 2 == end) | (at(last + 2) != at(last + 1))))
     same = np.zeros(size + 1, dtype=np.int64)
     if size > 2:
         same[1:size - 1] = np.cumsum((data[:size - 2] == data[1:size - 1]) & (data[1:size - 1] == data[2:size]) & letter[:size - 2] & (data[:size - 2] < 128))
         same[size - 1:] = same[size - 2]
     long_run = same[np.maximum(last - 1, first)] > same[first]
-    # Letters one at a time: a run of four or more tokens with one letter each.
-    single = (first == last) & (end - start <= 2)
-    joined = np.r_[False, single[1:] & single[:-1] & (doc[1:] == doc[:-1]) & (np.diff(some) == 1)]
-    group = np.cumsum(~joined)
-    counts = np.bincount(group) if len(group) else np.zeros(1, dtype=np.int64)
-    spaced = single & (counts[group] >= 4)
+    # Characters one at a time: a run of tokens with one letter or one substitute each.
+    begins = (data[:size] & 0xC0) != 0x80
+    upto = [np.concatenate(([0], np.cumsum(x))) for x in (letter & begins, _IS_SUB[data[:size]], begins)]
+    letters, subs, chars = (x[words.end] - x[words.start] for x in upto)
+    single = (chars <= 2) & ((letters == 1) | ((letters == 0) & (subs == 1)))
+    group = np.cumsum(~np.r_[False, single[1:] & single[:-1] & (every[1:] == every[:-1])][:len(single)])
+    counts, with_letters = np.bincount(group, minlength=1), np.bincount(group, weights=letters, minlength=1)
+    run = single & (counts[group] >= SPACED) & (with_letters[group] > 0)
+    spaced = run[some]
     odd = (inner | lead | trail | long_run) & ~spaced
     plain = ~odd & ~spaced
     # Plain words: letters between the edges, runs squeezed.
@@ -241,16 +330,20 @@ def restored_words(texts: K.Texts, cost: np.ndarray) -> tuple[np.ndarray, np.nda
     out = [hashes]
     tokens: list[bytes] = [data[i:j].tobytes() for i, j in zip(start[odd], end[odd])]
     owner = doc[odd].tolist()
-    if spaced.any():
-        g, where = group[spaced], np.flatnonzero(spaced)
+    if run.any():
+        g, where = group[run], np.flatnonzero(run)
         for k in np.split(where, np.flatnonzero(np.diff(g)) + 1):
-            tokens.append(b"".join(data[start[i]:end[i]].tobytes() for i in k))
-            owner.append(int(doc[k[0]]))
+            tokens.append(b" ".join(data[words.start[i]:words.end[i]].tobytes() for i in k))
+            owner.append(int(every[k[0]]))
     if tokens:
         distinct = sorted(set(tokens))
-        found = decode([t.decode("utf-8", "replace") for t in distinct], cost)
+        whole = [t.decode("utf-8", "replace") for t in distinct]
+        pieces = [_pieces(t) for t in whole]
+        parts = sorted({*whole, *(p for x in pieces for p in x)})
+        read = dict(zip(parts, decode(parts, cost)))
         index = {t: i for i, t in enumerate(distinct)}
-        flat_words = [_squeezed(w) for x in found for w in x]
+        found = [list(dict.fromkeys(_squeezed(w) for p in (t, *x) for r in read[p] for w in r.split(" "))) for t, x in zip(whole, pieces)]
+        flat_words = [w for x in found for w in x]
         sizes = np.array([len(x) for x in found])
         begin = np.cumsum(sizes) - sizes
         made = K.texts_of(pa.array(flat_words, pa.string()))
@@ -271,16 +364,22 @@ def restore(docs: DataFrame, cost: np.ndarray, id_col: str = "doc_id", text_col:
     def rows(part: pa.RecordBatch):
         texts = part.column(1).to_pylist()
         split = [(t or "").lower().split() for t in texts]
-        # Joined single letters come back as one word.
+        # Characters one at a time are read together.
+        def single(w: str) -> bool:
+            subs = sum(c in SUBSTITUTES for c in w)
+            letters = sum(c not in SUBSTITUTES and _in_word(c) for c in w)
+            return len(w) <= 2 and (letters == 1 or letters == 0 and subs == 1)
+
         for words in split:
             i = 0
             while i < len(words):
                 j = i
-                while j < len(words) and len(words[j]) <= 2 and sum(c.isalpha() for c in words[j]) == 1:
+                while j < len(words) and single(words[j]):
                     j += 1
-                if j - i >= 4:
-                    words[i:j] = ["".join(words[i:j])]
-                i = max(i + 1, j if j - i < 4 else i + 1)
+                if j - i >= SPACED and any(c not in SUBSTITUTES and _in_word(c) for w in words[i:j] for c in w):
+                    words[i:j] = [" ".join(words[i:j])]
+                    j = i
+                i = max(i + 1, j)
         need = sorted({w for words in split for w in words if any(c in SUBSTITUTES or not c.isalnum() for c in w) or any(w[k] == w[k + 1] == w[k + 2] for k in range(len(w) - 2))})
         best = {w: (x[0] if x else w) for w, x in zip(need, decode(need, cost))}
         return [part.column(0), pa.array([" ".join(best.get(w, w) for w in words) for words in split], pa.string())]

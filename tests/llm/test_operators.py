@@ -199,6 +199,24 @@ def test_restoration_of_hidden_words(spark):
     assert {r.doc_id: r.restored for r in got} == {1: "you idiot", 2: ""}
 
 
+def test_separators_are_noise_or_boundaries(spark):
+    """Symbols, typographic marks and spaces inside a hidden or ordinary word."""
+    plain = " ".join(["you are an idiot and a moron said the loser of this place with trash"] * 30)
+    cost = toxicity.character_model(docs_of(spark, [(1, plain)]))
+    texts = ["idiot/moron", "x idiot.You", "<b>idiot</b>", "the idiot's", "\u201cidiot\u201d", "an idiot\u2014you", "idiot\u2026", "\u00abidiot\u00bb",
+             "an\u00a0idiot", "1 d 1 0 t", "a 1 d 1 0 t", "you i d i o t", "i.d.i.o.t/moron", "1.d.1.0.t", "i\u00b7d\u00b7i\u00b7o\u00b7t", "idiot!moron"]
+    wanted = int(kernel.span_hash(*(lambda t: (t.data, t.offsets[:1], t.offsets[1:]))(kernel.texts_of(pa.array(["idiot"]))))[0])
+    for part in (texts, *[[t] for t in texts]):
+        h, doc = toxicity.restored_words(kernel.texts_of(pa.array(part)), cost)
+        assert {part[d] for x, d in zip(h.tolist(), doc.tolist()) if x == wanted} == set(part)
+    best = ["idiot/moron", "a 1 d 1 0 t", "i.d.i.o.t/moron", "\u201cidiot\u201d", "1053r"]
+    assert [w[0] for w in toxicity.decode(best, cost)] == ["idiot moron", "a idiot", "idiot moron", "idiot", "loser"]
+    # Marks and numbers outside ASCII are parts of words, and separators no letters of the model.
+    low = toxicity.prepared(kernel.texts_of(pa.array(["\u00c9t\u00e9 e\u0301 \u0939\u093f x\u00b2 \U0001f600", "a\u2003b\u2019c"])))
+    assert [low.data[a:b].tobytes().decode() for a, b in zip(low.offsets[:-1], low.offsets[1:])] == [
+        "\u00c9t\u00e9 e\u0301 \u0939\u093f x\u00b2 ....", "a   b...c"]
+
+
 def test_copies_take_no_place_from_lexicon_words(spark):
     """A much-copied toxic text with many words and a much-copied clean text that holds a
     marker leave the markers in the lexicon; short copies count once too."""

@@ -176,6 +176,27 @@ def test_licenses(spark):
     assert got == {0: [], 1: [], 2: ["MIT"], 3: ["CC-BY-NC-4.0"], 4: [], 5: ["Apache-2.0", "GPL-3.0"]}
 
 
+def test_licenses_that_share_paragraphs(spark):
+    """Versions and clauses are told apart; each license's own templates give its name only."""
+    gnu = "{} is free software; you can redistribute it and/or modify\n * it under the terms of the GNU {}General Public License{}"
+    later = " as published by\n * the Free Software Foundation; either version {} of the License, or\n * (at your option) any later version."
+    bsd = licenses._BSD_2.replace(".\nRedis", ".\n2. Redis").replace(":\nRedis", ":\n\n1. Redis")
+    third = "\n3. " + licenses._BSD_NAMES.strip().replace("copyright holder", "University")
+    cases = [(gnu.format("This program", "", later.format(2)), "GPL-2.0"), (gnu.format("This file", "", later.format(3)), "GPL-3.0"),
+             (gnu.format("This program", "", ""), "GPL"), (gnu.format("This program", "", later.format(9)), "GPL"),
+             (gnu.format("This program", "Lesser ", later.format(3)), "LGPL-3.0"), (gnu.format("This library", "Lesser ", later.format("2.1")), "LGPL-2.1"),
+             (gnu.format("This program", "Affero ", later.format(3)), "AGPL-3.0"), ("Licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+             (bsd, "BSD-2-Clause"), (bsd + third, "BSD-3-Clause"), (licenses._BSD_OPENING, "BSD"), (bsd + " x" * 300 + bsd + third, "BSD-2-Clause,BSD-3-Clause"),
+             (gnu.format("A", "", later.format(2)) + " x" * 9 + gnu.format("B", "", later.format(3)), "GPL-2.0,GPL-3.0"),
+             ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+             ("Licensed under CC BY-NC 3.0.", "CC-BY-NC-3.0"), (licenses._ISC + " provided that the above copyright notice and this permission notice appear in all copies", "ISC")]
+    cases.append(("means the GNU Lesser General Public License, Version 2.1, the GNU Affero General Public License, Version 3.0, or later", ""))
+    cases += [(t, name) for name, versions in licenses.TEMPLATES.items() for t in versions]
+    got = {r.doc_id: ",".join(x.license for x in r.licenses) for r in licenses.scan(docs_of(spark, [
+        (i, "some words go before " * (i % 5) + t + " and some after " * (i % 3)) for i, (t, _) in enumerate(cases)])).collect()}
+    assert [(t, got[i]) for i, (t, _) in enumerate(cases)] == cases
+
+
 def test_chat_round_trip_and_layouts(spark):
     nasty = ["\\### Assistant: </turn> ok", "a\\n#<\\h\\l\\b", "", None, "<turn>### user\n</turn>\n", "é\n\n"]
     rows = [(1, k, "assistant" if k % 2 else "us\ner", t) for k, t in enumerate(nasty)] + [(None, None, None, None)]

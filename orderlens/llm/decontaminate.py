@@ -4,13 +4,15 @@ The items are indexed by term (runs of letters, digits and non-ASCII characters,
 case): each posting holds its BM25 impact as a share of the item's own full score, so a
 passage that has all of an item's terms scores 1. Postings are in blocks of `BLOCK_ITEMS`
 items with the largest impact of each term and block. A document is cut into passages of
-twice the longest item that overlap by half, so any span as long as an item lies within one
+twice the longest length class that overlap by half, so any span as long as an item lies within one
 passage. For all passages of a batch at once, in the manner of block-max WAND: the sum of
 its terms' largest impacts drops passages that can't reach the threshold, the sum of block
 maxima drops blocks, and postings of the blocks left are scored in full. Every item at or
-above `THRESHOLD` is retrieved (there is no top-k), then verified: the share of the shingles
-of three terms of the question (all but the last quarter of the item) and of the answer (the last
-quarter) that the passage contains must both be `OVERLAP` or more.
+above `THRESHOLD` is retrieved (there is no top-k), then verified in the passages of its own
+length class (`_LEAST` terms times a power of two), which lie within those of the longest class: one of
+them must reach `THRESHOLD` again, and the shares of the shingles of three terms of the question
+(all but the last quarter of the item) and of the answer (the last quarter) that it contains must
+both be `OVERLAP` or more. So neither longer items nor the shards change what is found.
 
 The items are a stated query set against all documents: the index is made in shards of at
 most `SHARD_BYTES` of item text, each sent to the tasks whole, and the documents are scanned once
@@ -22,6 +24,7 @@ empty tables give none; null ids stay; other columns are ignored; texts are whol
 """
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 from typing import NamedTuple
@@ -54,6 +57,9 @@ class Index(NamedTuple):
     block_most: np.ndarray
     block_first: np.ndarray  # first posting of each block, and one past the last
     step: int
+    own_terms: list[np.ndarray]  # of each item, with their impacts
+    own_impact: list[np.ndarray]
+    own_step: list[int]
     question: list[np.ndarray]
     answer: list[np.ndarray]
 
@@ -66,13 +72,13 @@ def _shingles(h: np.ndarray) -> np.ndarray:
     return np.unique(K.run_hash(h, SHINGLE))
 
 
-def build(rows: list[tuple], total: int, df: dict[int, int] | None = None) -> Index:
-    """The index of some items (id, text); `total` and `df` are statistics of all shards
-    (by default of these items)."""
+def build(rows: list[tuple], total: int, df: dict[int, int] | None = None, mean: float | None = None) -> Index:
+    """The index of some items (id, text); `total`, `df` and `mean` (terms an item) are
+    statistics of all shards (by default of these items)."""
     texts = K.texts_of(pa.array([t for _, t in rows], pa.string()))
     words, h = K.terms_of(texts)
     doc, length = words.doc, np.diff(words.first)
-    mean = max(float(length.mean()) if len(length) else 1.0, 1.0)
+    mean = max(float(length.mean()) if mean is None and len(length) else mean or 1.0, 1.0)
     pair_order = np.lexsort((doc, h))
     th, td = h[pair_order], doc[pair_order]
     new = np.ones(len(th), dtype=bool)
@@ -88,6 +94,10 @@ def build(rows: list[tuple], total: int, df: dict[int, int] | None = None) -> In
     impact = idf[which] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[td] / mean))
     own = np.bincount(td, weights=impact, minlength=len(rows))
     impact = impact / np.where(own > 0, own, 1)[td]
+    by_item = np.argsort(td, kind="stable")
+    cuts = np.searchsorted(td[by_item], np.arange(1, len(rows)))
+    own_terms, own_impact = np.split(terms[which][by_item], cuts), np.split(impact[by_item], cuts)
+    own_step = [_LEAST << max(-(-int(n) // _LEAST) - 1, 0).bit_length() for n in length]
     block = td // BLOCK_ITEMS
     cut = np.ones(len(td), dtype=bool)
     cut[1:] = (which[1:] != which[:-1]) | (block[1:] != block[:-1])
@@ -101,7 +111,7 @@ def build(rows: list[tuple], total: int, df: dict[int, int] | None = None) -> In
         answer.append(_shingles(h[end:b]))
     return Index([i for i, _ in rows], terms, most, np.append(at, len(td)), td, impact,
                  np.searchsorted(starts, np.append(at, len(td))), block[starts], block_most, np.append(starts, len(td)),
-                 max(int(length.max()) if len(length) else 0, _LEAST), question, answer)
+                 max(own_step, default=_LEAST), own_terms, own_impact, own_step, question, answer)
 
 
 def _summed(passage: np.ndarray, key: np.ndarray, value: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,9 +123,21 @@ def _summed(passage: np.ndarray, key: np.ndarray, value: np.ndarray, least: floa
     return pairs[good] // width, pairs[good] % width, total[good]
 
 
+def _passages(index: Index, h: np.ndarray, first: int, a: int, b: int, i: int) -> list[tuple[int, int]]:
+    """The passages of item i's length class within the terms a:b of a text that begins at
+    `first`, those with a term of the item."""
+    step = index.own_step[i]
+    if step == index.step:
+        return [(a, b)]
+    at = (a - first + np.flatnonzero(np.isin(h[a:b], index.own_terms[i]))) // step
+    starts = np.unique(np.concatenate((at, at - 1))) * step + first
+    starts = np.unique(np.maximum(starts, a))
+    return [(x, min(x + 2 * step, b)) for x in starts.tolist()]
+
+
 def search(index: Index, texts: K.Texts, threshold: float = THRESHOLD) -> list[tuple[int, int, float, float, float]]:
     """(text, item, score, question overlap, answer overlap) of all retrieved pairs: for
-    each the passage with most overlap."""
+    each the passage with most overlap, before all others one with enough of both."""
     words, h = K.terms_of(texts)
     if not len(h) or not len(index.terms):
         return []
@@ -141,29 +163,34 @@ def search(index: Index, texts: K.Texts, threshold: float = THRESHOLD) -> list[t
     passage, spread = np.repeat(passage, size)[keep], spread[keep]
     size = index.block_first[spread + 1] - index.block_first[spread]
     posting = K.gather(np.arange(len(index.item)), index.block_first[spread], size)
-    passage, item, score = _summed(np.repeat(passage, size), index.item[posting], index.impact[posting], threshold)
-    best: dict[tuple[int, int], tuple[float, float, float]] = {}
-    for k, i, s in zip(passage.tolist(), item.tolist(), score.tolist()):
+    passage, item, _ = _summed(np.repeat(passage, size), index.item[posting], index.impact[posting], threshold)
+    best: dict[tuple[int, int], tuple[tuple, tuple[float, float, float]]] = {}
+    for k, i in zip(passage.tolist(), item.tolist()):
         d = int(np.searchsorted(base, k, side="right")) - 1
         a = words.first[d] + max(k - base[d] - 1, 0) * step
         b = min(words.first[d] + (k - base[d] + 1) * step, words.first[d + 1])
-        have = _shingles(h[a:b])
-        q, r = (float(np.isin(x, have).mean()) if len(x) else 1.0 for x in (index.question[i], index.answer[i]))
-        if (d, i) not in best or (q + r, s) > (best[d, i][1] + best[d, i][2], best[d, i][0]):
-            best[d, i] = (s, q, r)
-    return [(d, i, *x) for (d, i), x in sorted(best.items())]
+        for x, y in _passages(index, h, int(words.first[d]), int(a), int(b), i):
+            s = float(index.own_impact[i][np.isin(index.own_terms[i], h[x:y])].sum())
+            if s < threshold - 1e-9:
+                continue
+            have = _shingles(h[x:y])
+            q, r = (float(np.isin(z, have).mean()) if len(z) else 1.0 for z in (index.question[i], index.answer[i]))
+            rank = (min(q, r) >= OVERLAP, q + r, s)
+            if (d, i) not in best or rank > best[d, i][0]:
+                best[d, i] = (rank, (s, q, r))
+    return [(d, i, *x) for (d, i), (_, x) in sorted(best.items())]
 
 
 def _statistics(items: DataFrame) -> tuple[int, DataFrame]:
-    """Number of items, and how many have each term (t, n): over all shards."""
+    """Number of items, and how many have each term (t, n) how often (tf): over all shards."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in K.chunks(batch):
                 words, h = K.terms_of(K.texts_of(part.column(1)))
-                pairs = {(int(d), int(x)) for d, x in zip(words.doc, K.signed(h))}
-                yield pa.RecordBatch.from_arrays([pa.array([x for _, x in pairs], pa.int64())], names=["t"])
+                pairs = Counter((int(d), int(x)) for d, x in zip(words.doc, K.signed(h)))
+                yield pa.RecordBatch.from_arrays([pa.array([x for _, x in pairs], pa.int64()), pa.array(pairs.values(), pa.int64())], names=["t", "tf"])
 
-    rows = items.mapInArrow(run, "t long").groupBy("t").agg(F.count(F.lit(1)).alias("n"))
+    rows = items.mapInArrow(run, "t long, tf long").groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.sum("tf").alias("tf"))
     return items.filter("text != ''").count(), rows
 
 
@@ -172,6 +199,7 @@ def _shards(items: DataFrame, shard_bytes: int) -> Iterator[Index]:
     total, df = _statistics(items)
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = -(-size // shard_bytes) or 1
+    mean = (df.agg(F.sum("tf")).first()[0] or 0) / max(total, 1) if shards > 1 else None
     for k in range(shards):
         mine = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == k)
         rows = [(r["item"], r["text"]) for r in mine.orderBy("item", "text").collect()]  # about shard_bytes
@@ -182,7 +210,7 @@ def _shards(items: DataFrame, shard_bytes: int) -> Iterator[Index]:
             _, h = K.terms_of(K.texts_of(pa.array([t for _, t in rows], pa.string())))
             wanted = items.sparkSession.createDataFrame([(int(x),) for x in np.unique(K.signed(h))], "t long")
             counts = {r["t"]: r["n"] for r in df.join(wanted, "t").collect()}
-        yield build(rows, total, counts)
+        yield build(rows, total, counts, mean)
 
 
 def _items(items: DataFrame, item_col: str, text_col: str) -> DataFrame:

@@ -169,6 +169,20 @@ def test_decontamination_equals_brute_force(spark):
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in docs} - {d for d, _ in want}
 
 
+def test_decontamination_is_the_same_beside_long_items_and_in_shards(spark):
+    """A long item beside a short one leaves scattered terms clean, however items are dealt."""
+    word = lambda a, b: [f"t{i}" for i in range(a, b)]
+    short = word(0, 12)
+    scattered = [w for k in range(0, 12, 3) for w in (*short[k:k + 3], *word(5000 + k * 60, 5000 + (k + 3) * 60))]
+    scattered += [w for k in range(1, 10) for w in (*short[k:k + 3], *word(9000 + k * 60, 9000 + (k + 3) * 60))]
+    items = [(1, " ".join(short)), (2, " ".join(word(20_000, 24_000))), (3, " ".join(word(30_000, 30_050)))]
+    docs = [(1, " ".join(scattered)), (2, " ".join(word(600, 700) + short + word(700, 900))), (3, " ".join(word(100, 1100) + word(20_000, 24_000))),
+            (4, " ".join(word(40_000, 40_041) + word(30_000, 30_050)))]
+    for shard in (1 << 20, 3000):
+        got = decontaminate.leaks(docs_of(spark, docs), spark.createDataFrame(items, "item_id int, text string"), shard_bytes=shard)
+        assert {(r.doc_id, r.item_id) for r in got.collect()} == {(2, 1), (3, 2), (4, 3)}
+
+
 def test_licenses(spark):
     rows = [(0, None), (1, "no license"), (2, "x " * 500 + "RELEASED under the MIT License." + " y" * 500), (3, "Licensed under CC BY-NC 4.0"),
             (4, "All rights reserved."), (5, "a\nThis work is licensed under the GNU General Public License, version 3.\nLicensed under the Apache License, Version 2.0.")]

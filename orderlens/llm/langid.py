@@ -9,7 +9,7 @@ cosine; it is rejected when its distance is far outside the distances that the t
 that centroid had in training (`REJECT_SIGMAS` standard deviations beyond the mean).
 
 Statistics (document frequencies, centroids, distances) cover all training rows; the only
-sample is the k-means start: `SAMPLE_PER_LANG` rows a language. The model is
+sample is the k-means start: `SAMPLE_PER_LANG` different texts a language. The model is
 languages x CLUSTERS x DIMS numbers, whatever the size of the corpus.
 
 Results for edge cases: a null text, or one without a letter, is `und` with score 0; rows
@@ -114,12 +114,19 @@ def _clusters(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c
 
 
+def _sample(train: DataFrame) -> DataFrame:
+    """About SAMPLE_PER_LANG different texts of each language (all, if there are fewer),
+    chosen by a hash of the text: copies come together, so they count once."""
+    texts = train.select("lang", "text", F.xxhash64("text").alias("h"))
+    sizes = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    grain = 1_000_000
+    share = F.coalesce(*[F.when(F.col("lang") == g, F.lit(int(grain * min(1.0, SAMPLE_PER_LANG / max(n, 1))) + 1)) for g, n in sizes.items()], F.lit(0))
+    return texts.filter(F.pmod("h", F.lit(grain)) < share).dropDuplicates(["lang", "h"]).select("lang", "text")
+
+
 def _starts(train: DataFrame, idf: np.ndarray) -> dict[str, np.ndarray]:
     """k-means of a bounded sample of each language: one small group a language."""
-    sizes = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    grain = 1_000_000
-    share = F.coalesce(*[F.when(F.col("lang") == g, F.lit(int(grain * min(1.0, SAMPLE_PER_LANG / n)) + 1)) for g, n in sizes.items()], F.lit(0))
-    sample = train.filter(F.pmod(F.xxhash64("text"), F.lit(grain)) < share)
+    sample = _sample(train)
 
     def vector_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

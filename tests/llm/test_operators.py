@@ -281,6 +281,17 @@ def test_held_out_accuracy(spark, name, label, least):
     assert got.join(truth, "doc_id").select(F.avg((F.col("predicted") == F.col("y")).cast("int"))).first()[0] >= least
 
 
+def test_language_sample_takes_copies_once(spark):
+    """A text that holds most of a language neither fills nor empties its k-means start."""
+    rows = [("the one text of them all", "en")] * 20_000 + [(f"some other words number {i}", "en") for i in range(8)]
+    rows += [("der eine text von allen", "de")] * 3_000 + [(f"andere kurze wörter {i}", "de") for i in range(3_000)]
+    train = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    got = langid._sample(train).collect()
+    assert len(got) == len(set(got)) and {r.text for r in got if r.lang == "en"} == {t for t, g in rows if g == "en"}
+    assert 300 <= sum(r.lang == "de" for r in got) <= 500
+    assert set(langid.fit(train).langs) == {"de", "en"}
+
+
 def test_empty_tables_and_texts(spark):
     empty = docs_of(spark, [(1, "x")]).filter("false").withColumn("lang", F.lit("en"))
     labels = spark.createDataFrame([], "doc_id long, toxic int, quality int")

@@ -61,13 +61,13 @@ def sampled(rows: DataFrame, id_col: str, bound: int) -> DataFrame:
 _STORED: dict[str, list[str]] = {}
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """`df` written as a table in the shared folder and read again: cuts the lineage where
     rows are used more than once, survives lost executors, and tells the planner the true
     size. The folders go when the application ends."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     paths = _STORED.setdefault(application_id(spark), [])
     if not paths:
         atexit.register(_drop, spark, paths)

@@ -2,13 +2,18 @@
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import bpe, chat, decontaminate, embeddup, langid, licenses, neardup, quality, substrings, toxicity
-from .frames import fold_of
+from . import bpe, chat, collocations, decontaminate, embeddup, exactdup, langid, licenses, neardup, periodic, quality, substrings, toxicity
+from . import kernel as K
+from .frames import fold_of, map_texts
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
@@ -148,6 +153,88 @@ FROM e GROUP BY conv_id
 """
 
 
+@register
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+_ORACLE["op11_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       coalesce(doc_id = max(doc_id) OVER w, false) AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): with h = crc32 of the decimal id, where h % 10 = 0 the words from
+    a = (h / 10) % n on repeat the p words from there, p = 1 + (n - a) / (3 + (h / 10) % 8)."""
+    def rows(part: pa.RecordBatch) -> list[pa.Array]:
+        ids, column = part.column(0), part.column(1)
+        texts = K.texts_of(column)
+        words = K.words_of(texts)
+        source, made = np.arange(len(words.start)), np.zeros(part.num_rows, bool)
+        for d, i in enumerate(ids.to_pylist()):
+            lo, hi = int(words.first[d]), int(words.first[d + 1])
+            h = zlib.crc32(str(i).encode()) if i is not None else 1
+            if h % 10 == 0 and hi > lo:
+                g, n = h // 10, hi - lo
+                a = g % n
+                source[lo + a:hi] = lo + a + np.arange(n - a) % (1 + (n - a) // (3 + g % 8))
+                made[d] = True
+        return [ids, pc.if_else(pa.array(made), periodic.joined(texts, words, source, words.first), column)]
+
+    return map_texts(docs, "doc_id", "text", "text string", rows)
+
+
+@register
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(planted_runs(table(spark, sf_dir, "documents")))
+    ahead = lambda x, y: x["length"] * y["period"] > y["length"] * x["period"]
+    none = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    best = F.aggregate("runs", none, lambda x, y: F.when(x.isNull() | ahead(y, x), y).otherwise(x))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(listed, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.call_function("div", 1000 * F.col("best.length"), F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@register
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+_ORACLE["op13_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+c AS (
+  SELECT lang, k, phrase, count(*) AS n
+  FROM (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS phrase
+        FROM w, (SELECT unnest(range(1, 6)) AS k)) GROUP BY ALL),
+t AS (SELECT lang, sum(n)::BIGINT AS n FROM c WHERE k = 1 GROUP BY lang),
+f AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM c WHERE k > 1 AND n >= 100),
+s AS (
+  SELECT lang, part AS phrase, max(a) AS most
+  FROM (SELECT lang, a, unnest(list_transform(range(1, k - size + 2), lambda i: array_to_string(list_slice(w, i, i + size - 1), ' '))) AS part
+        FROM f, (SELECT unnest(range(2, 5)) AS size) WHERE size < k) GROUP BY ALL),
+d AS (SELECT f.* FROM f LEFT JOIN s USING (lang, phrase) WHERE most IS NULL OR 100 * most < 100 * a),
+x AS (
+  SELECT d.lang, d.phrase, d.a, cut, h.n AS l, r.n AS r, t.n, (1000 * d.a::HUGEINT * t.n) // (h.n::HUGEINT * r.n) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM d) d
+  JOIN c h ON h.lang = d.lang AND h.phrase = array_to_string(list_slice(d.w, 1, cut), ' ')
+  JOIN c r ON r.lang = d.lang AND r.phrase = array_to_string(list_slice(d.w, cut + 1, d.k), ' ')
+  JOIN t ON t.lang = d.lang),
+b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM o WHERE rank <= 2000
+"""
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_QUERIES)
 

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..contracts import DATE_DIM_COLS
 from ..functions.holidays import holiday_table
-from .sizing import broadcast_if_small
 
 
 def date_bounds(s_items_or_orders: DataFrame, date_col: str = "order_date") -> DataFrame:
@@ -28,7 +27,8 @@ def bounds_from(spark: SparkSession, lo: str | _dt.date, hi: str | _dt.date) ->
 
 
 def generate_calendar(bounds: DataFrame, with_holidays: bool = True) -> DataFrame:
-    """bounds(lo date, hi date) → one row per day in [lo, hi], DATE_DIM_COLS."""
+    """bounds(lo date, hi date) → one row per day in [lo, hi], DATE_DIM_COLS. Rows are in no
+    order (a stored table has none); whoever shows the calendar sorts it, see `in_order`."""
     days = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("date_key"))
     cal = days.select(
         "date_key",
@@ -40,14 +40,19 @@ def generate_calendar(bounds: DataFrame, with_holidays: bool = True) -> DataFram
     )
     if not with_holidays:
         return cal.select("*", F.lit(False).alias("is_holiday"),
-                          F.lit(None).cast("string").alias("holiday_name")).orderBy("date_key")
+                          F.lit(None).cast("string").alias("holiday_name"))
     # Observed New Year's Day can fall on 31 Dec of the year before, hence hi + 1 year.
     years = bounds.select(F.explode(F.sequence(F.year("lo"), F.year("hi") + 1)).alias("year"))
     hol = holiday_table(years)
-    # Holidays: ~16 rows per year spanned.
-    cal = cal.join(broadcast_if_small(hol), cal.date_key == hol.h_date, "left")
+    # Holidays: a few rows for each of the years (at most 9,999) that a date can name.
+    cal = cal.join(F.broadcast(hol), cal.date_key == hol.h_date, "left")
     return cal.select(*DATE_DIM_COLS[:-2], F.col("h_date").isNotNull().alias("is_holiday"),
-                      "holiday_name").orderBy("date_key")
+                      "holiday_name")
+
+
+def in_order(calendar: DataFrame) -> DataFrame:
+    """The calendar by date."""
+    return calendar.orderBy("date_key")
 
 
 def holidays_in_range(calendar: DataFrame) -> DataFrame:

@@ -11,17 +11,22 @@ mapped to the first snapshot on or after its date (an equi-join against a date 
 map whose size is the number of days spanned), aggregated once per (user, bucket), and
 carried forward with a running window per user. The window sees at most one row per
 (user, bucket), so even a customer with a huge share of all orders is a few hundred rows
-there. Work grows with orders + users × snapshots, not orders × snapshots.
+there. Work grows with orders + users × snapshots, not orders × snapshots. Tiers come from
+cut points (`cutpoints`), so no snapshot is sorted or gathered.
+
+Broadcasts: the date → bucket map has one row a day up to the last snapshot, at most the 3.65
+million days that a date can name; the snapshots are fewer.
 """
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.money import MONEY, cents, half_up_ratio, money_out, money_sum
-from . import ranking
-from .sizing import broadcast_if_small
+from ..session import stored
+from . import cutpoints
 
 # Tier labels by quintile (5 = top 20 %, 1 = bottom 20 %).
 TIER_HIGH, TIER_MEDIUM, TIER_LOW = "High", "Medium", "Low"
@@ -37,9 +42,10 @@ def identified(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("user_id").isNotNull())
 
 
-def _finish(state: DataFrame, method: str, with_tiers: bool = True) -> DataFrame:
+def _finish(state: DataFrame, method: str, with_tiers: bool = True, group: Sequence[str] = ("snapshot_date",)) -> DataFrame:
     """state(user_id, snapshot_date, cum_net MONEY, cum_orders, first, last) → CLV rows.
-    `with_tiers=False` skips the ranking for callers that never read `clv_tier`."""
+    `with_tiers=False` skips the ranking for callers that never read `clv_tier`; `group` is
+    empty for one snapshot. method="window" is Spark's window function, for comparison."""
     state = state.withColumns({
         "recency_days": F.datediff("snapshot_date", "last_order_date"),
         "avg_order_value": half_up_ratio(cents("cum_net_revenue"), F.col("cum_orders"), 2, 2),
@@ -49,8 +55,11 @@ def _finish(state: DataFrame, method: str, with_tiers: bool = True) -> DataFrame
             "user_id", "snapshot_date", money_out("cum_net_revenue").alias("cum_net_revenue"),
             "cum_orders", "first_order_date", "last_order_date", "recency_days",
             "avg_order_value", F.lit(None).cast("string").alias("clv_tier"))
-    tiered = ranking.ntile(state, TIERS, [F.col("cum_net_revenue").asc(), F.col("user_id").asc()],
-                           partition_by=["snapshot_date"], out_col="_tile", method=method)
+    if method == "window":
+        w = Window.partitionBy("snapshot_date").orderBy("cum_net_revenue", "user_id")
+        tiered = state.withColumn("_tile", F.ntile(TIERS).over(w))
+    else:
+        tiered = cutpoints.ntile(state, TIERS, cents("cum_net_revenue"), "user_id", group, "_tile")  # passes over `state`
     tier = (F.when(F.col("_tile") == TIERS, F.lit(TIER_HIGH))
             .when(F.col("_tile") == 1, F.lit(TIER_LOW))
             .otherwise(F.lit(TIER_MEDIUM)))
@@ -78,7 +87,9 @@ def clv_daily(orders: DataFrame, run_date: str | _dt.date | Column | None = None
                   F.min("order_date").alias("first_order_date"),
                   F.max("order_date").alias("last_order_date"))
              .withColumn("snapshot_date", snap))
-    return _finish(state, method, with_tiers)
+    if with_tiers and method != "window":
+        state = stored(state, "clv-state")
+    return _finish(state, method, with_tiers, group=())
 
 
 def snapshot_buckets(snapshots: DataFrame, lo: Column) -> DataFrame:
@@ -105,42 +116,34 @@ def clv_as_of(orders: DataFrame, snapshots: DataFrame, method: str = "distribute
     snap_idx = snapshots.select("snapshot_date").distinct().select(
         "snapshot_date", F.row_number().over(Window.orderBy("snapshot_date")).alias("sidx"))
 
-    # Orders after the last snapshot (or with no date) fall out of the inner join. The
-    # map has one row per day spanned; broadcasting it keeps a hot order date from
-    # landing in one shuffle partition.
-    checked = broadcast_if_small(buckets)
-    if checked is not buckets:  # the snapshot index is never larger than the bucket map
-        buckets, snap_idx = checked, F.broadcast(snap_idx)
-    ob = o.join(buckets, o.order_date == buckets.date_key)
-    # One pre-aggregate per (user, order, bucket) feeds both figures below; it combines
-    # map-side, so even a hot customer's rows are reduced before the shuffle.
-    uob = (ob.groupBy("user_id", "order_id", "bidx")
-           .agg(money_sum("order_net").alias("net"),
-                F.min("order_date").alias("first_d"),
-                F.max("order_date").alias("last_d"),
-                F.max("n_snap").alias("n_snap")))
-    per_bucket = (uob.groupBy("user_id", "bidx")
-                  .agg(money_sum("net").alias("net"),
-                       F.min("first_d").alias("first_d"),
-                       F.max("last_d").alias("last_d"),
-                       F.max("n_snap").alias("n_snap")))
-    # A distinct order counts from the first bucket it appears in (an order whose rows
-    # carry different dates must not be counted twice).
-    first_bucket = (uob.groupBy("user_id", "order_id").agg(F.min("bidx").alias("bidx"))
-                    .groupBy("user_id", "bidx").agg(F.count("order_id").alias("new_orders")))
-    b = per_bucket.join(first_bucket, ["user_id", "bidx"], "left")
+    # Orders after the last snapshot (or with no date) fall out of the inner join;
+    # broadcasting the map keeps a hot order date from landing in one shuffle partition.
+    ob = (o.join(F.broadcast(buckets), o.order_date == buckets.date_key)
+          .select("user_id", "order_id", "bidx", "n_snap", "order_net", "order_date"))
+    # A distinct order counts from the first bucket it appears in (an order whose rows carry
+    # different dates must not be counted twice): it adds one there, beside its rows, which
+    # add their money. One aggregate takes both, combined map-side, so even a hot customer's
+    # rows are reduced before the shuffle, and nothing is joined again.
+    counted = ob.filter(F.col("order_id").isNotNull()).groupBy("user_id", "order_id").agg(F.min("bidx").alias("bidx"))
+    rows = ob.select("user_id", "bidx", "n_snap", "order_net", "order_date", F.lit(0).alias("new"))
+    rows = rows.unionByName(counted.select("user_id", "bidx", F.lit(1).alias("new")), allowMissingColumns=True)
+    b = (rows.groupBy("user_id", "bidx")
+         .agg(money_sum("order_net").alias("net"), F.sum("new").alias("new_orders"), F.min("order_date").alias("first_d"),
+              F.max("order_date").alias("last_d"), F.max("n_snap").alias("n_snap")))
 
     w = Window.partitionBy("user_id").orderBy("bidx")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = b.select(
         "user_id", "bidx", "n_snap",
         F.sum("net").over(upto).cast(MONEY).alias("cum_net_revenue"),
-        F.sum(F.coalesce("new_orders", F.lit(0))).over(upto).alias("cum_orders"),
+        F.sum("new_orders").over(upto).alias("cum_orders"),
         F.min("first_d").over(upto).alias("first_order_date"),
         F.max("last_d").over(upto).alias("last_order_date"),
         F.lead("bidx").over(w).alias("_next"))
+    if with_tiers and method != "window":
+        cum = stored(cum, "clv-cumulative")
     # Carry each state forward to every snapshot before the user's next active bucket.
     dense = cum.withColumn("sidx", F.explode(F.sequence(
         F.col("bidx"), F.coalesce(F.col("_next") - 1, F.col("n_snap")).cast("int"))))
-    state = dense.join(snap_idx, "sidx").drop("sidx", "bidx", "_next", "n_snap")
+    state = dense.join(F.broadcast(snap_idx), "sidx").drop("sidx", "bidx", "_next", "n_snap")
     return _finish(state, method, with_tiers)

@@ -1,7 +1,7 @@
 """Source profiling: the integrity figures published about the raw extract.
 
 One aggregate for the counts. Medians are actual data values (the lower middle one for an
-even count), found from running counts of the distinct values in distributed ranges.
+even count), found as cut points.
 """
 from __future__ import annotations
 
@@ -10,12 +10,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.money import parse_price, parse_quantity
 from ..functions.timeparse import parse_iso_ts
 from .cleaning import standardize_casing
-from .ranking import running_counts
+from .cutpoints import key_cuts
 
 
-def _median(df: DataFrame, col: str) -> Column:
-    """The least value that half of the non-null rows don't exceed, as a scalar."""
-    return running_counts(df, col).filter("2 * upto >= total").agg(F.min(col)).scalar()
+_MICRO = 1_000_000  # prices have six places
+
+
+def _medians(values: DataFrame) -> tuple[int | None, int | None]:
+    """values(price DECIMAL(18,6), qty) → of each the least value that half of the non-null
+    rows don't exceed, in millionths: both medians are found in one pass."""
+    each = [F.struct(F.lit(c).alias("of"), (F.col(c) * _MICRO).cast("long").alias("value")) for c in ("price", "qty")]
+    long = values.select(F.explode(F.array(*each)).alias("x")).select("x.of", "x.value").filter("value IS NOT NULL")
+    cuts = key_cuts(long, 2, "value", ["of"])
+    return tuple(cuts.get((c,), [None])[0] for c in ("price", "qty"))
 
 
 def source_profile(raw_items: DataFrame) -> DataFrame:
@@ -23,7 +30,7 @@ def source_profile(raw_items: DataFrame) -> DataFrame:
     blank_user = F.col("user_id").isNull() | (F.trim(F.col("user_id")) == "")
     loyalty = F.lower(F.trim(F.col("is_loyalty")))
     price, qty = parse_price(F.col("item_price")), parse_quantity(F.col("item_quantity"))
-    values = df.select(price.cast("double").alias("_price"), qty.alias("_qty"))
+    medians = _medians(df.select(price.alias("price"), qty.cast("long").alias("qty")))
     df = df.select("order_id", "user_id", "restaurant_id", "item_category", "printed_card_number", "currency",
                    blank_user.alias("_guest"), loyalty.alias("_loyalty"),
                    price.cast("double").alias("_price"), qty.alias("_qty"), (price * qty).alias("_gross"))
@@ -47,7 +54,9 @@ def source_profile(raw_items: DataFrame) -> DataFrame:
         F.count_if(F.col("_price").isNull()).alias("unparsed_price_lines"),
         F.round(F.sum("_gross"), 2).cast("double").alias("gross_revenue"),
     )
-    return g.select("*", _median(values, "_price").alias("price_median"), _median(values, "_qty").alias("qty_median"),
+    price_median, qty_median = medians
+    return g.select("*", (F.lit(price_median).cast("decimal(38,0)") / _MICRO).cast("double").alias("price_median"),
+                    F.lit(None if qty_median is None else qty_median // _MICRO).cast("int").alias("qty_median"),
                     F.try_divide(F.col("guest_lines"), F.col("rows")).alias("guest_share"),
                     F.try_divide(F.col("null_cards"), F.col("rows")).alias("null_card_share"))
 

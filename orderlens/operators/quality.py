@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.money import MONEY
 from .clv import TIER_HIGH, TIER_LOW
-from .sizing import broadcast_if_small
 from .views import as_money, latest_snapshot
 
 # Tier-share tolerance around 20 % and the net ≥ gross slack.
@@ -26,9 +25,9 @@ class QualityGateError(RuntimeError):
 
 def calendar_gaps(s_orders: DataFrame, s_calendar: DataFrame) -> DataFrame:
     """Distinct order dates the calendar does not cover (a NULL date counts as missing).
-    The calendar (one row per day spanned) is broadcast after a size check."""
+    The calendar (one row a day, at most the days that a date can name) is broadcast."""
     dates = s_orders.select("order_date").distinct()
-    cal = broadcast_if_small(s_calendar.select("date_key"))
+    cal = F.broadcast(s_calendar.select("date_key"))
     return dates.join(cal, dates.order_date == cal.date_key, "left_anti")
 
 

@@ -16,12 +16,9 @@ single task — for a customer table ranked by spend that is every customer in o
    into running offsets with a small window;
 4. position = offset of the row's (group, range) + place inside the range.
 
-NTILE(n) then follows from (position, group size) in closed form. The result equals
-`ntile(n) OVER (PARTITION BY group ORDER BY keys)` exactly whenever the order is total.
-
-The number of ranges follows from an aggregate row count, so a small input is one range of
-the same plan; there is no switch of method by size. method="window" (Spark's window
-function, one task a group) is kept for comparison in the bench and the tests.
+The number of ranges follows from an aggregate row count, up to MAX_RANGES; a small input is
+one range of the same plan. method="window" (Spark's window function, one task a group) is
+kept for comparison in the tests. Quantiles don't need positions: see `cutpoints`.
 """
 from __future__ import annotations
 
@@ -34,8 +31,8 @@ from ..session import checkpoint_root
 
 _TMP = ["_rk_part", "_rk_seq", "_rk_first", "_rk_before", "_rk_cnt"]
 
-# Rows that one range sorts.
-ROWS_PER_RANGE = 100_000
+# Rows that one range sorts, and the most ranges (beyond them, ranges grow).
+ROWS_PER_RANGE, MAX_RANGES = 100_000, 10_000
 
 
 def _as_col(c) -> Column:
@@ -57,7 +54,7 @@ def ordered_positions(df: DataFrame, order_by: Sequence, partition_by: Sequence[
     # lineage, which is deterministic up to this point.
     source = df.persist(StorageLevel.MEMORY_AND_DISK)
     if num_ranges is None:
-        num_ranges = max(-(-source.count() // ROWS_PER_RANGE), 1)
+        num_ranges = min(max(-(-source.count() // ROWS_PER_RANGE), 1), MAX_RANGES)
     staged = (source.repartitionByRange(num_ranges, *keys)
               .sortWithinPartitions(*keys)
               .withColumns({"_rk_part": F.spark_partition_id(),
@@ -84,34 +81,6 @@ def ordered_positions(df: DataFrame, order_by: Sequence, partition_by: Sequence[
     return out.drop(*[c for c in _TMP if c in out.columns])
 
 
-def ntile_from_position(pos: Column, n: Column, tiles: int) -> Column:
-    """NTILE(tiles) of the row at 1-based `pos` in a group of `n` rows: the first
-    n % tiles buckets hold one row more than the others."""
-    q = F.call_function("div", n, F.lit(tiles))
-    r = n % F.lit(tiles)
-    big = r * (q + 1)
-    first_part = F.call_function("div", pos - 1, q + 1) + 1
-    second_part = r + F.call_function("div", pos - big - 1, F.nullif(q, F.lit(0))) + 1
-    return F.when(pos <= big, first_part).otherwise(second_part).cast("int")
-
-
-def ntile(df: DataFrame, tiles: int, order_by: Sequence, partition_by: Sequence[str] = (),
-          out_col: str = "ntile", method: str = "distributed",
-          num_ranges: int | None = None) -> DataFrame:
-    """`df` with `out_col` = NTILE(tiles) over (partition_by, order_by).
-
-    method="distributed" never puts a whole group in one task; method="window" is
-    Spark's window function.
-    """
-    if method == "window":
-        w = Window.partitionBy(*partition_by).orderBy(*[_as_col(c) for c in order_by])
-        return df.withColumn(out_col, F.ntile(tiles).over(w))
-    pos = ordered_positions(df, order_by, partition_by, num_ranges=num_ranges,
-                            pos_col="_nt_pos", size_col="_nt_n")
-    return (pos.withColumn(out_col, ntile_from_position(F.col("_nt_pos"), F.col("_nt_n"), tiles))
-            .drop("_nt_pos", "_nt_n"))
-
-
 def row_number(df: DataFrame, order_by: Sequence, partition_by: Sequence[str] = (),
                out_col: str = "row_number", method: str = "distributed",
                num_ranges: int | None = None) -> DataFrame:
@@ -122,25 +91,3 @@ def row_number(df: DataFrame, order_by: Sequence, partition_by: Sequence[str] =
     pos = ordered_positions(df, order_by, partition_by, num_ranges=num_ranges,
                             pos_col=out_col, size_col="_rn_n")
     return pos.withColumn(out_col, F.col(out_col).cast("int")).drop("_rn_n")
-
-
-def running_counts(df: DataFrame, value: str, num_ranges: int | None = None) -> DataFrame:
-    """(value, n, upto, total) of each distinct non-null value: its rows, the rows up to and
-    including it in ascending order, and all rows. Values are counted map-side first; the
-    counts are range-partitioned and checkpointed as in `ordered_positions`, so neither one
-    task nor one buffer holds all distinct values."""
-    checkpoint_root(df.sparkSession)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    source = counts.persist(StorageLevel.MEMORY_AND_DISK)
-    if num_ranges is None:
-        num_ranges = max(-(-source.count() // ROWS_PER_RANGE), 1)
-    staged = source.repartitionByRange(num_ranges, value).withColumn("_rk_part", F.spark_partition_id()).checkpoint(eager=True)
-    source.unpersist()
-    # One row a range: small, so an unpartitioned window here is cheap.
-    ranges = staged.groupBy("_rk_part").agg(F.sum("n").alias("_rk_cnt"))
-    before = Window.orderBy("_rk_part").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select("_rk_part", F.coalesce(F.sum("_rk_cnt").over(before), F.lit(0)).alias("_rk_before"),
-                           F.sum("_rk_cnt").over(Window.partitionBy()).alias("total"))
-    inside = Window.partitionBy("_rk_part").orderBy(value)
-    return staged.join(ranges, "_rk_part").select(
-        value, "n", (F.col("_rk_before") + F.sum("n").over(inside)).alias("upto"), "total")

@@ -107,7 +107,7 @@ def q_guest_profile(spark, sf_dir):
 
 @register("calendar", O.with_("x AS (SELECT 1)", select="SELECT * FROM s_date_dim"))
 def q_calendar(spark, sf_dir):
-    return silver(spark, sf_dir)["s_date_dim"]
+    return cal_ops.in_order(silver(spark, sf_dir)["s_date_dim"])
 
 
 @register("calendar_holidays", O.with_("x AS (SELECT 1)", select="""

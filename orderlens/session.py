@@ -8,6 +8,8 @@ cut on purpose.
 """
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -92,6 +94,34 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_STORED: dict[str, list[str]] = {}
+
+
+def stored(df, name: str):
+    """`df` written to the shared scratch folder and read again: for rows that are read several
+    times. Survives lost executors and tells the planner the true size. The folders go when the
+    application ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    paths = _STORED.setdefault(application_id(spark), [])
+    if not paths:
+        atexit.register(_drop, spark, paths)
+    paths.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _drop(spark: SparkSession, paths: list[str]) -> None:
+    """Best effort at the end of the application: the session may be gone already."""
+    sc = _context(spark)
+    if sc is not None:
+        with contextlib.suppress(Exception):
+            for path in paths:
+                at = sc._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+    paths.clear()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root, for jobs that must write a table
     and read it back (sink round trips). Never a machine-local temp folder."""

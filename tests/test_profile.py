@@ -1,9 +1,6 @@
-"""Source profile: fields, medians from running counts, lines by year."""
-import random
-
+"""Source profile: fields, medians, lines by year."""
 from orderlens.contracts import SOURCE_COLUMNS, string_schema
 from orderlens.operators import profile
-from orderlens.operators.ranking import running_counts
 
 COLS = SOURCE_COLUMNS["order_items"]
 
@@ -17,16 +14,6 @@ def line(**kw):
             "item_price": "8.00", "item_quantity": "1"} | kw
 
 
-def test_running_counts_over_several_ranges(spark):
-    rnd = random.Random(2)
-    values = [rnd.choice((1, 1, 1, rnd.randint(-50, 50))) for _ in range(501)] + [None] * 40
-    df = spark.createDataFrame([(v,) for v in values], "v int")
-    known = sorted(v for v in values if v is not None)
-    for ranges in (1, 5):
-        got = {r.v: (r.n, r.upto, r.total) for r in running_counts(df, "v", num_ranges=ranges).collect()}
-        assert got == {v: (known.count(v), sum(x <= v for x in known), len(known)) for v in set(known)}
-
-
 def test_profile_fields(spark):
     raw = items(spark, line(user_id="u", printed_card_number="C", is_loyalty="TRUE"), line(user_id=" ", item_price="2.50", item_quantity="3"),
                 line(order_id="2", item_price="bad"), line(order_id="3", user_id="v", item_price="-1", item_quantity="0", currency="EUR"))

@@ -42,7 +42,7 @@ def identified(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("user_id").isNotNull())
 
 
-def _finish(state: DataFrame, method: str, with_tiers: bool = True, group: Sequence[str] = ("snapshot_date",)) -> DataFrame:
+def finish(state: DataFrame, method: str = "distributed", with_tiers: bool = True, group: Sequence[str] = ("snapshot_date",)) -> DataFrame:
     """state(user_id, snapshot_date, cum_net MONEY, cum_orders, first, last) → CLV rows.
     `with_tiers=False` skips the ranking for callers that never read `clv_tier`; `group` is
     empty for one snapshot. method="window" is Spark's window function, for comparison."""
@@ -89,7 +89,7 @@ def clv_daily(orders: DataFrame, run_date: str | _dt.date | Column | None = None
              .withColumn("snapshot_date", snap))
     if with_tiers and method != "window":
         state = stored(state, "clv-state")
-    return _finish(state, method, with_tiers, group=())
+    return finish(state, method, with_tiers, group=())
 
 
 def snapshot_buckets(snapshots: DataFrame, lo: Column) -> DataFrame:
@@ -146,4 +146,4 @@ def clv_as_of(orders: DataFrame, snapshots: DataFrame, method: str = "distribute
     dense = cum.withColumn("sidx", F.explode(F.sequence(
         F.col("bidx"), F.coalesce(F.col("_next") - 1, F.col("n_snap")).cast("int"))))
     state = dense.join(F.broadcast(snap_idx), "sidx").drop("sidx", "bidx", "_next", "n_snap")
-    return _finish(state, method, with_tiers)
+    return finish(state, method, with_tiers)

@@ -58,7 +58,7 @@ class Cut(NamedTuple):
     tie: str | None
 
 
-def _small(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A few rows of the driver as a local relation."""
     kind = StructType.fromDDL(schema)
     table = pa.Table.from_pylist([dict(zip(kind.names, r)) for r in rows], schema=to_arrow_schema(kind))
@@ -71,7 +71,7 @@ def _attach(df: DataFrame, group: Sequence[str], rows: list[tuple], schema: str)
     if not group:
         return df.withColumns({f.name: F.lit(v).cast(f.dataType) for f, v in zip(StructType.fromDDL(schema), rows[0])})
     keys = ", ".join(f"`{g}` {df.schema[g].dataType.simpleString()}" for g in group)
-    return df.join(F.broadcast(_small(df.sparkSession, rows, f"{keys}, {schema}")), list(group))
+    return df.join(F.broadcast(small_frame(df.sparkSession, rows, f"{keys}, {schema}")), list(group))
 
 
 def _number(tie: Column, skip: Column) -> Column:
@@ -129,7 +129,7 @@ def _nth_ties(rows: DataFrame, marks: list[Mark], group: list[str]) -> dict[tupl
     def ties(marks: list[Mark], near: dict) -> DataFrame:
         """The rows that tie at a mark's key, with their numbers."""
         keys = "".join(f"`{g}` {rows.schema[g].dataType.simpleString()}, " for g in group)
-        small = _small(rows.sparkSession, [(*m.group, m.key, m.t, m.nth, m.skip, *near.get((m.group, m.t), (_LEAST, _MOST)))
+        small = small_frame(rows.sparkSession, [(*m.group, m.key, m.t, m.nth, m.skip, *near.get((m.group, m.t), (_LEAST, _MOST)))
                                            for m in marks], keys + schema)
         joined = rows.join(F.broadcast(small), [*group, "_v"])
         return joined.withColumn("_x", _number(F.col("_tie"), F.col("_skip")))

@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..contracts import GOLD_TABLES, SILVER_TABLES, SOURCE_COLUMNS
 from ..operators import calendar as cal_ops
-from ..operators import cleaning, grain, quality, ranking
+from ..operators import cleaning, grain, quality, refresh
 from ..operators import marts as mart_ops
-from ..session import _context, prepare
+from ..session import _context, prepare, stored
 from ..sources.readers import read_zone, zone_path
-from ..sources.sinks import publish_tables, stamp_ingest, upsert_snapshots, write_batch, write_table
+from ..sources.sinks import empty_partition, publish_tables, stamp_ingest, upsert_snapshots, write_batch, write_table
 from ..streaming.landing import STREAM_BATCH_COL
 from . import jobs
 
@@ -112,6 +112,29 @@ def clv(spark: SparkSession, zones: Zones, run_date=None, backfill: bool = False
     return rows
 
 
+def refresh_clv(spark: SparkSession, zones: Zones, snapshots: list, before: DataFrame | None = None) -> dict[str, int]:
+    """E3/E6: bring the stored snapshots in line with the current Silver orders, and add those of
+    `snapshots` that are missing. What differs from the orders that the stored snapshots were
+    computed from (default: the version of Silver before the current one) decides which
+    dates are written; the files of all others stay. Returns rows written by date."""
+    table = zone_path(zones.gold, CLV_TABLE)
+    if before is None:
+        before = read_zone(spark, zones.silver, "s_orders", back=1)
+    held = read_zone(spark, zones.gold, CLV_TABLE)
+    dates = sorted({*snapshots, *(r[0] for r in held.select("snapshot_date").distinct().collect())})
+    found = refresh.refresh(before, read_zone(spark, zones.silver, "s_orders"), held, dates)
+    if found is None:
+        return {}
+    # Written aside first: the rows are made from the table that they replace in part.
+    rows = stored(found.rows, "clv-rows")
+    upsert_snapshots(rows, table)
+    counts = {r[0]: r[1] for r in rows.groupBy("snapshot_date").agg(F.count(F.lit(1))).collect()}
+    for day in found.dates:
+        if day not in counts:
+            empty_partition(rows, table, "snapshot_date", day)
+    return {str(day): counts.get(day, 0) for day in found.dates}
+
+
 def marts(spark: SparkSession, zones: Zones, analysis_date=None) -> dict[str, int]:
     """E4: the six marts, each replaced whole. RFM and churn share one per-customer
     aggregate, kept for the duration of the step."""

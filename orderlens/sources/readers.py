@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..contracts import GOLD_TABLES, SOURCE_COLUMNS
 from ..operators.cleaning import standardize_casing
+from . import versions
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
@@ -76,10 +77,12 @@ def zone_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-def read_zone(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:
-    """A Bronze/Silver/Gold table by zone root and name. Partitions may have been written
-    with different columns (a column added later): their schemas are merged."""
-    return spark.read.option("mergeSchema", "true").format(fmt).load(zone_path(root, table))
+def read_zone(spark: SparkSession, root: str, table: str, fmt: str = "parquet", back: int = 0) -> DataFrame:
+    """A Bronze/Silver/Gold table by zone root and name: the current version of one that is
+    replaced whole, or the one `back` before it. Partitions may have been written with
+    different columns (a column added later): their schemas are merged."""
+    path = versions.resolve(spark, zone_path(root, table), back)
+    return spark.read.option("mergeSchema", "true").format(fmt).load(path)
 
 
 def read_gold(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:

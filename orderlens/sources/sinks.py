@@ -1,5 +1,5 @@
-"""Writers: ingest stamp, idempotent partition overwrites, observed row counts, and
-publishing tables to the catalog.
+"""Writers: ingest stamp, idempotent partition overwrites, whole replacements in versions
+(`versions`), observed row counts, and tables published to the catalog and kept in line.
 
 Row counts are taken with `DataFrame.observe` while the write runs, so reporting them
 does not execute the lineage a second time.
@@ -10,6 +10,8 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from . import versions
+
 
 def stamp_ingest(df: DataFrame, source: str, batch_date: str | _dt.date | None = None) -> DataFrame:
     """Add ingest metadata: ingest_ts (now), source label, batch_date (DATE; today when
@@ -24,28 +26,19 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-# Tables this process published, by location: refreshed after a rewrite of the folder.
-_PUBLISHED: dict[str, str] = {}
-_PARTITIONED: set[str] = set()
-
-
 def _written(df: DataFrame, path: str, obs: Observation) -> int:
-    """After a write: drop cached data and file listings of anything reading `path`
-    (cached DataFrames, and a table published over this folder), return rows written."""
-    catalog = df.sparkSession.catalog
-    catalog.refreshByPath(path)
-    table = _PUBLISHED.get(path.rstrip("/"))
-    if table and catalog.tableExists(table):
-        catalog.refreshTable(table)
-        if table in _PARTITIONED:  # a new date must be visible through the table
-            catalog.recoverPartitions(table)
+    """After a write: drop cached data and file listings of `path`, return the rows written."""
+    df.sparkSession.catalog.refreshByPath(path)
     return int(obs.get["rows"])
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """Replace the whole table (schema included). Returns the rows written."""
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", keep: int = versions.KEEP) -> int:
+    """Replace the whole table (schema included) by a new version: readers see the old rows
+    until all new ones are there. Returns the rows written."""
     df, obs = _observed(df, "write_table")
-    df.write.mode("overwrite").format(fmt).save(path)
+    name, folder = versions.begin(path)
+    df.write.format(fmt).save(folder)
+    versions.commit(df.sparkSession, path, name, keep)
     return _written(df, path, obs)
 
 
@@ -60,20 +53,26 @@ def write_partitions(df: DataFrame, path: str, partition_col: str, fmt: str = "p
 
 def write_batch(df: DataFrame, path: str, batch_date=None, fmt: str = "parquet") -> int:
     """Bronze landing. With a batch date only that `batch_date` partition is replaced (an
-    empty extract clears it); without one the whole table is replaced."""
+    empty extract leaves an empty one: the date has a batch, and the table its columns);
+    without one the whole table is replaced."""
     if batch_date is None:
         df, obs = _observed(df, "write_batch")
         df.write.mode("overwrite").partitionBy("batch_date").format(fmt).save(path)
         return _written(df, path, obs)
     rows = write_partitions(df, path, "batch_date", fmt)
-    if not rows:  # an empty extract replaces its date too
-        spark = df.sparkSession
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/batch_date={batch_date}")
-        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
-        spark.catalog.refreshByPath(path)
+    if not rows:
+        empty_partition(df, path, "batch_date", batch_date, fmt)
     return rows
 
 
+def empty_partition(df: DataFrame, path: str, partition_col: str, value, fmt: str = "parquet") -> None:
+    """Replace one partition by an empty one with the columns of `df`: a dynamic overwrite
+    touches no partition without rows."""
+    folder = f"{path.rstrip('/')}/{partition_col}={value}"
+    df.limit(0).drop(partition_col).coalesce(1).write.mode("overwrite").format(fmt).save(folder)
+    df.sparkSession.catalog.refreshByPath(path)
+
+
 def upsert_snapshots(clv: DataFrame, path: str, fmt: str = "parquet") -> int:
     """CLV snapshots partitioned by snapshot_date; a rerun replaces only its dates."""
     return write_partitions(clv, path, "snapshot_date", fmt)
@@ -89,13 +88,33 @@ def publish_tables(spark: SparkSession, database: str, root: str, tables: list[s
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root.rstrip('/')}'")
     names = []
     for t in tables:
-        name = f"`{database}`.`{t}`"
-        location = f"{root.rstrip('/')}/{t}"
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.createTable(f"{database}.{t}", path=location, source=fmt)
+        path = f"{root.rstrip('/')}/{t}"
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{t}`")
+        spark.catalog.createTable(f"{database}.{t}", path=versions.resolve(spark, path), source=fmt)
+        spark.sql(f"ALTER TABLE `{database}`.`{t}` SET TBLPROPERTIES ('{_ROOT}' = '{path}')")
         if t in partitioned:
             spark.catalog.recoverPartitions(f"{database}.{t}")
-            _PARTITIONED.add(f"{database}.{t}")
-        _PUBLISHED[location] = f"{database}.{t}"
         names.append(f"{database}.{t}")
     return names
+
+
+#: The table property that names the folder a published table was registered for.
+_ROOT = "orderlens.root"
+
+
+def reconcile(spark: SparkSession, table: str) -> None:
+    """Bring a published table in line with its folder, whoever wrote there: partitions that
+    were added or removed, or the current version of a table replaced whole."""
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    else:
+        found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+        if _ROOT in found:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{versions.resolve(spark, found[_ROOT])}'")
+    spark.catalog.refreshTable(table)
+
+
+def read_published(spark: SparkSession, database: str, table: str) -> DataFrame:
+    """A published table by name, as its folder is now."""
+    reconcile(spark, f"{database}.{table}")
+    return spark.table(f"{database}.{table}")

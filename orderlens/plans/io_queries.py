@@ -6,17 +6,17 @@ the engine's readers, and returns the result, so the SQL oracle checks what came
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..contracts import ORDER_ITEM_OPTIONS_COLS
 from ..functions.money import money_out
 from ..operators import calendar as cal_ops
 from ..operators import cleaning, clv, marts
-from ..session import prepare, scratch_path
-from ..sources import fixtures
-from ..sources.readers import SourceSpec, read_csv, read_source, read_zone, zone_path
-from ..sources.sinks import (publish_tables, stamp_ingest, upsert_snapshots, write_batch,
-                             write_table)
+from ..session import prepare, scratch_path, stored
+from ..sources import fixtures, versions
+from ..sources.readers import SourceSpec, read_csv, read_gold, read_source, read_zone, zone_path
+from ..sources.sinks import (publish_tables, read_published, stamp_ingest, upsert_snapshots,
+                             write_batch, write_table)
 from . import daily, jobs
 from . import oracle as O
 from .queries import register, silver
@@ -24,6 +24,9 @@ from .queries import register, silver
 # Fixed parameters of the round trips.
 BATCH_A = "2024-01-01"
 BATCH_B = "2024-01-02"
+BATCH_C = "2024-01-03"
+#: The refreshed snapshots start from the orders before this day (a first of a month).
+REFRESH_FROM = "1997-03-01"
 PUBLISH_DB = "orderlens_gold"
 
 
@@ -106,12 +109,14 @@ def q_bronze_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT DATE '{BATCH_A}' AS batch_date, count(*) AS rows FROM src_order_items
 UNION ALL SELECT DATE '{BATCH_B}', count(*) FROM src_order_items"""))
 def q_batch_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land batch A, batch B, then A again: A is replaced, B untouched, nothing doubles."""
+    """Land batch A, batch B, then A again: A is replaced, B untouched, nothing doubles. A
+    batch of a later date lands and is reloaded empty: it has no rows left."""
     prepare(spark)
     path = scratch_path(spark, "batch-overwrite")
     src = fixtures.order_items(spark, sf_dir)
-    for bd in (BATCH_A, BATCH_B, BATCH_A):
+    for bd in (BATCH_A, BATCH_B, BATCH_A, BATCH_C):
         write_batch(stamp_ingest(src, "parquet", bd), path, bd)
+    write_batch(stamp_ingest(src.filter("false"), "parquet", BATCH_C), path, BATCH_C)
     back = spark.read.parquet(path)
     return back.groupBy("batch_date").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -164,6 +169,69 @@ def q_publish_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{PUBLISH_DB}.g_fact_location_performance")
 
 
+@register("publish_partitions", O.with_(O.CLV_MONTH_END, select="""
+SELECT * FROM clv WHERE snapshot_date <> (SELECT min(snapshot_date) FROM clv)"""))
+def q_publish_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month-end CLV published by date. Another session then writes the last date, which the
+    publisher left out, and removes the first: reading by table name shows both changes."""
+    s = silver(spark, sf_dir)
+    root = scratch_path(spark, "publish-partitions")
+    path = zone_path(root, daily.CLV_TABLE)
+    rows = stored(clv.clv_as_of(s["s_orders"], cal_ops.month_end_snapshots(s["s_date_dim"])), "clv-rows")
+    ends = F.col("snapshot_date") == rows.select(F.max("snapshot_date")).scalar()
+    upsert_snapshots(rows.filter(~ends), path)
+    publish_tables(spark, PUBLISH_DB, root, [daily.CLV_TABLE], partitioned={daily.CLV_TABLE: "snapshot_date"})
+    upsert_snapshots(rows.filter(ends), path)
+    first = rows.agg(F.min("snapshot_date")).first()[0]
+    versions.Folder(spark.newSession(), path).delete(f"snapshot_date={first}")
+    return read_published(spark, PUBLISH_DB, daily.CLV_TABLE).select(*clv.CLV_COLUMNS)
+
+
+def _refreshed(spark: SparkSession, sf_dir: str, name: str, before: DataFrame, known: Column) -> DataFrame:
+    """The CLV table computed from `before` at the `known` month ends, refreshed to the orders of
+    Silver and all month ends."""
+    s = silver(spark, sf_dir)
+    zones = daily.Zones.under(scratch_path(spark, name))
+    ends = cal_ops.month_end_snapshots(s["s_date_dim"])
+    upsert_snapshots(clv.clv_as_of(before, ends.filter(known)), zone_path(zones.gold, daily.CLV_TABLE))
+    write_table(before, zone_path(zones.silver, "s_orders"))
+    write_table(s["s_orders"], zone_path(zones.silver, "s_orders"))
+    daily.refresh_clv(spark, zones, [r[0] for r in ends.collect()])  # one row a month
+    return read_zone(spark, zones.gold, daily.CLV_TABLE).select(*clv.CLV_COLUMNS)
+
+
+@register("clv_refresh_append", O.with_(O.CLV_MONTH_END, select="SELECT * FROM clv"))
+def q_clv_refresh_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots of the orders before a day, brought up to all orders: equal to a full run."""
+    before = silver(spark, sf_dir)["s_orders"].filter(F.col("order_date") < REFRESH_FROM)
+    return _refreshed(spark, sf_dir, "refresh-append", before, F.col("snapshot_date") < REFRESH_FROM)
+
+
+@register("clv_refresh_correction", O.with_(O.CLV_MONTH_END, select="SELECT * FROM clv"))
+def q_clv_refresh_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch before had other amounts, customers and days for some orders, lacked some and
+    had some twice; only snapshots from the first such day on are written again."""
+    o = silver(spark, sf_dir)["s_orders"]
+    k = F.crc32("order_id") % 500
+    late = F.col("order_date") >= "1995-06-01"
+    wrong = o.filter(~(late & (k == 0))).withColumns({
+        "order_net": F.when(late & (k == 1), F.col("order_net") + 5).otherwise(F.col("order_net")).cast("decimal(18,2)"),
+        "user_id": F.when(late & (k == 2), F.lit("1")).otherwise(F.col("user_id")),
+        "order_date": F.when(late & (k == 3), F.date_sub("order_date", 40)).otherwise(F.col("order_date"))})
+    return _refreshed(spark, sf_dir, "refresh-correction", wrong.unionByName(o.filter(late & (k == 4))), F.col("snapshot_date") < "1998-06-01")
+
+
+@register("gold_read", O.with_(O.LOYALTY, select="SELECT * FROM loyalty"))
+def q_gold_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart replaced twice, read by its registered name; the first version is another's."""
+    s = silver(spark, sf_dir)
+    root = scratch_path(spark, "gold-read")
+    name = "g_fact_loyalty_impact"
+    for orders in (s["s_orders"].filter("is_loyalty"), s["s_orders"]):
+        write_table(marts.build_loyalty_impact(orders), zone_path(root, name))
+    return read_gold(spark, root, name)
+
+
 @register("daily_reload", O.with_("x AS (SELECT 1)", select=_ORDERS_SQL))
 def q_daily_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An older extract lands for date A, the whole daily chain runs for date B (QC gates

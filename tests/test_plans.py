@@ -6,7 +6,8 @@ import pytest
 E = importlib.import_module("__spark_entry__")
 IO_QUERIES = {"casing", "csv_scan", "csv_multiline_scan", "bronze_stamp", "batch_overwrite",
               "zone_overwrite", "snapshot_upsert", "write_row_counts", "publish_catalog",
-              "daily_reload", "landing_stream_ingest"}
+              "daily_reload", "landing_stream_ingest", "publish_partitions", "clv_refresh_append",
+              "clv_refresh_correction", "gold_read"}
 
 
 def plan_of(df) -> str:

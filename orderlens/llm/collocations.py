@@ -30,6 +30,7 @@ repeated rows count again; other columns are ignored; texts are whole, however l
 """
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -141,8 +142,12 @@ def _active(texts: K.Texts, langs: pa.Array, now: np.ndarray, before: np.ndarray
 
 
 def _counter(now: np.ndarray, before: np.ndarray | None, longest: int):
-    """The function for mapInArrow that counts active phrases of (lang, text) rows."""
+    """The function for mapInArrow that counts active phrases of (lang, text) rows. Its filters
+    travel compressed: with few phrases most of their bits are zero."""
+    sent, last = zlib.compress(now, 1), None if before is None else zlib.compress(before, 1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, before = (None if x is None else np.frombuffer(zlib.decompress(x), np.uint8) for x in (sent, last))
         for batch in batches:
             for part in K.chunks(batch, limit=CHUNK):
                 texts, langs = K.texts_of(part.column(1)), part.column(0)
@@ -231,6 +236,12 @@ def _words(first: Column | int, count: Column | int) -> Column:
     return F.array_join(F.slice(F.split("phrase", " "), first, count), " ")
 
 
+def _score() -> Column:
+    """floor(1000 a n / (l r)) in 38 digits."""
+    wide = lambda c: F.col(c).cast("decimal(38,0)")
+    return F.call_function("div", F.lit(1000).cast("decimal(38,0)") * wide("a") * wide("n"), wide("l") * wide("r")).cast("long")
+
+
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", support: int = SUPPORT,
                  longest: int = LONGEST, top: int = TOP, cover: int = 100, shards: int = SHARDS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of each language's first `top` phrases. A phrase
@@ -250,9 +261,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     cuts = cuts.select("*", _words(F.lit(1), F.col("cut")).alias("head"), _words(F.col("cut") + 1, F.col("k") - F.col("cut")).alias("tail"))
     side = lambda name, n: counts.select("lang", F.col("phrase").alias(name), F.col("n").alias(n))
     cuts = cuts.join(side("head", "l"), ["lang", "head"]).join(side("tail", "r"), ["lang", "tail"]).join(words, "lang")
-    wide = lambda c: F.col(c).cast("decimal(38,0)")
-    score = F.call_function("div", F.lit(1000).cast("decimal(38,0)") * wide("a") * wide("n"), wide("l") * wide("r"))
-    scored = cuts.withColumn("score", score.cast("long"))
+    scored = cuts.withColumn("score", _score())
     best = (scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "cut", "l", "r")).alias("best"))
             .select("lang", "phrase", "a", "best.l", "best.r", "n", "best.score"))
     # Two steps, so that no task ranks all phrases of a language.

@@ -1,18 +1,18 @@
 """Quality gates over Silver and Gold.
 
-`qc_report` is a DataFrame of (gate, passed, observed): every gate is a global aggregate
-computed by the cluster; only the few report rows ever reach the driver, in
-`raise_if_failed`.
+The gates are (gate, passed, observed) rows made of a few figures. The daily chain observes
+these while it writes the tables (`sinks.write_table(observe=...)`), so no table is read again but the
+dates of the orders; `qc_report` takes them from stored tables, each read once. Only the few
+report rows ever reach the driver, in `raise_if_failed`.
 """
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.money import MONEY
+from .cleaning import DROP_REASONS, line_counts, standardize_casing
 from .clv import TIER_HIGH, TIER_LOW
-from .views import as_money, latest_snapshot
+from .views import as_money
 
 # Tier-share tolerance around 20 % and the net ≥ gross slack.
 TIER_SHARE_LO, TIER_SHARE_HI = 0.18, 0.22
@@ -31,35 +31,70 @@ def calendar_gaps(s_orders: DataFrame, s_calendar: DataFrame) -> DataFrame:
     return dates.join(cal, dates.order_date == cal.date_key, "left_anti")
 
 
-def _gate(df: DataFrame, name: str, observed, passed) -> DataFrame:
-    return df.agg(observed.cast("double").alias("observed")).select(
-        F.lit(name).alias("gate"), F.coalesce(passed(F.col("observed")), F.lit(False)).alias("passed"),
-        "observed")
-
-
-def qc_report(s_items: DataFrame, s_orders: DataFrame, s_calendar: DataFrame,
-              clv: DataFrame, trends: DataFrame, expected_items: int | None = None) -> DataFrame:
-    if expected_items is None:
-        items_ok = lambda c: c > 0
-    else:
-        items_ok = lambda c: c == F.lit(float(expected_items))
-    snap = latest_snapshot(clv)
-    n = F.count(F.lit(1))
-    gates = [
-        _gate(s_items, "silver_order_items_count", F.count(F.lit(1)), items_ok),
-        _gate(calendar_gaps(s_orders, s_calendar), "calendar_missing_dates", F.count(F.lit(1)),
-              lambda c: c == 0),
-        _gate(snap, "clv_high_tier_share",
-              F.try_divide(F.count_if(F.col("clv_tier") == TIER_HIGH), n),
-              lambda c: (c >= TIER_SHARE_LO) & (c <= TIER_SHARE_HI)),
-        _gate(snap, "clv_low_tier_share",
-              F.try_divide(F.count_if(F.col("clv_tier") == TIER_LOW), n),
-              lambda c: (c >= TIER_SHARE_LO) & (c <= TIER_SHARE_HI)),
-        _gate(trends, "net_minus_gross",
-              (F.sum(as_money("net_revenue")) - F.sum(as_money("gross_revenue"))).cast(MONEY),
-              lambda c: c >= -NET_GROSS_SLACK),
-    ]
-    return reduce(DataFrame.unionByName, gates)
+def expected_lines(raw_counts: dict[str, int]) -> int:
+    """What Silver must hold: the lines that came in without those that were left out, reason
+    by reason (`cleaning.line_counts`)."""
+    return raw_counts["lines"] - sum(raw_counts[r] for r in DROP_REASONS)
+
+
+#: What `gates` reads, with types, beside the missing dates.
+FIGURES = {"items": "long", "expected": "long", "customers": "long", "high": "long", "low": "long", "net": MONEY, "gross": MONEY}
+
+
+# Aggregates that the gates are made of. They can be observed while a table is written, or
+# taken from the stored table.
+def item_figures() -> list[Column]:
+    return [F.count(F.lit(1)).alias("items")]
+
+
+def tier_figures() -> list[Column]:
+    """Of one snapshot's CLV rows."""
+    return [F.count(F.lit(1)).alias("customers"), F.count_if(F.col("clv_tier") == TIER_HIGH).alias("high"),
+            F.count_if(F.col("clv_tier") == TIER_LOW).alias("low")]
+
+
+def sales_figures() -> list[Column]:
+    return [F.sum(as_money("net_revenue")).cast(MONEY).alias("net"), F.sum(as_money("gross_revenue")).cast(MONEY).alias("gross")]
+
+
+def latest_tiers(clv: DataFrame) -> DataFrame:
+    """`tier_figures` of the latest snapshot: CLV is read once, and reduced by date."""
+    by_date = clv.groupBy("snapshot_date").agg(*tier_figures())
+    return by_date.agg(F.max_by(F.struct("customers", "high", "low"), "snapshot_date").alias("t")).select("t.*")
+
+
+def gates(figures: DataFrame) -> DataFrame:
+    """(gate, passed, observed) of one row of figures: items, expected (null: only that there are
+    any), missing_dates, customers, high, low, net, gross."""
+    share = lambda c: F.try_divide(F.col(c), F.col("customers"))
+    fair = lambda x: (x >= TIER_SHARE_LO) & (x <= TIER_SHARE_HI)
+    items_ok = F.when(F.col("expected").isNull(), F.col("items") > 0).otherwise(F.col("items") == F.col("expected"))
+    margin = (F.col("net") - F.col("gross")).cast(MONEY)
+    each = [("silver_order_items_count", items_ok, F.col("items")),
+            ("calendar_missing_dates", F.col("missing_dates") == 0, F.col("missing_dates")),
+            ("clv_high_tier_share", fair(share("high")), share("high")),
+            ("clv_low_tier_share", fair(share("low")), share("low")),
+            ("net_minus_gross", margin >= -NET_GROSS_SLACK, margin)]
+    rows = F.array(*[F.struct(F.lit(n).alias("gate"), F.coalesce(ok, F.lit(False)).alias("passed"), x.cast("double").alias("observed"))
+                     for n, ok, x in each])
+    return figures.select(F.explode(rows).alias("g")).select("g.*")
+
+
+def qc_report(s_items: DataFrame, s_orders: DataFrame, s_calendar: DataFrame, clv: DataFrame, trends: DataFrame,
+              expected_items: int | None = None, raw_items: DataFrame | None = None, dev_app_name: str | None = None) -> DataFrame:
+    """The gates over stored tables, each read once. What Silver must hold follows from the raw
+    lines if these are given, or is `expected_items`."""
+    one = [s_items.agg(*item_figures()), calendar_gaps(s_orders, s_calendar).agg(F.count(F.lit(1)).alias("missing_dates")),
+           latest_tiers(clv), trends.agg(*sales_figures())]
+    if raw_items is not None:
+        counts = standardize_casing(raw_items).agg(*line_counts(dev_app_name))
+        one.append(counts.select((F.col("lines") - sum((F.col(r) for r in DROP_REASONS), F.lit(0))).alias("expected")))
+    # Five rows of one aggregate each, as five scalars of one row.
+    figures = s_items.sparkSession.range(1).select(*[t.select(F.struct("*")).scalar().alias(f"t{i}") for i, t in enumerate(one)])
+    named = [F.col(f"t{i}")[c].alias(c) for i, t in enumerate(one) for c in t.columns]
+    if raw_items is None:
+        named.append(F.lit(expected_items).cast("long").alias("expected"))
+    return gates(figures.select(*named))
 
 
 def raise_if_failed(report: DataFrame) -> list[tuple]:

@@ -409,7 +409,12 @@ def q_calendar_coverage(spark, sf_dir):
 
 
 @register("qc_report", O.with_(O.CLV_DAILY, O.SALES, _LATEST, select=f"""
-SELECT 'silver_order_items_count' AS gate, count(*) > 0 AS passed, CAST(count(*) AS DOUBLE) AS observed
+SELECT 'silver_order_items_count' AS gate,
+       count(*) = (SELECT count(*) FROM src_order_items)
+                  - (SELECT count(*) FROM src_order_items WHERE lineitem_id IS NULL OR item_name IS NULL)
+                  - (SELECT count(*) FROM src_order_items
+                     WHERE lineitem_id IS NOT NULL AND item_name IS NOT NULL AND trim(app_name) = '{O.DEV}') AS passed,
+       CAST(count(*) AS DOUBLE) AS observed
 FROM s_order_items
 UNION ALL
 SELECT 'calendar_missing_dates', count(*) = 0, CAST(count(*) AS DOUBLE)
@@ -429,7 +434,8 @@ def q_qc_report(spark, sf_dir):
     s = silver(spark, sf_dir)
     return quality.qc_report(s["s_order_items"], s["s_orders"], s["s_date_dim"],
                              clv.clv_daily(s["s_orders"]),
-                             marts.build_sales_trends(s["s_order_lines"], s["s_date_dim"]))
+                             marts.build_sales_trends(s["s_order_lines"], s["s_date_dim"]),
+                             raw_items=fixtures.order_items(spark, sf_dir), dev_app_name=fixtures.DEV_APP_NAME)
 
 
 # ------------------------------------------------------------------ source profile

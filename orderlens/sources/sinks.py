@@ -7,8 +7,9 @@ does not execute the lineage a second time.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from . import versions
 
@@ -21,9 +22,9 @@ def stamp_ingest(df: DataFrame, source: str, batch_date: str | _dt.date | None =
                            "batch_date": bd})
 
 
-def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+def _observed(df: DataFrame, name: str, more: Sequence[Column] = ()) -> tuple[DataFrame, Observation]:
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *more), obs
 
 
 def _written(df: DataFrame, path: str, obs: Observation) -> int:
@@ -32,22 +33,29 @@ def _written(df: DataFrame, path: str, obs: Observation) -> int:
     return int(obs.get["rows"])
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", keep: int = versions.KEEP) -> int:
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", keep: int = versions.KEEP,
+                observe: Sequence[Column] = (), figures: dict | None = None) -> int:
     """Replace the whole table (schema included) by a new version: readers see the old rows
-    until all new ones are there. Returns the rows written."""
-    df, obs = _observed(df, "write_table")
+    until all new ones are there. Returns the rows written. `observe` are aggregates taken on
+    the way, put into `figures` by their names."""
+    df, obs = _observed(df, "write_table", observe)
     name, folder = versions.begin(path)
     df.write.format(fmt).save(folder)
     versions.commit(df.sparkSession, path, name, keep)
+    if figures is not None:
+        figures.update(obs.get)
     return _written(df, path, obs)
 
 
-def write_partitions(df: DataFrame, path: str, partition_col: str, fmt: str = "parquet") -> int:
+def write_partitions(df: DataFrame, path: str, partition_col: str, fmt: str = "parquet",
+                     observe: Sequence[Column] = (), figures: dict | None = None) -> int:
     """Replace only the partitions present in `df` (dynamic partition overwrite): a
     re-run of the same date replaces that date and leaves every other one alone."""
-    df, obs = _observed(df, "write_partitions")
+    df, obs = _observed(df, "write_partitions", observe)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).format(fmt).save(path))
+    if figures is not None:
+        figures.update(obs.get)
     return _written(df, path, obs)
 
 
@@ -73,9 +81,9 @@ def empty_partition(df: DataFrame, path: str, partition_col: str, value, fmt: st
     df.sparkSession.catalog.refreshByPath(path)
 
 
-def upsert_snapshots(clv: DataFrame, path: str, fmt: str = "parquet") -> int:
+def upsert_snapshots(clv: DataFrame, path: str, fmt: str = "parquet", observe: Sequence[Column] = (), figures: dict | None = None) -> int:
     """CLV snapshots partitioned by snapshot_date; a rerun replaces only its dates."""
-    return write_partitions(clv, path, "snapshot_date", fmt)
+    return write_partitions(clv, path, "snapshot_date", fmt, observe, figures)
 
 
 def publish_tables(spark: SparkSession, database: str, root: str, tables: list[str],

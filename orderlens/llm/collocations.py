@@ -22,8 +22,10 @@ is active by the present filter and wasn't by the filter of this shard's last vi
 occurrence is counted twice or left out. Within a task equal phrases are found by 64-bit hashes;
 between tasks the phrases themselves are the keys, aggregated map-side first.
 
-A phrase's count spans `SHARDS` visits at most, so the threshold is tested on the sums of the
-last `SHARDS` visits; the largest such sum of a phrase is its full count.
+Counts are carried from visit to visit: each adds its own to those of phrases whose cycle isn't
+over, in one aggregate. A phrase whose cycle is over leaves, with its full count if that
+reaches the threshold. More shards make phrases active earlier in a cycle, and carry each count
+through more steps.
 
 Results for edge cases: an empty table, or texts without words, give no rows; ids aren't read,
 repeated rows count again; other columns are ignored; texts are whole, however long.
@@ -43,7 +45,7 @@ from .frames import stored
 from .periodic import joined
 
 #: Shards of a cycle, longest phrase, least number of occurrences, rows for each language.
-SHARDS, LONGEST, SUPPORT, TOP = 3, 5, 100, 2000
+SHARDS, LONGEST, SUPPORT, TOP = 2, 5, 100, 2000
 #: Size of the broadcast filter in bits (a power of two) and bytes of text counted at once.
 FILTER_BITS, CHUNK = 1 << 26, 8 << 20
 #: A language's rows are ranked in so many parts first.
@@ -60,8 +62,9 @@ _SCAN[[0x20, 0x0A]] = True
 
 
 # ------------------------------------------------------------------ inside a task
-def _normal(column: pa.Array) -> pa.Array:
-    """Texts as words: joined by a space within a piece, by a line feed between pieces."""
+def _normal(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Texts as words, joined by a space within a piece, by a line feed between pieces, and
+    their numbers of words."""
     texts = K.lowered(K.texts_of(column))
     words = K.words_of(texts, _CUT)
     plain = joined(texts, words, np.arange(len(words.start)), words.first)
@@ -77,7 +80,8 @@ def _normal(column: pa.Array) -> pa.Array:
         after = np.cumsum(size + gap) - 1  # the byte that follows each word that has a next one
         data[after[:-1][new & inner]] = 0x0A
     offsets = np.ascontiguousarray(made.offsets)
-    return pa.Array.from_buffers(pa.large_string(), len(plain), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).cast(pa.string())
+    text = pa.Array.from_buffers(pa.large_string(), len(plain), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return text.cast(pa.string()), np.diff(words.first)
 
 
 def _hashes(texts: K.Texts, langs: pa.Array) -> tuple[K.Words, np.ndarray, np.ndarray, np.ndarray]:
@@ -205,29 +209,35 @@ def count_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     def normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in K.chunks(batch):
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), _normal(part.column(2))], names=["shard", "lang", "text"])
+                text, words = _normal(part.column(2))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), text, pa.array(words)], names=["shard", "lang", "text", "words"])
 
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     plain = docs.select(F.pmod(F.xxhash64(text), F.lit(shards)).cast("int").alias("shard"),
                         F.coalesce(docs[lang_col].cast("string"), F.lit(UNKNOWN)).alias("lang"), text.alias("text"))
-    scans = stored(plain.mapInArrow(normal, "shard int, lang string, text string"), "shards", partition_by="shard")
+    scans = stored(plain.mapInArrow(normal, "shard int, lang string, text string, words long"), "shards", partition_by="shard")
 
-    filters, visits, full = [np.zeros(FILTER_BITS // 8, np.uint8)], [], []
+    key = ["lang", "k", "phrase"]
+    filters, carried, full = [np.zeros(FILTER_BITS // 8, np.uint8)], None, []
     while True:
-        step = len(visits)
+        step = len(full)
         before = filters[step - shards] if step >= shards else None
         rows = scans.filter(F.col("shard") == step % shards).select("lang", "text")
-        counted = rows.mapInArrow(_counter(filters[step], before, longest), "lang string, k int, phrase string, n long")
-        visits.append(stored(counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")), f"visit-{step}"))
-        recent = reduce(DataFrame.unionByName, visits[-shards:])
-        full.append(stored(recent.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= support), f"reached-{step}"))
+        counted = rows.mapInArrow(_counter(filters[step], before, longest), "lang string, k int, phrase string, n long").withColumn("first", F.lit(step))
+        if carried is not None:
+            counted = counted.unionByName(carried)
+        open_yet = F.col("first") > step - shards + 1  # first counted in this visit or one whose cycle goes on
+        sums = counted.groupBy(*key).agg(F.sum("n").alias("n"), F.min("first").alias("first"))
+        sums = stored(sums.filter(open_yet | (F.col("n") >= support)), f"visit-{step}")
+        carried = sums.filter(open_yet)
+        full.append(stored(sums.filter(F.col("n") >= support).drop("first"), f"reached-{step}"))
         filters.append(_added(filters[step], full[-1], longest))
         if step >= shards - 1 and all(np.array_equal(filters[-1], f) for f in filters[-1 - shards:-1]):
             break
         if step >= shards:
             filters[step - shards] = None  # of no more use
-    counts = reduce(DataFrame.unionByName, full).groupBy("lang", "k", "phrase").agg(F.max("n").alias("n"))
-    words = reduce(DataFrame.unionByName, visits[:shards]).filter("k = 1").groupBy("lang").agg(F.sum("n").alias("n"))
+    counts = reduce(DataFrame.unionByName, full).groupBy(*key).agg(F.max("n").alias("n"))
+    words = scans.groupBy("lang").agg(F.sum("words").alias("n")).filter("n > 0")
     return stored(counts, "phrases"), stored(words, "words")
 
 

@@ -20,8 +20,10 @@ spans (start, length in code points of the formatted text) that cover the assist
 Results for edge cases: null text or role: empty; turns are ordered by (turn, role, text),
 nulls first, and repeated rows stay; null conversation ids are one conversation; an unknown
 layout raises ValueError in `canonical_turns`, and in `canonical_json` gives a row with a
-null layout and no turns; an empty table gives none; extra columns of a flat table are left
-out of the fingerprint when they aren't part of the mapping.
+null layout and no turns; an empty table gives none; extra columns are left out of the
+fingerprint when they aren't part of the mapping: a table with the columns of one row a turn
+is read so, whatever other columns it has, and fields that fit two mappings, neither of which
+holds the other, raise ValueError.
 
 A conversation is one output row, so its turns meet in one task: that is the size of the
 result, not of the table.
@@ -78,7 +80,7 @@ LAYOUTS = (
     Layout("system_prompt_response", "conv_id", turns=(("system", "system"), ("user", "prompt"), ("assistant", "response"))),
     Layout("nested_prompt", "conv_id", turns=(("user", "prompt.text"), ("assistant", "response.text"))),
 )
-#: Names of roles in other layouts.
+#: Names of roles in lists of messages; a table of one row a turn keeps its own.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
@@ -96,11 +98,16 @@ def _layout_of(schema: T.StructType, layouts: tuple[Layout, ...]) -> Layout:
     paths = field_paths(schema)
     if found := by_hash.get(hash_paths(paths)):
         return found
-    # Extra columns: the widest mapping whose own paths are all there.
+    # Extra columns: one row a turn if its columns are there, else the mapping whose own paths
+    # are all there and hold those of any other that fits.
     inside = [x for x in layouts if {*x.paths} <= {*paths}]
     if not inside:
         raise ValueError(f"no layout for the fields {sorted(paths)}")
-    return max(inside, key=lambda x: (len(x.paths), x.name))
+    inside = [x for x in inside if x.row] or inside
+    widest = max(inside, key=lambda x: len(x.paths))
+    if other := [x.name for x in inside if not {*x.paths} <= {*widest.paths}]:
+        raise ValueError(f"the fields {sorted(paths)} fit several layouts: {[widest.name, *other]}")
+    return widest
 
 
 def _role(role: Column) -> Column:
@@ -113,7 +120,8 @@ def canonical_turns(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> Dat
     layout = _layout_of(df.schema, layouts)
     if layout.row:
         turn, role, text = (F.col(c) for c in layout.row)
-        return df.select(F.col(layout.id).alias("conv_id"), turn.cast("long").alias("turn"), _role(role).alias("role"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
+        return df.select(F.col(layout.id).alias("conv_id"), turn.cast("long").alias("turn"), F.coalesce(role.cast("string"), F.lit("")).alias("role"),
+                         F.coalesce(text.cast("string"), F.lit("")).alias("text"))
     if layout.each:
         path, role, text = layout.each
         turns = F.transform(F.col(path), lambda m: F.struct(m[role].alias("role"), m[text].alias("text")))
@@ -154,7 +162,7 @@ def canonical_json(df: DataFrame, json_col: str, layouts: tuple[Layout, ...] = L
             got = F.transform(F.variant_get("v", f"$.{path}", f"array<struct<{_quoted(role)}:string,{_quoted(text)}:string>>"), _message(role, text))
         else:
             pairs = x.turns or ((None, x.row[2]),)
-            got = F.array(*[F.struct((F.lit(role) if role else _role(F.variant_get("v", f"$.{x.row[1]}", "string"))).alias("role"),
+            got = F.array(*[F.struct((F.lit(role) if role else F.coalesce(F.variant_get("v", f"$.{x.row[1]}", "string"), F.lit(""))).alias("role"),
                                      F.coalesce(F.variant_get("v", f"$.{path}", "string"), F.lit("")).alias("text")) for role, path in pairs])
         name = F.when(mine, F.lit(x.name)).otherwise(name)
         turns = F.when(mine, got).otherwise(turns)

@@ -236,16 +236,21 @@ def remove_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item
     """The rows of `docs` (all columns) that contain no item."""
     def keep(index: Index):
         def clean(texts: pa.Array) -> np.ndarray:
-            found = search(index, K.texts_of(pa.compute.utf8_lower(texts)), threshold)
+            found = search(index, K.texts_of(texts), threshold)
             good = np.ones(len(texts), dtype=bool)
             good[[d for d, _, _, q, a in found if q >= OVERLAP and a >= OVERLAP]] = False
             return good
 
         return clean
 
+    # Lower case as in `matches` and in the items: one engine does it for all three.
+    low = "_low"
+    while low in docs.columns:
+        low += "_"
+    docs = docs.withColumn(low, F.lower(docs[text_col].cast("string")))
     for index in _shards(_items(items, item_col, item_text_col), shard_bytes):
-        docs = keep_texts(docs, text_col, keep(index))
-    return docs
+        docs = keep_texts(docs, low, keep(index))
+    return docs.drop(low)
 
 
 def _scan(docs: DataFrame, index: Index, kind, item_kind, threshold: float) -> DataFrame:

@@ -48,14 +48,21 @@ def fold_of(id_col: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(folds))
 
 
+def decided(labels: DataFrame, id_col: str, label_col: str, name: str) -> DataFrame:
+    """(id, name int): one 0/1 label of each id, the more frequent one where rows differ, 1 where
+    both are as frequent. Null ids and null labels have no say."""
+    rows = labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias(name)).dropna()
+    return rows.groupBy("id").agg((2 * F.sum(name) >= F.count(name)).cast("int").alias(name))
+
+
 def sampled(rows: DataFrame, id_col: str, bound: int) -> DataFrame:
     """About `bound` of the rows at most (all of them if there are fewer), chosen by a hash
     of the id: for fitting a classifier on a bounded sample of labelled rows."""
     n = rows.count()
     if n <= bound:
         return rows
-    grain = 1_000_000
-    return rows.filter(F.pmod(F.xxhash64(F.col(id_col)), F.lit(grain)) < int(grain * bound / n))
+    grain = 1 << 62  # finer than any share of a table
+    return rows.filter(F.pmod(F.xxhash64(F.col(id_col)), F.lit(grain)) < grain * bound // n)
 
 
 _STORED: dict[str, list[str]] = {}

@@ -11,8 +11,8 @@ The model is fitted on a bounded sample of labelled rows (`SAMPLE`); scores cove
 and whole texts. Its size is DIMS x (RANK + 1) numbers, whatever the corpus.
 
 Results for edge cases: a null or empty text has zero words and statistics and gets the
-score of that point; rows without a label aren't learned from; with no labels every score
-is 0.5; repeated rows get their result each time; other columns are ignored.
+score of that point; rows without a label aren't learned from, of an id's differing labels the
+more frequent one counts (1 if equally frequent); with no labels every score is 0.5; repeated rows get their result each time; other columns are ignored.
 """
 from __future__ import annotations
 
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import kernel as K
-from .frames import map_texts, sampled
+from .frames import decided, map_texts, sampled
 
 DIMS, RANK, SAMPLE = 1 << 13, 8, 6_000
 EPOCHS, RATE, DECAY, SEED = 12, 0.05, 1e-4, 7
@@ -143,7 +143,7 @@ def train(doc: np.ndarray, word: np.ndarray, value: np.ndarray, stats: np.ndarra
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model | None:
-    rows = labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("label")).dropna().dropDuplicates(["id"])
+    rows = decided(labels, id_col, label_col, "label")
     rows = sampled(rows, "id", SAMPLE)
     texts = (docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
              .join(F.broadcast(rows), "id").select("id", "label", "text"))  # bounded: SAMPLE rows

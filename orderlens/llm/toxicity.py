@@ -21,7 +21,8 @@ texts without any. Fitted on a bounded sample of labelled rows (`SAMPLE`); every
 covers all rows and whole texts.
 
 Results for edge cases: a null or empty text (no words) scores the base rate; unlabelled
-rows are not learned from; with no labels the score is 0; repeated rows get their result
+rows are not learned from, of an id's differing labels the more frequent one counts (1 if
+equally frequent); with no labels the score is 0; repeated rows get their result
 each time; other columns are ignored. Runs of two or more substitute symbols at a token's
 edge (`the$$$`) are decoration, not letters; runs of digits (`57up1d`) may be either.
 """
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import kernel as K
-from .frames import keep_texts, map_texts, sampled
+from .frames import decided, keep_texts, map_texts, sampled
 
 #: Labelled rows that the lexicon is fitted on.
 SAMPLE = 20_000
@@ -415,7 +416,7 @@ def _select(row: np.ndarray, word: np.ndarray, toxic: np.ndarray, weight: np.nda
 def fit(docs: DataFrame, labels: DataFrame, cost: np.ndarray, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Learn the lexicon from `labels` (id, label): a bounded sample of its rows."""
     empty = Model(cost, np.zeros(0, dtype=np.uint64), np.zeros(0), 0.0)
-    rows = labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("toxic")).dropna().dropDuplicates(["id"])
+    rows = decided(labels, id_col, label_col, "toxic")
     rows = sampled(rows, "id", SAMPLE)
     texts = (docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
              .join(F.broadcast(rows), "id").select("toxic", "text"))  # bounded: SAMPLE rows

@@ -311,3 +311,59 @@ def test_words_across_texts():
     words = kernel.words_of(texts)
     assert [texts.data[a:b].tobytes() for a, b in zip(words.start, words.end)] == [b"ab", b"c", b"d", b"e", b"f"]
     assert words.first.tolist() == [0, 2, 2, 2, 3, 5]
+
+
+def test_flat_conversations_win_over_other_columns(spark):
+    """Columns of another layout beside those of one row a turn don't make turns; roles of a
+    table are its own; fields that fit two mappings are an error."""
+    rows = [(1, 0, "human", "a", "i", "j", "k"), (1, 1, "gpt", None, "i", "j", "k")]
+    flat = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, instruction string, input string, output string")
+    assert sorted(map(tuple, chat.canonical_turns(flat).collect())) == [(1, 0, "human", "a"), (1, 1, "gpt", "")]
+    both = spark.createDataFrame([], "conv_id long, prompt string, response string, completion string")
+    with pytest.raises(ValueError, match="several layouts"):
+        chat.canonical_turns(both)
+    wider = spark.createDataFrame([(1, "s", "p", "r", 0)], "conv_id long, system string, prompt string, response string, x int")
+    assert [r.text for r in chat.canonical_turns(wider).orderBy("turn").collect()] == ["s", "p", "r"]
+    assert chat.canonical_turns(flat.limit(0)).collect() == []
+
+
+def test_remove_leaks_agrees_with_leaks_on_all_scripts(spark):
+    """Capitals whose lower case depends on the engine or the place (sigma, dotted i)."""
+    rnd = random.Random(12)
+    letters = "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩİÉẞ"
+    word = lambda: "".join(rnd.choice(letters) for _ in range(rnd.randint(2, 6))) + rnd.choice(("Σ", "", "İ"))
+    items = [(k, " ".join(word() for _ in range(30))) for k in range(5)]
+    docs = [(k, " ".join([*(word() for _ in range(20)), t, *(word() for _ in range(20))])) for k, t in items]
+    docs += [(10 + k, " ".join(word() for _ in range(60))) for k in range(5)] + [(20, None), (21, "")]
+    frame = spark.createDataFrame([(i, t, "clash") for i, t in docs], "doc_id long, text string, _low string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {r.doc_id for r in decontaminate.leaks(frame, bench).collect()}
+    kept = decontaminate.remove_leaks(frame, bench)
+    assert kept.columns == frame.columns
+    assert found == {0, 1, 2, 3, 4} and {r.doc_id for r in kept.collect()} == {i for i, _ in docs} - found
+    assert {r.text for r in kept.collect()} <= {t for _, t in docs}
+
+
+def test_samples_of_very_large_label_tables_are_not_empty(spark, monkeypatch):
+    from orderlens.llm import frames
+
+    rows = spark.range(50_000).withColumnRenamed("id", "doc_id")
+    assert 500 < frames.sampled(rows, "doc_id", 1_000).count() < 2_000 and frames.sampled(rows, "doc_id", 60_000).count() == 50_000
+
+    class Huge:  # what a table of 7e9 labels tells
+        def count(self):
+            return 7_000_000_000
+
+        def filter(self, condition):
+            return spark.range(1).select(condition.alias("c")).columns, str(condition)
+
+    _, condition = frames.sampled(Huge(), "id", 6_000)
+    assert "< 0" not in condition and str((1 << 62) * 6_000 // 7_000_000_000) in condition
+
+
+def test_differing_labels_of_one_id(spark):
+    from orderlens.llm import frames
+
+    rows = [(1, 0), (1, 1), (1, 1), (2, 0), (2, 0), (2, 1), (3, 0), (3, 1), (4, None), (None, 1), (5, 0), (5, None)]
+    got = frames.decided(spark.createDataFrame(rows, "doc_id long, toxic int"), "doc_id", "toxic", "label")
+    assert sorted(map(tuple, got.collect())) == [(1, 1), (2, 0), (3, 1), (5, 0)]

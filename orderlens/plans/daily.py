@@ -24,6 +24,7 @@ from ..sources.readers import read_zone, zone_path
 from ..sources.sinks import empty_partition, publish_tables, stamp_ingest, upsert_snapshots, write_batch, write_table
 from ..streaming.landing import STREAM_BATCH_COL
 from . import jobs
+from .sql_views import publish_views
 
 CLV_TABLE = "g_fact_customer_clv_daily"
 
@@ -177,6 +178,7 @@ def qc_and_publish(spark: SparkSession, zones: Zones, database: str | None = Non
     rows = quality.raise_if_failed(report)
     if database:
         publish_tables(spark, database, zones.gold, GOLD_TABLES, partitioned={CLV_TABLE: "snapshot_date"})
+        publish_views(spark, database)
     return rows
 
 

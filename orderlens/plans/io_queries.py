@@ -6,20 +6,23 @@ the engine's readers, and returns the result, so the SQL oracle checks what came
 """
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..contracts import ORDER_ITEM_OPTIONS_COLS
+from ..contracts import GOLD_TABLES, ORDER_ITEM_OPTIONS_COLS
 from ..functions.money import money_out
 from ..operators import calendar as cal_ops
 from ..operators import cleaning, clv, marts
-from ..session import prepare, scratch_path, stored
+from ..session import application_id, prepare, scratch_path, stored
 from ..sources import fixtures, versions
 from ..sources.readers import SourceSpec, read_csv, read_gold, read_source, read_zone, zone_path
 from ..sources.sinks import (publish_tables, read_published, stamp_ingest, upsert_snapshots,
                              write_batch, write_table)
 from . import daily, jobs
 from . import oracle as O
-from .queries import register, silver
+from .queries import VIEW_CATEGORIES, VIEW_LOCATIONS, build_silver_tables, oracle_sql, register, silver
+from .sql_views import publish_views
 
 # Fixed parameters of the round trips.
 BATCH_A = "2024-01-01"
@@ -273,3 +276,55 @@ def q_landing_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
                           daily.read_bronze_batch(spark, zones, "order_item_options"),
                           fixtures.DEV_APP_NAME)
     return _orders_out(s["s_orders"])
+
+
+# ------------------------------------------------------------------ views by plain SQL
+# Gold written and published once per (application, data folder).
+_PUBLISHED_GOLD: dict[tuple[str, str], str] = {}
+
+
+def published_gold(spark: SparkSession, sf_dir: str) -> str:
+    """The database of the Gold tables made from `sf_dir`."""
+    key = (application_id(spark), os.path.abspath(sf_dir))
+    if key not in _PUBLISHED_GOLD:
+        zones = daily.Zones("", build_silver_tables(spark, sf_dir), scratch_path(spark, "gold"))
+        daily.clv(spark, zones)
+        daily.marts(spark, zones)
+        database = f"orderlens_{zones.gold.rsplit('-', 1)[-1][:12]}"
+        publish_tables(spark, database, zones.gold, GOLD_TABLES, partitioned={daily.CLV_TABLE: "snapshot_date"})
+        _PUBLISHED_GOLD[key] = database
+    return _PUBLISHED_GOLD[key]
+
+
+_CATEGORIES, _LOCATIONS = ("array(" + ", ".join(f"'{v}'" for v in values) + ")" for values in (VIEW_CATEGORIES, VIEW_LOCATIONS))
+#: Registered name: (view and arguments, the query whose oracle says the same).
+SQL_VIEWS = {
+    "sql_clv_overview": ("v_clv_overview()", "clv_overview_kpis"),
+    "sql_clv_tiers": ("v_clv_tiers()", "clv_tier_split"),
+    "sql_top_customers": ("v_top_customers()", "top_customers"),
+    "sql_rfm_segments": ("v_rfm_segments()", "rfm_segments"),
+    "sql_rfm_score_mix": ("v_rfm_score_mix()", "rfm_score_mix"),
+    "sql_at_risk_share": ("v_at_risk_share(60)", "at_risk_share"),
+    "sql_churn_histogram": ("v_churn_histogram()", "churn_histogram"),
+    "sql_at_risk_customers": ("v_at_risk_customers()", "at_risk_customers"),
+    "sql_sales_filtered": (f"v_sales({_CATEGORIES}, {_LOCATIONS})", "sales_filtered"),
+    "sql_sales_monthly": ("v_sales_monthly()", "sales_monthly"),
+    "sql_sales_monthly_filtered": (f"v_sales_monthly({_CATEGORIES}, {_LOCATIONS})", "sales_monthly_filtered"),
+    "sql_sales_kpis": ("v_sales_kpis()", "sales_kpis"),
+    "sql_top_categories": ("v_top_categories()", "top_categories"),
+    "sql_loyalty_cohorts": ("v_loyalty_cohorts()", "loyalty_cohorts"),
+    "sql_location_kpis": ("v_location_kpis()", "location_kpis"),
+    "sql_addon_kpis": ("v_addon_kpis()", "addon_kpis"),
+    "sql_filter_values": ("v_filter_values()", "filter_values"),
+}
+
+
+def _register_sql_view(name: str, call: str, like: str) -> None:
+    @register(name, oracle_sql()[like])
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        publish_views(spark, published_gold(spark, sf_dir), temporary=True)
+        return spark.sql(f"SELECT * FROM {call}")
+
+
+for _name, (_call, _like) in SQL_VIEWS.items():
+    _register_sql_view(_name, _call, _like)

@@ -5,18 +5,15 @@ the fixture mapping and the cleaning rules in plain SQL, and computes the same r
 with plain window functions and aggregates — no rewrites. Agreement between the Spark
 plan and this SQL is the correctness check.
 
+The statements hold all constants of the rules as literals of their own, so a change of one
+in the engine shows as a difference.
+
 Conventions shared with the Spark side: money is exact DECIMAL(18,2) and published as
 DOUBLE; rounded ratios are exact integer arithmetic, half away from zero; every rank
 breaks ties by the id column; integer results are cast to the types Spark produces.
 """
 from __future__ import annotations
 
-from ..functions.holidays import HOLIDAY_RULES, OBSERVED_SUFFIX
-from ..operators.clv import TIER_HIGH, TIER_LOW, TIER_MEDIUM
-from ..operators.marts import (AT_RISK_DAYS, CHURN_PERIOD_DAYS, SEG_CHURN_RISK, SEG_NEW,
-                               SEG_OTHER, SEG_VIP)
-from ..sources import fixtures as fx
-
 
 def ratio(num: str, den: str, scale: int, num_scale: int = 0) -> str:
     """round(num/den, scale) half away from zero as DOUBLE, from integer SQL operands."""
@@ -37,58 +34,79 @@ def cents(x: str) -> str:
     return f"CAST(({x}) * 100 AS BIGINT)"
 
 
-def _spark_dow(d: str) -> str:
-    """Spark's dayofweek numbering (1 = Sunday … 7 = Saturday)."""
-    return f"(dayofweek({d}) + 1)"
+# The federal holidays of 1992 to 2002, the years of the driver's orders, and the
+# working days on which those of a weekend are observed.
+HOLIDAYS = {
+    "New Year's Day":
+        "1992-01-01 1993-01-01 1994-01-01 1995-01-01 1996-01-01 1997-01-01 "
+        "1998-01-01 1999-01-01 2000-01-01 2001-01-01 2002-01-01",
+    "New Year's Day (observed)":
+        "1993-12-31 1995-01-02 1999-12-31",
+    "Martin Luther King Jr. Day":
+        "1992-01-20 1993-01-18 1994-01-17 1995-01-16 1996-01-15 1997-01-20 "
+        "1998-01-19 1999-01-18 2000-01-17 2001-01-15 2002-01-21",
+    "Washington's Birthday":
+        "1992-02-17 1993-02-15 1994-02-21 1995-02-20 1996-02-19 1997-02-17 "
+        "1998-02-16 1999-02-15 2000-02-21 2001-02-19 2002-02-18",
+    "Memorial Day":
+        "1992-05-25 1993-05-31 1994-05-30 1995-05-29 1996-05-27 1997-05-26 "
+        "1998-05-25 1999-05-31 2000-05-29 2001-05-28 2002-05-27",
+    "Independence Day":
+        "1992-07-04 1993-07-04 1994-07-04 1995-07-04 1996-07-04 1997-07-04 "
+        "1998-07-04 1999-07-04 2000-07-04 2001-07-04 2002-07-04",
+    "Independence Day (observed)":
+        "1992-07-03 1993-07-05 1998-07-03 1999-07-05",
+    "Labor Day":
+        "1992-09-07 1993-09-06 1994-09-05 1995-09-04 1996-09-02 1997-09-01 "
+        "1998-09-07 1999-09-06 2000-09-04 2001-09-03 2002-09-02",
+    "Columbus Day":
+        "1992-10-12 1993-10-11 1994-10-10 1995-10-09 1996-10-14 1997-10-13 "
+        "1998-10-12 1999-10-11 2000-10-09 2001-10-08 2002-10-14",
+    "Veterans Day":
+        "1992-11-11 1993-11-11 1994-11-11 1995-11-11 1996-11-11 1997-11-11 "
+        "1998-11-11 1999-11-11 2000-11-11 2001-11-11 2002-11-11",
+    "Veterans Day (observed)":
+        "1995-11-10 2000-11-10 2001-11-12",
+    "Thanksgiving":
+        "1992-11-26 1993-11-25 1994-11-24 1995-11-23 1996-11-28 1997-11-27 "
+        "1998-11-26 1999-11-25 2000-11-23 2001-11-22 2002-11-28",
+    "Christmas Day":
+        "1992-12-25 1993-12-25 1994-12-25 1995-12-25 1996-12-25 1997-12-25 "
+        "1998-12-25 1999-12-25 2000-12-25 2001-12-25 2002-12-25",
+    "Christmas Day (observed)":
+        "1993-12-24 1994-12-26 1999-12-24",
+}
 
 
 def _holiday_sql() -> str:
-    parts = []
-    for rule in HOLIDAY_RULES:
-        kind, name, since = rule[0], rule[1].replace("'", "''"), rule[-1]
-        if kind == "fixed":
-            d = f"make_date(CAST(y AS BIGINT), {rule[2]}, {rule[3]})"
-            parts.append(f"SELECT {d} AS h_date, '{name}' AS holiday_name FROM years WHERE y >= {since}")
-            obs = (f"CASE {_spark_dow(d)} WHEN 7 THEN {d} - 1 WHEN 1 THEN {d} + 1 END")
-            parts.append(f"SELECT {obs} AS h_date, '{name}{OBSERVED_SUFFIX}' AS holiday_name "
-                         f"FROM years WHERE y >= {since}")
-        elif kind == "nth":
-            m, wd, n = rule[2], rule[3], rule[4]
-            first = f"make_date(CAST(y AS BIGINT), {m}, 1)"
-            d = f"{first} + CAST((({wd} - {_spark_dow(first)} + 7) % 7) + {7 * (n - 1)} AS INTEGER)"
-            parts.append(f"SELECT {d} AS h_date, '{name}' AS holiday_name FROM years WHERE y >= {since}")
-        else:
-            m, wd = rule[2], rule[3]
-            last = f"last_day(make_date(CAST(y AS BIGINT), {m}, 1))"
-            d = f"{last} - CAST((({_spark_dow(last)} - {wd} + 7) % 7) AS INTEGER)"
-            parts.append(f"SELECT {d} AS h_date, '{name}' AS holiday_name FROM years WHERE y >= {since}")
-    return "\n    UNION ALL ".join(parts)
+    rows = [f"(DATE '{day}', '{name.replace(chr(39), chr(39) * 2)}')" for name, days in HOLIDAYS.items() for day in days.split()]
+    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") AS h(h_date, holiday_name)"
 
 
-DEV = fx.DEV_APP_NAME.replace("'", "''")
+DEV = "shop - DEVELOPMENT"
 
 BASE = f"""
 WITH src_order_items AS (
   SELECT
-    CASE WHEN o.o_orderkey % {fx.DEV_ORDER_MODULUS} = 0
+    CASE WHEN o.o_orderkey % 251 = 0
          THEN CASE WHEN o.o_orderkey % 2 = 0 THEN '{DEV}' ELSE '  {DEV}  ' END
-         ELSE '{fx.LIVE_APP_NAME}' END                                   AS app_name,
-    concat('R', CAST(o.o_orderkey % {fx.LOCATIONS} AS VARCHAR))         AS restaurant_id,
+         ELSE 'shop' END                                   AS app_name,
+    concat('R', CAST(o.o_orderkey % 27 AS VARCHAR))         AS restaurant_id,
     concat(CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR), 'T10:00:00',
            CASE WHEN o.o_orderkey % 3 = 0 THEN 'Z' ELSE '.123Z' END)    AS creation_time_utc,
     CAST(o.o_orderkey AS VARCHAR)                                       AS order_id,
-    CASE WHEN o.o_custkey % {fx.GUEST_CUSTOMER_MODULUS} <> 0 THEN CAST(o.o_custkey AS VARCHAR)
+    CASE WHEN o.o_custkey % 11 <> 0 THEN CAST(o.o_custkey AS VARCHAR)
          WHEN o.o_orderkey % 3 = 0 THEN NULL
          WHEN o.o_orderkey % 3 = 1 THEN '' ELSE '   ' END               AS user_id,
     CASE WHEN o.o_orderpriority = '1-URGENT'
          THEN concat('C', CAST(o.o_custkey AS VARCHAR)) END             AS printed_card_number,
     CASE WHEN o.o_orderpriority = '1-URGENT' THEN 'TRUE' ELSE 'FALSE' END AS is_loyalty,
     'USD'                                                               AS currency,
-    CASE WHEN (l.l_orderkey * 7 + l.l_linenumber) % {fx.MALFORMED_MODULUS} = 0 THEN NULL
+    CASE WHEN (l.l_orderkey * 7 + l.l_linenumber) % 9973 = 0 THEN NULL
          ELSE concat(CAST(l.l_linenumber AS VARCHAR), '-', CAST(l.l_partkey AS VARCHAR),
                      '-', CAST(l.l_suppkey AS VARCHAR)) END             AS lineitem_id,
     p.p_type                                                            AS item_category,
-    CASE WHEN (l.l_orderkey * 7 + l.l_linenumber) % {fx.MALFORMED_MODULUS} = 0 THEN NULL
+    CASE WHEN (l.l_orderkey * 7 + l.l_linenumber) % 9973 = 0 THEN NULL
          ELSE p.p_name END                                              AS item_name,
     CAST(p.p_retailprice AS VARCHAR)                                    AS item_price,
     CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR)                      AS item_quantity
@@ -113,7 +131,7 @@ src_order_item_options AS (
   FROM src_opt_one
   UNION ALL
   SELECT order_id, lineitem_id, option_group_name, option_name, option_price, option_quantity
-  FROM src_opt_one WHERE k % {fx.OPTION_DUP_MODULUS} = 0
+  FROM src_opt_one WHERE k % 89 = 0
 ),
 s_items_0 AS (
   SELECT app_name, restaurant_id, creation_time_utc, order_id,
@@ -163,10 +181,6 @@ s_orders AS (
 idents AS (SELECT * FROM s_orders WHERE user_id IS NOT NULL),
 bounds AS (SELECT min(order_date) AS lo, max(order_date) AS hi FROM s_order_items),
 ad AS (SELECT max(order_date) AS d FROM s_orders),
-years AS (
-  SELECT CAST(y AS INTEGER) AS y
-  FROM bounds, generate_series(CAST(year(lo) AS BIGINT), CAST(year(hi) + 1 AS BIGINT)) AS g(y)
-),
 hol_rows AS (
     {_holiday_sql()}
 ),
@@ -195,7 +209,7 @@ SELECT user_id, snapshot_date, CAST(cum_net_revenue AS DOUBLE) AS cum_net_revenu
        CAST(date_diff('day', last_order_date, snapshot_date) AS INTEGER) AS recency_days,
        {ratio(cents('cum_net_revenue'), 'cum_orders', 2, 2)} AS avg_order_value,
        CASE ntile(5) OVER (PARTITION BY snapshot_date ORDER BY cum_net_revenue, user_id)
-            WHEN 5 THEN '{TIER_HIGH}' WHEN 1 THEN '{TIER_LOW}' ELSE '{TIER_MEDIUM}' END AS clv_tier
+            WHEN 5 THEN 'High' WHEN 1 THEN 'Low' ELSE 'Medium' END AS clv_tier
 FROM {state}"""
 
 
@@ -242,15 +256,15 @@ rfm_scored AS (
 ),
 rfm AS (
   SELECT user_id, recency, frequency, CAST(monetary AS DOUBLE) AS monetary, r_score, f_score, m_score,
-         CASE WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN '{SEG_VIP}'
-              WHEN r_score >= 4 AND f_score <= 2 THEN '{SEG_NEW}'
-              WHEN r_score <= 2 AND f_score <= 2 THEN '{SEG_CHURN_RISK}'
-              ELSE '{SEG_OTHER}' END AS rfm_segment,
+         CASE WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'VIP'
+              WHEN r_score >= 4 AND f_score <= 2 THEN 'New'
+              WHEN r_score <= 2 AND f_score <= 2 THEN 'Churn-Risk'
+              ELSE 'Other' END AS rfm_segment,
          CAST((SELECT d FROM ad) AS VARCHAR) AS analysis_date
   FROM rfm_scored
 )"""
 
-P = CHURN_PERIOD_DAYS
+P = 90
 CHURN = f"""churn_dates AS (SELECT DISTINCT user_id, order_date FROM idents),
 churn_gaps AS (
   SELECT user_id, date_diff('day', lag(order_date) OVER (PARTITION BY user_id ORDER BY order_date),
@@ -280,7 +294,7 @@ churn AS (
          CASE WHEN p.prior IS NULL OR p.prior = 0 THEN NULL
               ELSE {ratio(cents('coalesce(r.recent, 0)') + ' - ' + cents('p.prior'), cents('p.prior'), 3)}
          END AS pct_spend_change,
-         b.days_since_last_order > {AT_RISK_DAYS} AS at_risk_flag,
+         b.days_since_last_order > 45 AS at_risk_flag,
          b.orders
   FROM churn_base b
   LEFT JOIN churn_gap_avg g ON b.user_id = g.user_id

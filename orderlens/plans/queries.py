@@ -246,7 +246,7 @@ def q_clv_overview_kpis(spark, sf_dir):
 
 
 _TIERS_SQL = " UNION ALL ".join(f"SELECT '{t}' AS clv_tier, {i + 1} AS tier_order"
-                                for i, t in enumerate(views.TIER_ORDER))
+                                for i, t in enumerate(("High", "Medium", "Low")))
 
 
 @register("clv_tier_split", O.with_(O.CLV_DAILY, _LATEST, select=f"""
@@ -260,7 +260,7 @@ def q_clv_tier_split(spark, sf_dir):
 
 @register("top_customers", O.with_(O.CLV_DAILY, _LATEST, select=f"""
 SELECT user_id, cum_net_revenue, cum_orders, avg_order_value, recency_days, clv_tier
-FROM clv_latest ORDER BY cum_net_revenue DESC, user_id LIMIT {views.TOP_CUSTOMERS}"""))
+FROM clv_latest ORDER BY cum_net_revenue DESC, user_id LIMIT 15"""))
 def q_top_customers(spark, sf_dir):
     return views.top_customers(clv.clv_daily(silver(spark, sf_dir)["s_orders"]))
 
@@ -296,7 +296,9 @@ def q_at_risk_share(spark, sf_dir):
 
 
 _BINS_SQL = " UNION ALL ".join(f"SELECT '{n}' AS bin, {i + 1} AS bin_order, {lo} AS lo, {hi} AS hi"
-                               for i, (n, lo, hi) in enumerate(views.CHURN_BINS))
+                               for i, (n, lo, hi) in enumerate((
+                                   ("0-15", 0, 15), ("16-30", 15, 30), ("31-45", 30, 45), ("46-60", 45, 60),
+                                   ("61-90", 60, 90), ("91-180", 90, 180), ("180+", 180, 10000))))
 
 
 @register("churn_histogram", O.with_(O.CHURN, select=f"""
@@ -310,8 +312,8 @@ def q_churn_histogram(spark, sf_dir):
 
 @register("at_risk_customers", O.with_(O.CHURN, select=f"""
 SELECT user_id, days_since_last_order, avg_inter_order_gap_days, orders FROM churn
-WHERE days_since_last_order > {views.DEFAULT_AT_RISK_THRESHOLD}
-ORDER BY days_since_last_order DESC, user_id LIMIT {views.AT_RISK_LIST}"""))
+WHERE days_since_last_order > 45
+ORDER BY days_since_last_order DESC, user_id LIMIT 200"""))
 def q_at_risk_customers(spark, sf_dir):
     return views.at_risk_customers(marts.build_churn(silver(spark, sf_dir)["s_orders"]))
 
@@ -360,13 +362,13 @@ def q_sales_kpis(spark, sf_dir):
 @register("top_categories", O.with_(O.SALES, select=f"""
 SELECT item_category, CAST(CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS DOUBLE) AS net_revenue
 FROM sales WHERE item_category IS NOT NULL GROUP BY item_category
-ORDER BY sum(CAST(net_revenue AS DECIMAL(18,2))) DESC, item_category LIMIT {views.TOP_CATEGORIES}"""))
+ORDER BY sum(CAST(net_revenue AS DECIMAL(18,2))) DESC, item_category LIMIT 15"""))
 def q_top_categories(spark, sf_dir):
     return views.top_categories(_sales(spark, sf_dir))
 
 
 @register("loyalty_cohorts", O.with_(O.LOYALTY, select=f"""
-SELECT CASE WHEN is_loyalty THEN '{views.LOYALTY_LABEL}' WHEN NOT is_loyalty THEN '{views.NON_LOYALTY_LABEL}' END
+SELECT CASE WHEN is_loyalty THEN 'Loyalty' WHEN NOT is_loyalty THEN 'Non-loyalty' END
          AS cohort, avg_clv, avg_spend, avg_orders_per_customer, repeat_order_rate, customers
 FROM loyalty"""))
 def q_loyalty_cohorts(spark, sf_dir):
@@ -408,12 +410,20 @@ def q_calendar_coverage(spark, sf_dir):
     return quality.calendar_gaps(s["s_orders"], s["s_date_dim"])
 
 
+@register("calendar_coverage_gaps", O.with_("x AS (SELECT 1)", select="""
+SELECT DISTINCT order_date FROM s_orders WHERE order_date > DATE '1997-12-31' OR month(order_date) = 7"""))
+def q_calendar_coverage_gaps(spark, sf_dir):
+    """A calendar that ends with 1997 and lacks each July: the order dates outside it."""
+    s = silver(spark, sf_dir)
+    short = s["s_date_dim"].filter((F.col("date_key") <= "1997-12-31") & (F.col("month") != 7))
+    return quality.calendar_gaps(s["s_orders"], short)
+
+
 @register("qc_report", O.with_(O.CLV_DAILY, O.SALES, _LATEST, select=f"""
 SELECT 'silver_order_items_count' AS gate,
-       count(*) = (SELECT count(*) FROM src_order_items)
-                  - (SELECT count(*) FROM src_order_items WHERE lineitem_id IS NULL OR item_name IS NULL)
-                  - (SELECT count(*) FROM src_order_items
-                     WHERE lineitem_id IS NOT NULL AND item_name IS NOT NULL AND trim(app_name) = '{O.DEV}') AS passed,
+       count(*) = (SELECT count(*) - count(*) FILTER (lineitem_id IS NULL OR item_name IS NULL)
+                          - count(*) FILTER (lineitem_id IS NOT NULL AND item_name IS NOT NULL AND trim(app_name) = '{O.DEV}')
+                   FROM src_order_items) AS passed,
        CAST(count(*) AS DOUBLE) AS observed
 FROM s_order_items
 UNION ALL
@@ -421,13 +431,13 @@ SELECT 'calendar_missing_dates', count(*) = 0, CAST(count(*) AS DOUBLE)
 FROM (SELECT DISTINCT o.order_date FROM s_orders o
       WHERE NOT EXISTS (SELECT 1 FROM s_date_dim c WHERE c.date_key = o.order_date))
 UNION ALL
-SELECT 'clv_high_tier_share', coalesce(x BETWEEN {quality.TIER_SHARE_LO} AND {quality.TIER_SHARE_HI}, false), x
-FROM (SELECT (count(*) FILTER (WHERE clv_tier = '{clv.TIER_HIGH}')) / count(*) AS x FROM clv_latest)
+SELECT 'clv_high_tier_share', coalesce(x BETWEEN 0.18 AND 0.22, false), x
+FROM (SELECT (count(*) FILTER (WHERE clv_tier = 'High')) / count(*) AS x FROM clv_latest)
 UNION ALL
-SELECT 'clv_low_tier_share', coalesce(x BETWEEN {quality.TIER_SHARE_LO} AND {quality.TIER_SHARE_HI}, false), x
-FROM (SELECT (count(*) FILTER (WHERE clv_tier = '{clv.TIER_LOW}')) / count(*) AS x FROM clv_latest)
+SELECT 'clv_low_tier_share', coalesce(x BETWEEN 0.18 AND 0.22, false), x
+FROM (SELECT (count(*) FILTER (WHERE clv_tier = 'Low')) / count(*) AS x FROM clv_latest)
 UNION ALL
-SELECT 'net_minus_gross', coalesce(x >= -{quality.NET_GROSS_SLACK}, false), x
+SELECT 'net_minus_gross', coalesce(x >= -0.01, false), x
 FROM (SELECT CAST(CAST(sum(CAST(net_revenue AS DECIMAL(18,2))) - sum(CAST(gross_revenue AS DECIMAL(18,2)))
                        AS DECIMAL(18,2)) AS DOUBLE) AS x FROM sales)"""))
 def q_qc_report(spark, sf_dir):
@@ -480,6 +490,18 @@ def q_grain_duplicates(spark, sf_dir):
     return profile.grain_duplicates(silver(spark, sf_dir)["s_order_items"])
 
 
+@register("grain_duplicates_found", O.with_("x AS (SELECT 1)", select="""
+SELECT order_id, lineitem_id, sum(n)::BIGINT AS copies
+FROM (SELECT order_id, lineitem_id, 1 AS n FROM s_order_items
+      UNION ALL SELECT order_id, lineitem_id, 2 FROM s_order_items WHERE CAST(order_id AS BIGINT) % 10 = 0)
+GROUP BY order_id, lineitem_id HAVING sum(n) > 1"""))
+def q_grain_duplicates_found(spark, sf_dir):
+    """Lines of which a tenth landed three times."""
+    items = silver(spark, sf_dir)["s_order_items"]
+    again = items.filter(F.col("order_id").cast("long") % 10 == 0)
+    return profile.grain_duplicates(items.unionByName(again).unionByName(again))
+
+
 @register("orders_by_year", O.with_("x AS (SELECT 1)", select="""
 SELECT CAST(year(order_date) AS INTEGER) AS year, count(DISTINCT order_id) AS orders,
        count(DISTINCT order_id) / (SELECT count(DISTINCT order_id) FROM s_orders) AS share

@@ -1,6 +1,6 @@
 """Source profiling: the integrity figures published about the raw extract.
 
-One aggregate for the counts. Medians are actual data values (the lower middle one for an
+One aggregate for the plain counts, one for the distinct ones. Medians are actual data values (the lower middle one for an
 even count), found as cut points.
 """
 from __future__ import annotations
@@ -11,6 +11,7 @@ from ..functions.money import parse_price, parse_quantity
 from ..functions.timeparse import parse_iso_ts
 from .cleaning import standardize_casing
 from .cutpoints import key_cuts
+from .distinct import distinct_counts
 
 
 _MICRO = 1_000_000  # prices have six places
@@ -36,11 +37,6 @@ def source_profile(raw_items: DataFrame) -> DataFrame:
                    price.cast("double").alias("_price"), qty.alias("_qty"), (price * qty).alias("_gross"))
     g = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count_distinct("order_id").alias("distinct_orders"),
-        F.count_distinct(F.when(~F.col("_guest"), F.col("user_id"))).alias("distinct_users"),
-        F.count_distinct("restaurant_id").alias("distinct_locations"),
-        F.count_distinct("item_category").alias("distinct_categories"),
-        F.count_distinct("currency").alias("distinct_currencies"),
         F.count_if(F.col("_guest")).alias("guest_lines"),
         F.count_if(F.col("item_category").isNull()).alias("null_categories"),
         F.count_if(F.col("printed_card_number").isNull()).alias("null_cards"),
@@ -54,8 +50,12 @@ def source_profile(raw_items: DataFrame) -> DataFrame:
         F.count_if(F.col("_price").isNull()).alias("unparsed_price_lines"),
         F.round(F.sum("_gross"), 2).cast("double").alias("gross_revenue"),
     )
+    different = distinct_counts(df, {
+        "distinct_orders": F.col("order_id"), "distinct_users": F.when(~F.col("_guest"), F.col("user_id")),
+        "distinct_locations": F.col("restaurant_id"), "distinct_categories": F.col("item_category"), "distinct_currencies": F.col("currency")})
+    found = different.select(F.struct("*")).scalar()
     price_median, qty_median = medians
-    return g.select("*", (F.lit(price_median).cast("decimal(38,0)") / _MICRO).cast("double").alias("price_median"),
+    return g.withColumn("_d", found).select(*g.columns, *[F.col("_d")[c].alias(c) for c in different.columns], (F.lit(price_median).cast("decimal(38,0)") / _MICRO).cast("double").alias("price_median"),
                     F.lit(None if qty_median is None else qty_median // _MICRO).cast("int").alias("qty_median"),
                     F.try_divide(F.col("guest_lines"), F.col("rows")).alias("guest_share"),
                     F.try_divide(F.col("null_cards"), F.col("rows")).alias("null_card_share"))

@@ -16,7 +16,7 @@ from ..operators import calendar as cal_ops
 from ..operators import cleaning, clv, marts
 from ..session import application_id, prepare, scratch_path, stored
 from ..sources import fixtures, versions
-from ..sources.readers import SourceSpec, read_csv, read_gold, read_source, read_zone, zone_path
+from ..sources.readers import SourceSpec, read_csv, read_csv_groups, read_gold, read_source, read_zone, zone_path
 from ..sources.sinks import (publish_tables, read_published, stamp_ingest, upsert_snapshots,
                              write_batch, write_table)
 from . import daily, jobs
@@ -100,6 +100,42 @@ def q_csv_multiline_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "order_date", "is_guest", money_out("gross_line").alias("gross_line"))
 
 
+def _mixed_csv(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of option extracts: files with the columns in contract order, files with them
+    backwards and one more, and files with lines of two and of eight fields."""
+    prepare(spark)
+    root = scratch_path(spark, "csv-mixed")
+    raw = fixtures.order_item_options(spark, sf_dir)
+    half = F.crc32("order_id") % 2
+    _to_csv(raw.filter(half == 0), f"{root}/a")
+    _to_csv(raw.filter(half == 1).select(F.lit("x").alias("extra"), *reversed(ORDER_ITEM_OPTIONS_COLS)), f"{root}/b")
+    broken = spark.read.parquet(f"{sf_dir}/lineitem.parquet").filter("l_orderkey % 50 = 0")
+    key = F.concat_ws(",", "l_orderkey", "l_linenumber")
+    lines = broken.select(F.when(F.col("l_linenumber") == 1, F.concat(key, F.lit(",a,b,c,d,e,f"))).otherwise(key)
+                          .alias(",".join(ORDER_ITEM_OPTIONS_COLS).upper()))
+    lines.write.option("header", True).option("sep", "|").option("quote", "\0").option("escapeQuotes", False).csv(f"{root}/c")
+    return f"{root}/*"
+
+
+@register("csv_header_groups", O.with_("x AS (SELECT 1)", select=_OPTIONS_SQL))
+def q_csv_header_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one folder with different headers, read by their own and united by name."""
+    s = cleaning.clean_order_item_options(read_csv_groups(spark, _mixed_csv(spark, sf_dir), ORDER_ITEM_OPTIONS_COLS).rows)
+    return s.select("order_id", "lineitem_id", "option_group_name", "option_name",
+                    money_out("option_price").alias("option_price"), "option_quantity",
+                    money_out("option_line").alias("option_line"))
+
+
+@register("csv_rejects", """
+SELECT CASE WHEN l_linenumber = 1 THEN 'too many fields' ELSE 'too few fields' END AS reason,
+       count(*) AS lines, min(concat(l_orderkey, ',', l_linenumber, CASE WHEN l_linenumber = 1 THEN ',a,b,c,d,e,f' ELSE '' END)) AS first_line
+FROM lineitem WHERE l_orderkey % 50 = 0 GROUP BY 1""")
+def q_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are no rows, by reason."""
+    rejects = read_csv_groups(spark, _mixed_csv(spark, sf_dir), ORDER_ITEM_OPTIONS_COLS).rejects
+    return rejects.groupBy("reason").agg(F.count("file").alias("lines"), F.min("line").alias("first_line"))
+
+
 @register("bronze_stamp", O.with_("x AS (SELECT 1)", select=f"""
 SELECT *, 'parquet' AS source, DATE '{BATCH_A}' AS batch_date FROM src_order_items"""))
 def q_bronze_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:

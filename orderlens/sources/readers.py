@@ -6,12 +6,18 @@ selected by name (so a reordered file still maps correctly).
 """
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..contracts import GOLD_TABLES, SOURCE_COLUMNS
 from ..operators.cleaning import standardize_casing
+from ..session import stored
 from . import versions
 
 
@@ -28,6 +34,62 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
     return df.select(*columns) if columns else df
 
 
+class CsvRead(NamedTuple):
+    """Rows that could be read, by contract; lines that couldn't, with file and reason."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def csv_headers(spark: SparkSession, path: str, threads: int = 16) -> dict[tuple[str, ...], list[str]]:
+    """The files of a folder or pattern by their header, lower-cased: one short read a file, of
+    the list of files that every reader of the folder makes. A file without a line has no header."""
+    def first_line(file: str) -> str | None:
+        at = spark._jvm.org.apache.hadoop.fs.Path(file)
+        stream = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).open(at)
+        try:
+            return spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+        finally:
+            stream.close()
+
+    files = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        lines = list(pool.map(first_line, files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, line in zip(files, lines):
+        if line:
+            header = tuple(c.strip().lower() for c in next(csv.reader([line.removeprefix("\ufeff")])))
+            groups.setdefault(header, []).append(file)
+    return groups
+
+
+def read_csv_groups(spark: SparkSession, path: str, columns: list[str], multiline: bool = False) -> CsvRead:
+    """Header CSV files that order their columns differently, or have more of them: each group
+    of files with one header is read by it, and the groups are united by name. A line with too
+    few or too many fields is no row; it is written to the shared scratch folder as text, with its
+    file and the reason. A file that lacks a contract column is an error."""
+    rows, rejects = [], []
+    for header, files in csv_headers(spark, path).items():
+        if missing := sorted({*columns} - {*header}):
+            raise ValueError(f"{files[0]} and {len(files) - 1} more lack the columns {missing}")
+        kind = StructType([StructField(c, StringType()) for c in (*header, _BAD)])
+        r = spark.read.schema(kind).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).option("columnPruning", False)
+        if multiline:
+            r = r.option("multiLine", True).option("quote", '"').option("escape", '"')
+        df = r.csv(files).select("*", F.col("_metadata.file_path").alias("_file"))
+        # Absent trailing fields are null; a line with too many fills all of them.
+        reason = F.when(F.col(f"`{header[-1]}`").isNull(), F.lit("too few fields")).otherwise(F.lit("too many fields"))
+        rows.append(df.filter(F.col(_BAD).isNull()).select(*columns))
+        rejects.append(df.filter(F.col(_BAD).isNotNull()).select(F.col("_file").alias("file"), reason.alias("reason"), F.col(_BAD).alias("line")))
+    if not rows:
+        empty = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+        return CsvRead(empty, spark.createDataFrame([], "file string, reason string, line string"))
+    return CsvRead(reduce(DataFrame.unionByName, rows), stored(reduce(DataFrame.unionByName, rejects), "csv-rejects"))
+
+
+_BAD = "_bad_line"
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, user: str, password: str,
               driver: str | None = None, partition_column: str | None = None,
               lower_bound: int | None = None, upper_bound: int | None = None,

@@ -7,7 +7,7 @@ E = importlib.import_module("__spark_entry__")
 IO_QUERIES = {"casing", "csv_scan", "csv_multiline_scan", "bronze_stamp", "batch_overwrite",
               "zone_overwrite", "snapshot_upsert", "write_row_counts", "publish_catalog",
               "daily_reload", "landing_stream_ingest", "publish_partitions", "clv_refresh_append",
-              "clv_refresh_correction", "gold_read"}
+              "clv_refresh_correction", "gold_read", "csv_header_groups", "csv_rejects"}
 
 
 def plan_of(df) -> str:

@@ -47,7 +47,7 @@ from .periodic import joined
 #: Shards of a cycle, longest phrase, least number of occurrences, rows for each language.
 SHARDS, LONGEST, SUPPORT, TOP = 2, 5, 100, 2000
 #: Size of the broadcast filter in bits (a power of two) and bytes of text counted at once.
-FILTER_BITS, CHUNK = 1 << 26, 8 << 20
+FILTER_BITS, CHUNK = 1 << 26, 4 << 20
 #: A language's rows are ranked in so many parts first.
 PARTS = 64
 UNKNOWN = "und"

@@ -235,6 +235,53 @@ SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM o WHERE rank
 """
 
 
+_REACHED = """
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a, min(b) AS b FROM r GROUP BY a)"""
+
+_ORACLE["op2_near_dedup"] = rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))
+                                           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS g
+  FROM t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 75 * (x.n + y.n - c)),{_REACHED}
+SELECT t.doc_id, coalesce(n.n, 0) AS n_shingles, least(t.doc_id, coalesce(m.b, t.doc_id)) AS component_id,
+       t.doc_id = least(t.doc_id, coalesce(m.b, t.doc_id)) AS kept
+FROM t LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.a = t.doc_id
+"""
+
+_ORACLE["op4_embedding_dedup"] = f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+g AS (
+  SELECT * FROM v
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM g x JOIN g y ON x.label = y.label AND len(x.e) = len(y.e) AND x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.93),{_REACHED}
+SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.a = v.vec_id) AS n_links,
+       least(v.vec_id, coalesce(m.b, v.vec_id)) AS component_id, v.vec_id = least(v.vec_id, coalesce(m.b, v.vec_id)) AS kept
+FROM v LEFT JOIN m ON m.a = v.vec_id
+"""
+
+_ORACLE["op8_substring_dedup"] = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM t)),
+rep AS (SELECT doc_id, i FROM win QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM rep, (SELECT unnest(range(20)) AS j)),
+x AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM t),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS k, count(*) AS n FROM x ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT t.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM t LEFT JOIN kept USING (doc_id)
+"""
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_QUERIES)
 

@@ -2,8 +2,10 @@
 
 Inputs of a text: hashed words (their share of the text, `DIMS` hashes), and statistics of
 its structure and size (`STATS`): shares of capitals, digits, symbols and spaces, word and
-line lengths, repetition of words and of whole lines, decorated words, length. The score is
-a logistic function of w0 + sum w_i x_i + sum_(i<j) <v_i, v_j> x_i x_j with rank `RANK`
+line lengths, repetition of words and of whole lines, decorated words, length; and metadata, if
+columns are named: each (column, value) is one hashed feature among the words, a number by its
+sign and order of magnitude, a null as a value of its own. So words, structure and metadata
+all interact. The score is a logistic function of w0 + sum w_i x_i + sum_(i<j) <v_i, v_j> x_i x_j with rank `RANK`
 vectors v; the pairwise sum is computed in linear time as half the sum over factors of
 (sum v x)^2 - sum (v x)^2.
 
@@ -12,19 +14,21 @@ and whole texts. Its size is DIMS x (RANK + 1) numbers, whatever the corpus.
 
 Results for edge cases: a null or empty text has zero words and statistics and gets the
 score of that point; rows without a label aren't learned from, of an id's differing labels the
-more frequent one counts (1 if equally frequent); with no labels every score is 0.5; repeated rows get their result each time; other columns are ignored.
+more frequent one counts (1 if equally frequent); with no labels every score is 0.5; repeated
+rows get their result each time; columns that aren't named are ignored.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import NumericType
 
 from . import kernel as K
-from .frames import decided, map_texts, sampled
+from .frames import decided, sampled
 
 DIMS, RANK, SAMPLE = 1 << 13, 8, 6_000
 EPOCHS, RATE, DECAY, SEED = 12, 0.05, 1e-4, 7
@@ -89,6 +93,32 @@ def features(texts: K.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return owner, word, times / every[owner], stats
 
 
+def _hashed_metadata(docs: DataFrame, columns: Sequence[str]) -> Column:
+    """array<int>: the feature of each named column's value."""
+    def value(c: str) -> Column:
+        if not isinstance(docs.schema[c].dataType, NumericType):
+            return docs[c].cast("string")
+        x = docs[c].cast("double")
+        return F.concat(F.signum(x).cast("int").cast("string"), F.lit(":"), F.floor(F.log2(1 + F.abs(x))).cast("string"))
+
+    each = [F.pmod(F.xxhash64(F.lit(f"metadata {c}"), value(c)), F.lit(DIMS)).cast("int") for c in columns]
+    return F.array(*each) if each else F.array().cast("array<int>")
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str, metadata: Sequence[str]) -> DataFrame:
+    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"), _hashed_metadata(docs, metadata).alias("metadata"))
+
+
+def _inputs(text: pa.Array, metadata: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """`features` with those of the metadata among the words."""
+    doc, word, value, stats = features(K.texts_of(text))
+    more = np.asarray(metadata.flatten(), dtype=np.int64)
+    owner = np.repeat(np.arange(len(metadata)), len(more) // max(len(metadata), 1))
+    doc = np.concatenate((doc, owner))
+    order = np.argsort(doc, kind="stable")
+    return doc[order], np.concatenate((word, more))[order], np.concatenate((value, np.ones(len(more))))[order], stats
+
+
 def _sums(x_doc, x_word, x_value, n: int, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each text and factor: the sum of v x, and of its squares."""
     each = v[x_word] * x_value[:, None]
@@ -142,16 +172,17 @@ def train(doc: np.ndarray, word: np.ndarray, value: np.ndarray, stats: np.ndarra
     return Model(mean, sd, w0, w, v)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+        metadata: Sequence[str] = ()) -> Model | None:
     rows = decided(labels, id_col, label_col, "label")
     rows = sampled(rows, "id", SAMPLE)
-    texts = (docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
-             .join(F.broadcast(rows), "id").select("id", "label", "text"))  # bounded: SAMPLE rows
+    texts = (_texts(docs, id_col, text_col, metadata)
+             .join(F.broadcast(rows), "id").select("id", "label", "text", "metadata"))  # bounded: SAMPLE rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in K.chunks(batch):
-                doc, word, value, stats = features(K.texts_of(part.column(2)))
+                doc, word, value, stats = _inputs(part.column(2), part.column(3))
                 at = np.searchsorted(doc, np.arange(part.num_rows + 1))
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1),
@@ -180,12 +211,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Model(flat[:s], flat[s:2 * s], float(flat[2 * s]), flat[2 * s + 1:2 * s + 1 + size], flat[2 * s + 1 + size:].reshape(size, RANK))
 
 
-def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score double): the chance that the label is 1."""
-    def rows(part: pa.RecordBatch):
-        if model is None:
-            return [part.column(0), pa.array(np.full(part.num_rows, 0.5))]
-        y, _, _ = _logits(model, *features(K.texts_of(part.column(1))))
-        return [part.column(0), pa.array(1 / (1 + np.exp(-np.clip(y, -30, 30))))]
-
-    return map_texts(docs, id_col, text_col, "score double", rows)
+def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", metadata: Sequence[str] = ()) -> DataFrame:
+    """(id, score double): the chance that the label is 1. `metadata` as in `fit`."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in K.chunks(batch):
+                made = np.full(part.num_rows, 0.5)
+                if model is not None:
+                    y, _, _ = _logits(model, *_inputs(part.column(1), part.column(2)))
+                    made = 1 / (1 + np.exp(-np.clip(y, -30, 30)))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made)], names=["id", "score"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return _texts(docs, id_col, text_col, metadata).mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)

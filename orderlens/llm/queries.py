@@ -97,14 +97,16 @@ l AS (
 SELECT doc_id, CAST(len(found) AS BIGINT) AS n_licenses, array_to_string(found, ',') AS licenses FROM l
 """
 QUALITY_AT = 0.3
+#: source and lang are no inputs of a quality score.
+QUALITY_METADATA = ("n_chars",)
 
 
 @register
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = F.coalesce(fold_of("doc_id", 5) == 0, F.lit(False))
-    model = quality.fit(docs, table(spark, sf_dir, "labels").filter(~held))
-    return quality.score(docs, model).select(
+    model = quality.fit(docs, table(spark, sf_dir, "labels").filter(~held), metadata=QUALITY_METADATA)
+    return quality.score(docs, model, metadata=QUALITY_METADATA).select(
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= QUALITY_AT).cast("int").alias("predicted"))
 
 

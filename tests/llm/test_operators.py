@@ -367,3 +367,38 @@ def test_differing_labels_of_one_id(spark):
     rows = [(1, 0), (1, 1), (1, 1), (2, 0), (2, 0), (2, 1), (3, 0), (3, 1), (4, None), (None, 1), (5, 0), (5, None)]
     got = frames.decided(spark.createDataFrame(rows, "doc_id long, toxic int"), "doc_id", "toxic", "label")
     assert sorted(map(tuple, got.collect())) == [(1, 1), (2, 0), (3, 1), (5, 0)]
+
+
+def test_quality_sums_equal_plain_python():
+    """The linear-time pairwise sum against all pairs, metadata among the features."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    texts = pa.array(["One two two. THREE!", None, "", "x " * 60, "É é 1 2\nline\nline"])
+    meta = pa.array([[5, 9], [5, 7], [1, 9], [5, 9], [2, 2]], pa.list_(pa.int32()))
+    doc, word, value, stats = quality._inputs(texts, meta)
+    size = quality.DIMS + len(quality.STATS)
+    m = quality.Model(stats.mean(axis=0), stats.std(axis=0) + 0.1, 0.3, rng.normal(size=size), rng.normal(size=(size, quality.RANK)))
+    got, _, _ = quality._logits(m, doc, word, value, stats)
+    for d in range(5):
+        x = [(int(k), float(v)) for k, v in zip(word[doc == d], value[doc == d])]
+        x += [(quality.DIMS + k, min(max(float(z), -4.0), 4.0)) for k, z in enumerate((stats[d] - m.mean) / m.sd)]
+        want = m.w0 + sum(m.w[k] * v for k, v in x)
+        want += sum(float(m.v[x[i][0]] @ m.v[x[j][0]]) * x[i][1] * x[j][1] for i in range(len(x)) for j in range(i + 1, len(x)))
+        assert abs(got[d] - want) < 1e-8
+    assert set(word[doc == 1]) == {5, 7}
+
+
+def test_quality_learns_from_metadata(spark):
+    """Labels that follow from a word and a column together, and from neither alone."""
+    rnd = random.Random(9)
+    rows, labels = [], []
+    for i in range(1200):
+        word, kind = rnd.choice(("alpha", "beta")), rnd.choice(("web", "book", None))
+        rows.append((i, " ".join([word] * 5 + [f"w{rnd.randrange(50)}" for _ in range(5)]), kind, 10 ** rnd.randint(0, 4)))
+        labels.append((i, int((word == "alpha") == (kind == "web"))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kind string, size int")
+    told = spark.createDataFrame(labels, "doc_id long, quality int")
+    right = lambda meta: sum((r.score > 0.5) == bool(dict(labels)[r.doc_id]) for r in quality.score(
+        docs, quality.fit(docs, told, metadata=meta), metadata=meta).collect()) / len(rows)
+    assert right(("kind", "size")) > 0.9 > 0.75 > right(("size",))

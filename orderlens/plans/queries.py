@@ -35,6 +35,8 @@ def register(name: str, sql: str | None = None):
 # Silver written once per (application, data folder): every Gold query reads it back,
 # as the daily chain does, instead of re-cleaning the raw tables per query.
 _SILVER_ROOTS: dict[tuple[str, str], str] = {}
+# The figures observed while it was written, for the quality gates.
+_SILVER_FIGURES: dict[tuple[str, str], dict] = {}
 
 
 def silver_lazy(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -55,11 +57,18 @@ def build_silver_tables(spark: SparkSession, sf_dir: str) -> str:
         root = scratch_path(spark, "silver")
         daily.write_silver(spark, fixtures.order_items(spark, sf_dir),
                            fixtures.order_item_options(spark, sf_dir),
-                           fixtures.DEV_APP_NAME, root)
+                           fixtures.DEV_APP_NAME, root, _SILVER_FIGURES.setdefault(key, {}))
         _SILVER_ROOTS[key] = root
     return root
 
 
+def expected_lines(spark: SparkSession, sf_dir: str) -> int:
+    """The lines that Silver must hold: those read, less those dropped for a reason, counted
+    while Silver was written."""
+    build_silver_tables(spark, sf_dir)
+    return _SILVER_FIGURES[application_id(spark), os.path.abspath(sf_dir)]["expected"]
+
+
 def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     if os.environ.get("ORDERLENS_SILVER", "materialize") == "lazy":
         return silver_lazy(spark, sf_dir)
@@ -445,7 +454,7 @@ def q_qc_report(spark, sf_dir):
     return quality.qc_report(s["s_order_items"], s["s_orders"], s["s_date_dim"],
                              clv.clv_daily(s["s_orders"]),
                              marts.build_sales_trends(s["s_order_lines"], s["s_date_dim"]),
-                             raw_items=fixtures.order_items(spark, sf_dir), dev_app_name=fixtures.DEV_APP_NAME)
+                             expected_items=expected_lines(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ source profile

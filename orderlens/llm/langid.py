@@ -61,6 +61,7 @@ def counts(texts: K.Texts) -> np.ndarray:
     doc = np.repeat(np.arange(n, dtype=np.int64) * DIMS, np.diff(texts.offsets))
     keep = np.ones(size, dtype=bool)  # a run of separators is one
     keep[1:] = (b[1:] != 32) | (b[:-1] != 32)
+    keep[texts.offsets[:-1][np.diff(texts.offsets) > 0]] = True  # whatever the text before ends with
     b, doc = b[keep], doc[keep]
     code = (b[:-2] << np.uint32(16) | b[1:-1] << np.uint32(8) | b[2:]) * np.uint32(2654435761) >> np.uint32(32 - 11)
     inside = doc[:-2] == doc[2:]

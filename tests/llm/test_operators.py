@@ -402,3 +402,38 @@ def test_quality_learns_from_metadata(spark):
     right = lambda meta: sum((r.score > 0.5) == bool(dict(labels)[r.doc_id]) for r in quality.score(
         docs, quality.fit(docs, told, metadata=meta), metadata=meta).collect()) / len(rows)
     assert right(("kind", "size")) > 0.9 > 0.75 > right(("size",))
+
+
+def test_language_predictions_equal_plain_python(spark):
+    """Trigram vectors, cosines and the nearest centroid, computed text by text."""
+    rnd = random.Random(21)
+    letters = {"xx": "abcde  ", "yy": "efghi  ", "zz": "éüaeiß  "}
+    make = lambda lang, n: "".join(rnd.choice(letters[lang]) for _ in range(n))
+    train = [(i, make(lang, rnd.randint(5, 200)), lang) for i, lang in enumerate(list(letters) * 60)]
+    docs = spark.createDataFrame(train, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    tests = [(1000 + i, make(rnd.choice(list(letters)), rnd.randint(0, 300))) for i in range(60)]
+    tests += [(2000, None), (2001, ""), (2002, "12 34"), (2003, "A  B--c"), (2004, "é"), (2005, make("zz", 60_000))]
+
+    def plain(text):
+        folded = [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in (text or "").encode()]
+        folded = [b for k, b in enumerate(folded) if b != 32 or k == 0 or folded[k - 1] != 32]
+        v = [0.0] * langid.DIMS
+        for x, y, z in zip(folded, folded[1:], folded[2:]):
+            v[((x << 16 | y << 8 | z) * 2654435761 & 0xFFFFFFFF) >> 21] += 1
+        v = [n * float(w) for n, w in zip(v, model.idf)]
+        size = sum(x * x for x in v) ** 0.5 or 1
+        cos = [sum(x * float(y) for x, y in zip(v, c) if x) / size for c in model.centroids]
+        best = max(range(len(cos)), key=lambda k: (cos[k], -k))
+        if not any(c.isalpha() for c in text or ""):
+            return "und", 0.0, True, cos
+        low = model.mean[best] - langid.REJECT_SIGMAS * max(model.sd[best], 0.01)
+        return model.langs[best], min(max(cos[best], 0), 1), cos[best] < low, cos
+
+    got = {r.doc_id: r for r in langid.predict(spark.createDataFrame(tests, "doc_id long, text string"), model).collect()}
+    for i, text in tests:
+        lang, score, far, cos = plain(text)
+        close = sorted(cos)[-1] - sorted(cos)[-2] < 1e-5  # float32 may tell such a pair apart either way
+        assert (got[i].lang_pred == lang or close) and abs(got[i].score - score) < 1e-4
+        assert got[i].rejected == far or close
+    assert {r.lang_pred for r in got.values()} == {"xx", "yy", "zz", "und"}

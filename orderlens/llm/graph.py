@@ -19,8 +19,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int | None
     Alternating large-star and small-star steps: each node tells its larger neighbours, then
     its smaller ones, the least node it knows, until every edge points at its component's
     least node. A step is an aggregate by node (combined before the shuffle) and a join on
-    the node; adaptive execution splits the rows of a hub. The edges of each round are
-    checkpointed in the shared folder. A link with a null end, or of a node with itself, is
+    the node. The rows of a hub stay in one task there: adaptive execution doesn't split a join whose
+    stage also aggregates by the key. The edges of each round are checkpointed in the shared folder. A link with a null end, or of a node with itself, is
     no link. With `rounds`, it stops after so many: nodes of one answer are connected, but
     a component may still be in several parts."""
     checkpoint_root(links.sparkSession)

@@ -18,7 +18,8 @@ consecutive words of one document. Edges are not handled one by one:
    a removed window covers go.
 
 No step collects a minimizer's occurrences; a passage that a third of all documents share
-is combined before it is shuffled, and its join rows are split by adaptive execution.
+is combined before it is shuffled. Its join rows meet in one task: adaptive execution doesn't
+split a join whose stage also aggregates by the key.
 Equality is by 64-bit hashes of the edge together with its minimizer (128 bits).
 
 Results for edge cases: null or empty text: no words, the digest of the empty text;

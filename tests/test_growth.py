@@ -28,3 +28,14 @@ def test_shuffles_are_dealt_by_input_and_scans_are_small(spark, tmp_path, monkey
     finally:
         spark.conf.set(scan, before)
         spark.conf.set(key, str(least))
+
+
+def test_cut_points_sort_no_rows(spark, monkeypatch):
+    plans, running = [], cutpoints._running
+    monkeypatch.setattr(cutpoints, "_running", lambda counted, *a: plans.append(plan_of(counted)) or running(counted, *a))
+    rows = spark.range(500).select((F.col("id") % 3).alias("g"), (F.col("id") % 7).alias("v"), F.col("id").cast("string").alias("t"))
+    for group in (["g"], []):
+        got = {r.t: r.tile for r in cutpoints.ntile(rows, 5, F.col("v"), "t", group, "tile").collect()}
+        window = f"ntile(5) OVER ({'PARTITION BY g ' if group else ''}ORDER BY v, t)"
+        assert got == {r.t: r.w for r in rows.select("t", F.expr(window).alias("w")).collect()}
+    assert plans and not any("SortAggregate" in p for p in plans)

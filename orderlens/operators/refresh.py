@@ -90,16 +90,20 @@ def refresh(before: DataFrame, after: DataFrame, snapshots_stored: DataFrame, sn
     orders = ["user_id", "order_id"]
     split = rows.filter(past).select(*orders).join(later.select(*orders).distinct(), orders, "left_semi")
     rebuilt = stored(changed.select("user_id").unionByName(split.select("user_id")).distinct(), "customers-rebuilt")
-    carry = small_frame(spark, [(s, s) for s in stale] + [(upto, s) for s in new], "source date, snapshot_date date")
-    kept = (snapshots_stored.withColumnRenamed("snapshot_date", "source").join(F.broadcast(carry), "source")
-            .join(rebuilt, "user_id", "left_anti"))
-    parts = [kept]
-    for orders_of, days in ((later.join(rebuilt, "user_id", "left_anti"), new), (rows.join(rebuilt, "user_id", "left_semi"), stale + new), (rows, missing)):
+    # A customer whose past stays has the stored rows at the stale snapshots, and goes on from the
+    # last of them at new ones. No customer has two rows of a date, so nothing is merged again.
+    same = snapshots_stored.join(rebuilt, "user_id", "left_anti")
+    parts = []
+    if stale:
+        parts.append(same.join(F.broadcast(frame(stale)), "snapshot_date", "left_semi"))
+    if new:
+        start = same.filter(F.col("snapshot_date") == F.lit(str(upto)).cast("date")).select(
+            "user_id", _money("cum_net_revenue").alias("net"), "cum_orders", "first_order_date", "last_order_date")
+        parts.append(clv.clv_as_of(later.join(rebuilt, "user_id", "left_anti"), frame(new), with_tiers=False, start=start))
+    for orders_of, days in ((rows.join(rebuilt, "user_id", "left_semi"), stale + new), (rows, missing)):
         if days:
             parts.append(clv.clv_as_of(orders_of, frame(days), with_tiers=False))
     state = reduce(DataFrame.unionByName, [p.select(
-        "user_id", "snapshot_date", _money("cum_net_revenue").alias("net"), "cum_orders", "first_order_date", "last_order_date") for p in parts])
-    merged = (state.groupBy("user_id", "snapshot_date")
-              .agg(F.sum("net").cast(MONEY).alias("cum_net_revenue"), F.sum("cum_orders").alias("cum_orders"),
-                   F.min("first_order_date").alias("first_order_date"), F.max("last_order_date").alias("last_order_date")))
-    return Refreshed(clv.finish(stored(merged, "clv-refreshed")), sorted(stale + new + missing))
+        "user_id", "snapshot_date", _money("cum_net_revenue").alias("cum_net_revenue"), "cum_orders", "first_order_date", "last_order_date")
+        for p in parts])
+    return Refreshed(clv.finish(stored(state, "clv-refreshed")), sorted(stale + new + missing))

@@ -39,3 +39,23 @@ def test_cut_points_sort_no_rows(spark, monkeypatch):
         window = f"ntile(5) OVER ({'PARTITION BY g ' if group else ''}ORDER BY v, t)"
         assert got == {r.t: r.w for r in rows.select("t", F.expr(window).alias("w")).collect()}
     assert plans and not any("SortAggregate" in p for p in plans)
+
+
+def test_refresh_merges_no_snapshot_rows(spark, monkeypatch):
+    day = lambda m, d=1: dt.date(2024, m, d)
+    order = "user_id string, order_id string, order_date date, order_net decimal(18,2)"
+    one = lambda u, o, d, n: (u, o, d, n)
+    from decimal import Decimal as D
+    before = [one("a", "1", day(1, 5), D("10.00")), one("b", "2", day(1, 9), D("4.50")), one("c", "3", day(2, 2), D("7.00"))]
+    after = [*before[:2], one("c", "3", day(2, 2), D("8.00")), one("a", "4", day(3, 3), D("2.25")), one("d", "5", day(4, 1), None)]
+    old, new = (spark.createDataFrame(x, order) for x in (before, after))
+    frame = lambda days: spark.createDataFrame([(d,) for d in days], "snapshot_date date")
+    ends = [day(1, 31), day(2, 29), day(3, 31), day(4, 30)]
+    held = session.stored(clv.clv_as_of(old, frame(ends[:2])), "test-held")
+    plans, stored = {}, refresh.stored
+    monkeypatch.setattr(refresh, "stored", lambda df, name: plans.update({name: plan_of(df)}) or stored(df, name))
+    found = refresh.refresh(old, new, held, ends)
+    assert found.dates == ends[1:]
+    want = clv.clv_as_of(new, frame(ends)).filter(F.col("snapshot_date") > str(ends[0]))
+    assert sorted(map(tuple, found.rows.select(*clv.CLV_COLUMNS).collect())) == sorted(map(tuple, want.select(*clv.CLV_COLUMNS).collect()))
+    assert not re.search(r"Aggregate\(keys=\[user_id#\d+L?, snapshot_date#", plans["clv-refreshed"])

@@ -59,3 +59,11 @@ def test_refresh_merges_no_snapshot_rows(spark, monkeypatch):
     want = clv.clv_as_of(new, frame(ends)).filter(F.col("snapshot_date") > str(ends[0]))
     assert sorted(map(tuple, found.rows.select(*clv.CLV_COLUMNS).collect())) == sorted(map(tuple, want.select(*clv.CLV_COLUMNS).collect()))
     assert not re.search(r"Aggregate\(keys=\[user_id#\d+L?, snapshot_date#", plans["clv-refreshed"])
+
+
+def test_guest_profile_repeats_no_lines(spark):
+    lines = spark.createDataFrame([(False, "1", "a"), (False, "1", "a"), (False, "2", "a"), (False, None, "b"), (True, "3", None), (True, None, None)],
+                                  "is_guest boolean, order_id string, user_id string")
+    got = profile.guest_profile(lines)
+    assert sorted(map(tuple, got.collect())) == [(False, 4, 2, 2), (True, 2, 1, 0)]
+    assert "Expand" not in plan_of(got)

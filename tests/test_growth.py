@@ -67,3 +67,13 @@ def test_guest_profile_repeats_no_lines(spark):
     got = profile.guest_profile(lines)
     assert sorted(map(tuple, got.collect())) == [(False, 4, 2, 2), (True, 2, 1, 0)]
     assert "Expand" not in plan_of(got)
+
+
+def test_batches_are_written_from_one_stored_extract(spark, sf_small, monkeypatch):
+    from orderlens.plans import io_queries
+
+    plans, write = [], io_queries.write_batch
+    monkeypatch.setattr(io_queries, "write_batch", lambda df, *a: plans.append(plan_of(df)) or write(df, *a))
+    rows = io_queries.q_batch_overwrite(spark, sf_small).collect()
+    assert len(plans) == 5 and not any("Join" in p for p in plans)
+    assert len(rows) == 2 and rows[0].rows == rows[1].rows > 0

@@ -41,6 +41,7 @@ K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, SHINGLE = 0.6, 0.6, 3
 BLOCK_ITEMS, SHARD_BYTES = 64, 16 << 20
 _LEAST = 32  # terms of the shortest half passage
+POSTINGS = 1 << 18  # spread out at once
 
 
 class Index(NamedTuple):
@@ -123,6 +124,33 @@ def _summed(passage: np.ndarray, key: np.ndarray, value: np.ndarray, least: floa
     return pairs[good] // width, pairs[good] % width, total[good]
 
 
+def _slices(index: Index, passage: np.ndarray, term: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of whole passages (in order) whose terms have `POSTINGS` postings together, or one
+    passage with more: what is spread out at once doesn't grow with the number of items."""
+    upto = np.cumsum(index.at[term + 1] - index.at[term])
+    ends = np.append(np.flatnonzero(passage[1:] != passage[:-1]) + 1, len(passage))
+    a = 0
+    while a < len(passage):
+        base = int(upto[a - 1]) if a else 0
+        k = np.searchsorted(ends, np.searchsorted(upto, base + POSTINGS, side="right"), side="right") - 1
+        b = int(ends[max(k, np.searchsorted(ends, a, side="right"))])
+        yield a, b
+        a = b
+
+
+def _candidates(index: Index, passage: np.ndarray, term: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(passage, item) whose full score reaches the threshold, of pairs (passage, term)."""
+    size = index.block_at[term + 1] - index.block_at[term]
+    spread = K.gather(np.arange(len(index.block)), index.block_at[term], size)
+    p, b, _ = _summed(np.repeat(passage, size), index.block[spread], index.block_most[spread], threshold)
+    width = int(index.block.max()) + 1
+    keep = np.isin(np.repeat(passage, size) * width + index.block[spread], p * width + b)
+    passage, spread = np.repeat(passage, size)[keep], spread[keep]
+    size = index.block_first[spread + 1] - index.block_first[spread]
+    posting = K.gather(np.arange(len(index.item)), index.block_first[spread], size)
+    return _summed(np.repeat(passage, size), index.item[posting], index.impact[posting], threshold)[:2]
+
+
 def _passages(index: Index, h: np.ndarray, first: int, a: int, b: int, i: int) -> list[tuple[int, int]]:
     """The passages of item i's length class within the terms a:b of a text that begins at
     `first`, those with a term of the item."""
@@ -155,17 +183,9 @@ def search(index: Index, texts: K.Texts, threshold: float = THRESHOLD) -> list[t
     bound = np.bincount(passage, weights=index.most[term])
     alive = bound[passage] >= threshold - 1e-9
     passage, term = passage[alive], term[alive]
-    size = index.block_at[term + 1] - index.block_at[term]
-    spread = K.gather(np.arange(len(index.block)), index.block_at[term], size)
-    p, b, _ = _summed(np.repeat(passage, size), index.block[spread], index.block_most[spread], threshold)
-    width = int(index.block.max()) + 1
-    keep = np.isin(np.repeat(passage, size) * width + index.block[spread], p * width + b)
-    passage, spread = np.repeat(passage, size)[keep], spread[keep]
-    size = index.block_first[spread + 1] - index.block_first[spread]
-    posting = K.gather(np.arange(len(index.item)), index.block_first[spread], size)
-    passage, item, _ = _summed(np.repeat(passage, size), index.item[posting], index.impact[posting], threshold)
+    met = [_candidates(index, passage[x:y], term[x:y], threshold) for x, y in _slices(index, passage, term)]
     best: dict[tuple[int, int], tuple[tuple, tuple[float, float, float]]] = {}
-    for k, i in zip(passage.tolist(), item.tolist()):
+    for k, i in ((k, i) for p, item in met for k, i in zip(p.tolist(), item.tolist())):
         d = int(np.searchsorted(base, k, side="right")) - 1
         a = words.first[d] + max(k - base[d] - 1, 0) * step
         b = min(words.first[d] + (k - base[d] + 1) * step, words.first[d + 1])

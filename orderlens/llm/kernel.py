@@ -18,9 +18,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-# Bytes of text handled at once inside a task: bounds the temporary arrays (about 30 bytes
+# Bytes of text handled at once inside a task: bounds the temporary arrays (30 to 150 bytes
 # of temporaries per byte of text). A longer text is still handled whole, alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 # And at most so many texts (operators with a dense row per text).
 CHUNK_ROWS = 1 << 16
 

@@ -34,6 +34,7 @@ SAMPLE_PER_LANG = 400
 REJECT_SIGMAS = 6.0
 UNDETERMINED = "und"
 _ROWS = 1024  # texts with a dense vector at once
+_BYTES = 2 << 20  # of text at once: sums and products in single precision are rounded once a chunk
 
 _FOLD = np.full(256, ord(" "), dtype=np.uint32)
 _FOLD[range(ord("a"), ord("z") + 1)] = range(ord("a"), ord("z") + 1)
@@ -86,7 +87,7 @@ def _document_frequency(train: DataFrame) -> tuple[int, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(DIMS, dtype=np.int64), 0
         for batch in batches:
-            for part in K.chunks(batch, rows=_ROWS):
+            for part in K.chunks(batch, limit=_BYTES, rows=_ROWS):
                 total += (counts(K.texts_of(part.column(0))) > 0).sum(axis=0)
                 n += part.num_rows
         if n:
@@ -131,7 +132,7 @@ def _starts(train: DataFrame, idf: np.ndarray) -> dict[str, np.ndarray]:
 
     def vector_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in K.chunks(batch, "text", rows=_ROWS):
+            for part in K.chunks(batch, "text", limit=_BYTES, rows=_ROWS):
                 v = vectors(K.texts_of(part.column(1)), idf).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in v], pa.binary())], names=["lang", "v"])
 
@@ -167,7 +168,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", where:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(c0), DIMS + 3))  # sums, then texts, cosines and their squares
         for batch in batches:
-            for part in K.chunks(batch, "text", rows=_ROWS):
+            for part in K.chunks(batch, "text", limit=_BYTES, rows=_ROWS):
                 v = vectors(K.texts_of(part.column(1)), idf)
                 cos = v @ c0.T
                 lang = np.array(part.column(0).to_pylist(), dtype=object)
@@ -214,4 +215,4 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
         far = best < model.mean[at] - REJECT_SIGMAS * np.maximum(model.sd[at], 0.01)
         return [part.column(0), pa.array(lang.tolist(), pa.string()), pa.array(np.where(known, best, 0.0)), pa.array(far | ~known)]
 
-    return map_texts(docs, id_col, text_col, "lang_pred string, score double, rejected boolean", rows, max_rows=_ROWS)
+    return map_texts(docs, id_col, text_col, "lang_pred string, score double, rejected boolean", rows, limit=_BYTES, max_rows=_ROWS)

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import prepare
+from ..session import prepare, widen_batches
 from . import bpe, chat, collocations, decontaminate, embeddup, exactdup, langid, licenses, neardup, periodic, quality, substrings, toxicity
 from . import kernel as K
 from .frames import fold_of, map_texts
@@ -44,6 +44,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 @register
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    widen_batches(spark)
     model = langid.fit(docs, where=F.coalesce(fold_of("doc_id", 4) != 2, F.lit(True)))
     return langid.predict(docs, model).select(
         "doc_id", F.coalesce(fold_of("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")

@@ -19,8 +19,15 @@ def test_batches_are_bounded_in_bytes(spark):
         assert spark.conf.get(key) == str(session.ARROW_BYTES)
         spark.conf.set(key, "1m")  # a smaller bound stays
         session.prepare(spark)
+        session.widen_batches(spark)
         assert spark.conf.get(key) == "1m"
         spark.conf.set(key, str(session.ARROW_BYTES))
+        session.widen_batches(spark)
+        assert spark.conf.get(key) == str(session.ARROW_BYTES_WIDE)
+        session.prepare(spark)
+        assert spark.conf.get(key) == str(session.ARROW_BYTES)
+        spark.conf.set(key, "1m")
+        spark.conf.set(key, str(session.ARROW_BYTES))
         docs = spark.range(0, 300, 1, 1).selectExpr("id", "repeat('some words ', 10000) AS text")  # 110 kB each
 
         def sizes(batches):

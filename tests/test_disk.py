@@ -1,15 +1,19 @@
 """What queries leave on disk: passes, shuffle files, codecs, stored tables."""
+import datetime as dt
 import os
 import time
+from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
 
 from orderlens import session
 from orderlens.contracts import ORDER_ITEM_OPTIONS_COLS, ORDER_ITEMS_COLS, SILVER_TABLES
-from orderlens.operators import profile
-from orderlens.plans import daily
+from orderlens.operators import calendar as cal_ops
+from orderlens.operators import marts, profile
+from orderlens.plans import daily, io_queries, queries
 from orderlens.sources import fixtures, versions
+from orderlens.sources.sinks import write_table
 
 DEV = fixtures.DEV_APP_NAME
 
@@ -86,3 +90,20 @@ def test_duplicates_are_counted_in_passes(spark, raw, small_passes):
     got = profile.grain_duplicates(items)
     assert len(want) == 2 and rows_of(got) == want
     assert small_passes and "Exchange" not in got._jdf.queryExecution().executedPlan().toString()  # each pass is done and stored
+
+
+def test_sales_are_summed_in_passes(spark, small_passes):
+    line = "order_date date, restaurant_id string, item_category string, order_id string, gross_line decimal(18,2), net_line decimal(18,2)"
+    rows = [(dt.date(2024, 1, k % 5 + 1) if k % 7 else None, f"R{k % 3}" if k % 11 else None, f"c{k % 4}", str(k % 13), D(k), D(k) + 1 if k % 5 else None) for k in range(300)]
+    lines = spark.createDataFrame(rows, line)
+    calendar = cal_ops.generate_calendar(cal_ops.date_bounds(lines))
+    got = marts.build_sales_trends(lines, calendar)
+    assert small_passes and got._jdf.queryExecution().optimizedPlan().toString().count("Union") == 1  # of stored sums
+    cells = {}
+    for day, place, kind, order, gross, net in rows:
+        cell = cells.setdefault((day, place, kind), [set(), D(0), None])
+        cell[0].add(order)
+        cell[1] += gross
+        cell[2] = cell[2] if net is None else (cell[2] or 0) + net
+    want = {k: (len(o), float(g), None if n is None else float(n)) for k, (o, g, n) in cells.items()}
+    assert {(r.order_date, r.restaurant_id, r.item_category): (r.orders, r.gross_revenue, r.net_revenue) for r in got.collect()} == want

@@ -107,3 +107,22 @@ def test_sales_are_summed_in_passes(spark, small_passes):
         cell[2] = cell[2] if net is None else (cell[2] or 0) + net
     want = {k: (len(o), float(g), None if n is None else float(n)) for k, (o, g, n) in cells.items()}
     assert {(r.order_date, r.restaurant_id, r.item_category): (r.orders, r.gross_revenue, r.net_revenue) for r in got.collect()} == want
+
+
+def scratch_of(spark) -> set:
+    top = f"{session.checkpoint_root(spark).removeprefix('file:')}/orderlens-scratch"
+    return set(os.listdir(top))
+
+
+def test_steps_leave_no_stored_rows(spark, tmp_path, raw):
+    zones = daily.Zones.under(str(tmp_path))
+    daily.write_silver(spark, *raw, DEV, zones.silver)
+    before = scratch_of(spark)
+    assert daily.clv(spark, zones) and daily.marts(spark, zones)
+    orders = daily.read_silver(spark, zones)["s_orders"]
+    write_table(orders.filter("user_id <> 'u3'"), f"{zones.silver}/s_orders")
+    assert daily.refresh_clv(spark, zones, [dt.date(2024, 2, 1)])
+    assert scratch_of(spark) == before
+    assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    held = daily.read_zone(spark, zones.gold, daily.CLV_TABLE)
+    assert held.filter("user_id = 'u3'").isEmpty() and not held.isEmpty()

@@ -126,3 +126,20 @@ def test_steps_leave_no_stored_rows(spark, tmp_path, raw):
     assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
     held = daily.read_zone(spark, zones.gold, daily.CLV_TABLE)
     assert held.filter("user_id = 'u3'").isEmpty() and not held.isEmpty()
+
+
+@pytest.fixture
+def copy_of_small(sf_small, tmp_path):
+    """Another path, of which no Silver was built yet."""
+    path = f"{tmp_path}/again"
+    os.makedirs(path)
+    for f in os.listdir(sf_small):
+        os.symlink(f"{sf_small}/{f}", f"{path}/{f}")
+    return path
+
+
+def test_snapshots_of_silver_in_passes(spark, sf_small, copy_of_small, request):
+    want = rows_of(queries.q_clv_month_end(spark, sf_small))
+    asked = request.getfixturevalue("small_passes")
+    assert rows_of(queries.q_clv_month_end(spark, copy_of_small)) == want
+    assert len(asked) == 3  # the raw lines, their join with the options, the orders

@@ -143,3 +143,17 @@ def test_snapshots_of_silver_in_passes(spark, sf_small, copy_of_small, request):
     asked = request.getfixturevalue("small_passes")
     assert rows_of(queries.q_clv_month_end(spark, copy_of_small)) == want
     assert len(asked) == 3  # the raw lines, their join with the options, the orders
+
+
+def test_landed_and_reloaded_orders_in_passes(spark, sf_small, request, monkeypatch):
+    want = rows_of(queries.q_orders(spark, sf_small))
+    asked = request.getfixturevalue("small_passes")
+    monkeypatch.setattr(io_queries, "passes", session.passes)
+    roots, scratch = {}, io_queries.scratch_path
+    monkeypatch.setattr(io_queries, "scratch_path", lambda s, name: roots.setdefault(name, scratch(s, name)))
+    landed = io_queries.q_landing_stream_ingest(spark, sf_small)
+    assert len(asked) == 1 and "Join" not in landed._jdf.queryExecution().executedPlan().toString()  # each pass is done and stored
+    assert rows_of(landed) == want
+    files = [f for _, _, names in os.walk(f"{roots['landing'].removeprefix('file:')}/landing") for f in names if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    assert rows_of(io_queries.q_daily_reload(spark, sf_small)) == want
